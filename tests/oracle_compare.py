@@ -1,0 +1,102 @@
+"""Compare catalogued Spark queries with their DuckDB oracle SQL.
+
+Usable from pytest (``compare``) and as a script:
+    python tests/oracle_compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, decimal.Decimal):
+        return float(v)
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
+    if isinstance(v, dt.datetime) and v.tzinfo is not None:
+        return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return v
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name, query, sql) -> tuple[bool, str]:
+    sdf = query(spark, con.sf_dir if hasattr(con, "sf_dir") else SF_DIR)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    sc, sr = _rows(s_cols, s_rows)
+    dc, dr = _rows(d_cols, d_rows)
+    if sc != dc:
+        return False, f"columns differ: spark={sc} duckdb={dc}"
+    if len(s_rows) != len(d_rows):
+        return False, f"row count spark={len(s_rows)} duckdb={len(d_rows)}"
+    if sr != dr:
+        only_s = list((sr - dr).elements())[:3]
+        only_d = list((dr - sr).elements())[:3]
+        return False, f"values differ; spark-only {only_s}; duckdb-only {only_d}"
+    return True, f"{len(s_rows)} rows"
+
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def main(argv):
+    global SF_DIR
+    if argv and os.path.isdir(argv[0]):
+        SF_DIR, argv = argv[0], argv[1:]
+    import __spark_entry__ as entry
+    from sessionmetrics.session import build_session
+
+    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck(SF_DIR)
+    qs, sqls = entry.queries(), entry.oracle_sql()
+    names = argv or list(qs)
+    bad = 0
+    for name in names:
+        if name not in sqls:
+            print(f"{name:28s} NO ORACLE")
+            continue
+        try:
+            ok, msg = compare(spark, con, name, qs[name], sqls[name])
+        except Exception as e:  # report and keep going
+            ok, msg = False, f"error {type(e).__name__}: {str(e)[:300]}"
+        bad += not ok
+        print(f"{name:28s} {'OK ' if ok else 'BAD'} {msg}", flush=True)
+    print("mismatches:", bad)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
