@@ -8,6 +8,7 @@ so they compare with zone-less SQL timestamps.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from .. import operators as op
 from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path
 from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
+from ..sources.warehouse import session_handle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +29,10 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return op.cleanse_events(raw_events(spark, sf_dir))
+    return session_handle(
+        spark, ("clean_events", os.path.abspath(sf_dir)),
+        lambda: op.cleanse_events(raw_events(spark, sf_dir)),
+    )
 
 
 def _sessions(spark, sf_dir):

@@ -25,11 +25,27 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW_SCHEMA
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Lazy DataFrames kept per session, like views registered once: reusing a
+# handle skips re-listing files, re-reading footers and re-analysing the
+# same plan for every query.  They hold plans, never data.
+_HANDLES: dict[tuple, DataFrame] = {}
+
+
+def session_handle(spark: SparkSession, key: tuple, build, refresh: bool = False) -> DataFrame:
+    """Return the DataFrame stored under ``key`` for this session, building it
+    with ``build()`` the first time (or when ``refresh``)."""
+    full = (id(spark._jsparkSession),) + key
+    if refresh or full not in _HANDLES:
+        _HANDLES[full] = build()
+    return _HANDLES[full]
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """The warehouse table ``name`` in ``sf_dir`` (one parquet file or folder)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return session_handle(spark, ("table", path), lambda: spark.read.parquet(path), refresh)
 
 
 def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
@@ -40,11 +56,11 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a
     sort-merge join (AQE splits a hot key there).
     """
-    k = F.get_json_object(F.col("props"), "$.k")
+    # json_tuple runs in a Generate node, so the JSON is parsed once per row;
+    # a plain expression would be inlined into every filter that uses it.
     ev = events.select(
-        "event_id", "ts", "user_id", "event_type", "value", k.alias("k"),
-        (k.cast("long") + 1).alias("_partkey"),
-    )
+        "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
+    ).withColumn("_partkey", F.col("k").cast("long") + 1)
     types = part.select(F.col("p_partkey").alias("_partkey"), F.col("p_type").alias("category"))
     joined = ev.join(types, on="_partkey", how="left")
 
@@ -78,5 +94,10 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events (RAW_SCHEMA columns) from the tables in ``sf_dir``."""
-    df = raw_events_from_tables(load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "part"))
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    return session_handle(
+        spark,
+        ("raw_events", os.path.abspath(sf_dir)),
+        lambda: raw_events_from_tables(
+            load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "part")
+        ),
+    )
