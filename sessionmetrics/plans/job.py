@@ -88,7 +88,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def main(argv=None) -> None:
+def main(argv=None, stop_session: bool = True) -> None:
+    """CLI entry; ``stop_session=False`` leaves a shared session running."""
     args = parse_args(argv)
     options = dict(kv.split("=", 1) for kv in args.option)
     spark = build_session(args.app_name, shuffle_partitions=args.shuffle_partitions)
@@ -104,7 +105,8 @@ def main(argv=None) -> None:
             stage=not args.no_stage,
         )
     finally:
-        spark.stop()
+        if stop_session:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -49,7 +49,7 @@ def _rows(columns, rows):
 
 
 def compare(spark, con, name, query, sql) -> tuple[bool, str]:
-    sdf = query(spark, con.sf_dir if hasattr(con, "sf_dir") else SF_DIR)
+    sdf = query(spark, getattr(con, "sf_dir", SF_DIR))
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     res = con.execute(sql)

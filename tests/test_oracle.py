@@ -1,0 +1,55 @@
+"""Every catalogued query against its DuckDB SQL at sf0.01 (the driver's gate)."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from conftest import SF_ORACLE, SF_SMALL
+from oracle_compare import compare, duck
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_ORACLE), reason="no test data")
+
+NAMES = sorted(entry.queries())
+
+
+class _Con:
+    """DuckDB connection carrying the data folder for ``compare``."""
+
+    def __init__(self, sf_dir):
+        self._c = duck(sf_dir)
+        self.sf_dir = sf_dir
+
+    def execute(self, sql):
+        return self._c.execute(sql)
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return _Con(SF_ORACLE)
+
+
+def test_every_query_has_oracle():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, oracle, name):
+    ok, msg = compare(spark, oracle, name, entry.queries()[name], entry.oracle_sql()[name])
+    assert ok, f"{name}: {msg}"
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert df.columns[:3] == ["event_date", "category", "device_type"]
+    # the same schema on a second call
+    assert entry.entry(spark).schema == df.schema
+
+
+def test_small_sf_runs(spark):
+    for name, q in entry.queries().items():
+        assert q(spark, SF_SMALL).count() >= 0, name

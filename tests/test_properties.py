@@ -1,0 +1,95 @@
+"""Invariants that must hold on the warehouse data (sf0.01)."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE
+from sessionmetrics import operators as op
+from sessionmetrics.sources import raw_events
+
+
+@pytest.fixture(scope="module")
+def clean(spark):
+    return op.cleanse_events(raw_events(spark, SF_ORACLE))
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_sessions_from_slices_equal_direct(clean):
+    direct = op.session_facts(clean)
+    rolled = op.sessions_from_slices(op.session_slices(clean))
+    assert _rows(direct) == _rows(rolled.select(*direct.columns))
+
+
+def test_activity_sums_to_clean_rows(clean):
+    users = op.user_session_metrics(op.session_facts(clean))
+    total = users.agg(F.sum("total_activity_count")).first()[0]
+    assert total == clean.count()
+
+
+def test_funnel_totals_sum_to_slices(clean):
+    slices = op.session_slices(clean)
+    funnel = op.funnel(slices)
+    assert funnel.agg(F.sum("sessions_total")).first()[0] == slices.count()
+
+
+def test_rank_is_dense_from_one(clean):
+    tr = op.trending_products(clean, 5)
+    per_cat = tr.groupBy("category").agg(
+        F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    assert per_cat
+    for r in per_cat:
+        assert r.lo == 1 and r.hi == r.n <= 5
+
+
+def test_rank_respects_order(clean):
+    tr = op.trending_products(clean, 5).collect()
+    by_cat = {}
+    for r in tr:
+        by_cat.setdefault(r.category, []).append(r)
+    for rows in by_cat.values():
+        rows.sort(key=lambda r: r.rn)
+        keys = [(-r.purchase_count, r.product_id) for r in rows]
+        assert keys == sorted(keys)
+
+
+def test_bounce_rate_bounds(clean):
+    users = op.user_session_metrics(op.session_facts(clean))
+    lo, hi = users.agg(F.min("bounce_rate"), F.max("bounce_rate")).first()
+    assert 0.0 <= lo <= hi <= 1.0
+
+
+def test_categories_without_purchases_absent(clean):
+    cats = {r.category for r in op.trending_products(clean).select("category").distinct().collect()}
+    bought = {
+        r.category for r in clean.where("action = 'purchase'").select("category").distinct().collect()
+    }
+    assert cats == bought
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_ansi_mode_does_not_change_results(spark, ansi):
+    from sessionmetrics.plans.catalog import QUERIES
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        c = op.cleanse_events(raw_events(spark, SF_ORACLE))
+        got = (
+            _rows(op.conversion_funnel(c)),
+            _rows(op.user_session_metrics(op.session_facts(c))),
+            _rows(op.trending_products(c)),
+        )
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    base = (
+        _rows(QUERIES["conversion_funnel"](spark, SF_ORACLE)),
+        _rows(QUERIES["user_session_metrics"](spark, SF_ORACLE)),
+        _rows(QUERIES["trending_products"](spark, SF_ORACLE)),
+    )
+    assert got == base
