@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..operators.limits import cap_rows
 from ..schema import RAW_SCHEMA
 
 
@@ -31,11 +32,11 @@ def write_jsonl(
 ) -> None:
     """Write JSON lines, at most ``records_per_file`` rows per file.
 
-    ``max_records`` keeps the first rows only when given (a sampling cap the
-    caller asks for; nothing is capped by default).  Every task writes its
-    own files in parallel; no row passes through the driver.
+    ``max_records`` keeps the first rows only when given (a cap the caller
+    asks for; nothing is capped by default).  The cap is applied per
+    partition, so every task still writes its own files in parallel.
     """
-    out = df.limit(max_records) if max_records is not None else df
+    out = cap_rows(df, max_records) if max_records is not None else df
     writer = out.write.mode(mode)
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", int(records_per_file))

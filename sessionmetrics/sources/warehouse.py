@@ -25,6 +25,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.limits import lookup_join
+
 
 
 # Lazy DataFrames kept per session, like views registered once: reusing a
@@ -51,10 +53,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = Fals
 def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
     """Map warehouse events (+ part for the category) to raw events.
 
-    The part lookup is an ordinary left join: Catalyst broadcasts the
-    pruned (p_partkey, p_type) side only while its estimated size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a
-    sort-merge join (AQE splits a hot key there).
+    The part lookup is a left join on the pruned (p_partkey, p_type) side,
+    broadcast only when its measured size is under the session's broadcast
+    threshold; beyond that it is a sort-merge join (AQE splits a hot key).
     """
     # json_tuple runs in a Generate node, so the JSON is parsed once per row;
     # a plain expression would be inlined into every filter that uses it.
@@ -62,7 +63,7 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
         "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
     ).withColumn("_partkey", F.col("k").cast("long") + 1)
     types = part.select(F.col("p_partkey").alias("_partkey"), F.col("p_type").alias("category"))
-    joined = ev.join(types, on="_partkey", how="left")
+    joined = lookup_join(ev, types, "_partkey", how="left")
 
     uid = F.col("user_id").cast("string")
     eid = F.col("event_id")

@@ -102,3 +102,25 @@ def test_job_cli(spark, fixture_dir, scratch):
               "--top-n", "1"], stop_session=False)
     trending = read_table(spark, os.path.join(out, "trending_products"))
     assert sorted(r.product_id for r in trending.collect()) == ["p1", "p3"]
+
+
+def test_cap_rows_exact_and_in_partition_order(spark):
+    from sessionmetrics.operators import cap_rows
+
+    df = spark.range(0, 1000, numPartitions=7)
+    for n in (0, 1, 142, 143, 500, 999, 1000, 5000):
+        got = [r.id for r in cap_rows(df, n).collect()]
+        assert sorted(got) == list(range(min(n, 1000))), n
+
+
+def test_lookup_join_broadcasts_only_under_limit(spark):
+    from sessionmetrics.operators import lookup_join
+
+    left = spark.range(100).withColumnRenamed("id", "k")
+    right = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
+    small = lookup_join(left, right, "k", max_bytes=1 << 20)
+    big = lookup_join(left, right, "k", max_bytes=10)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    plan_big = big._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan_big and "BroadcastHashJoin" not in plan_big
+    assert _rows(small) == _rows(big)
