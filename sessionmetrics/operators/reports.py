@@ -103,24 +103,33 @@ def trending_top10(trending: DataFrame, k: int = REPORT_TOP_K) -> DataFrame:
 
 # --------------------------------------------------------------------- R5
 def schema_contract(
-    tables: Mapping[str, DataFrame], expected: Mapping[str, Sequence[str]]
+    tables: Mapping[str, DataFrame],
+    expected: Mapping[str, Sequence[str]],
+    with_preview: bool = False,
 ) -> DataFrame:
     """Per table: expected columns that are missing, columns present, row
     count and emptiness.  Column lists come from the schemas; counts run
-    on the data (one aggregate per table, unioned)."""
+    on the data (one aggregate per table, unioned).  ``with_preview`` adds
+    the first row (by the first column) as JSON, taken inside the same
+    aggregate with ``min_by`` - no extra job, nothing collected."""
     parts = []
     for name, df in tables.items():
         want = list(expected.get(name, ()))
         missing = [c for c in want if c not in df.columns]
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"),
-                F.lit(",".join(missing)).alias("missing_columns"),
-                F.lit(",".join(df.columns)).alias("present_columns"),
-                "row_count",
-                (F.col("row_count") == 0).alias("is_empty"),
-            )
-        )
+        aggs = [F.count(F.lit(1)).alias("row_count")]
+        if with_preview:
+            first = F.min_by(F.to_json(F.struct(*df.columns)), F.col(df.columns[0]))
+            aggs.append(first.alias("preview"))
+        out = [
+            F.lit(name).alias("table_name"),
+            F.lit(",".join(missing)).alias("missing_columns"),
+            F.lit(",".join(df.columns)).alias("present_columns"),
+            "row_count",
+            (F.col("row_count") == 0).alias("is_empty"),
+        ]
+        if with_preview:
+            out.append("preview")
+        parts.append(df.agg(*aggs).select(*out))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -88,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "trending_products": _trending,
     "trending_products_top1": lambda s, d: _trending(s, d, 1),
     "trending_documented": lambda s, d: op.trending_documented(_trending(s, d)),
+    "trending_sorted": lambda s, d: op.sort_trending(_trending(s, d)),
     "session_slices": lambda s, d: _ntz(_slices(s, d), "first_ts", "last_ts"),
     "session_slice_flags": lambda s, d: op.slice_flags(_slices(s, d)),
     "conversion_funnel": _funnel,

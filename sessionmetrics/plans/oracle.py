@@ -203,6 +203,9 @@ def oracle_sql() -> dict[str, str]:
     q["trending_products_top1"] = _with(RAW, CLEAN, PURCHASES, _trending(1)) + (
         f"SELECT {_cols(TRENDING_COLUMNS)} FROM trending"
     )
+    q["trending_sorted"] = _with(*_TREND) + (
+        f"SELECT {_cols(TRENDING_COLUMNS)} FROM trending ORDER BY category, rn"
+    )
     q["trending_documented"] = _with(*_TREND) + (
         "SELECT product_id, category, purchase_count AS count FROM trending"
     )

@@ -148,3 +148,22 @@ def test_reports(clean):
     top = [tuple(r) for r in op.trending_top10(trending).collect()]
     assert top[0] == ("p1", "books", 2, "books • p1")
     assert len(top) == 4
+
+
+def test_schema_contract_with_preview(clean):
+    from sessionmetrics.schema import EXPECTED_COLUMNS
+
+    tables = {
+        "user_session_metrics": op.user_session_metrics(op.session_facts(clean)),
+        "trending_products": op.trending_products(clean),
+    }
+    rows = {r.table_name: r for r in op.schema_contract(tables, EXPECTED_COLUMNS, True).collect()}
+    users = rows["user_session_metrics"]
+    assert users.missing_columns == "" and users.row_count == 4 and not users.is_empty
+    assert users.preview.startswith('{"user_id":""')  # smallest user id first
+    assert rows["trending_products"].missing_columns == "count"
+
+
+def test_sorted_trending_order(clean):
+    got = [(r.category, r.rn) for r in op.sort_trending(op.trending_products(clean)).collect()]
+    assert got == [("books", 1), ("books", 2), ("books", 3), ("fashion", 1)]

@@ -124,3 +124,14 @@ def test_lookup_join_broadcasts_only_under_limit(spark):
     plan_big = big._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan_big and "BroadcastHashJoin" not in plan_big
     assert _rows(small) == _rows(big)
+
+
+def test_session_handles_are_per_session(spark):
+    from sessionmetrics.sources.warehouse import session_handle
+
+    a = session_handle(spark, ("probe",), lambda: spark.range(3))
+    b = session_handle(spark, ("probe",), lambda: spark.range(5))
+    assert a is b and a.count() == 3
+    other = spark.newSession()
+    c = session_handle(other, ("probe",), lambda: other.range(7))
+    assert c.count() == 7
