@@ -19,6 +19,7 @@ from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path
 from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
 from ..sources.warehouse import session_handle
+from ..streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,15 @@ def _jsonl_roundtrip(spark, sf_dir):
     return read_raw_events(spark, path)
 
 
+def _stream_ingest(spark, sf_dir):
+    base = scratch_path(spark, "stream")
+    source = os.path.join(base, "incoming")
+    write_jsonl(raw_events(spark, sf_dir), source, records_per_file=25_000)
+    table = os.path.join(base, "clean")
+    ingest_available(spark, source, table, os.path.join(base, "checkpoint"))
+    return _ntz(read_table(spark, table), "event_ts")
+
+
 def _sink_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "user-metrics")
     write_table(_users(spark, sf_dir), path, mode="append")
@@ -102,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "schema_contract": lambda s, d: op.schema_contract(_outputs(s, d), EXPECTED_COLUMNS),
     "jsonl_roundtrip": _jsonl_roundtrip,
     "sink_append_roundtrip": _sink_roundtrip,
+    "stream_ingest_roundtrip": _stream_ingest,
 }
 
 

@@ -261,4 +261,5 @@ def oracle_sql() -> dict[str, str]:
     )
     q["jsonl_roundtrip"] = q["raw_events"]
     q["sink_append_roundtrip"] = q["user_session_metrics"]
+    q["stream_ingest_roundtrip"] = q["clean_events"]
     return q
