@@ -54,16 +54,22 @@ def run_job(
     mode: str = "append",
     options: Mapping[str, str] | None = None,
     stage: bool = True,
+    clean_table: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run the job; returns the output DataFrames (already written).
 
+    ``clean_table`` starts from an already cleansed parquet table (for
+    instance the one the streaming ingest maintains) instead of JSON lines.
     For path-based formats each table goes to ``output/<table>``; for other
     sinks ``output`` is passed as the ``database`` option and the table name
     as ``collection``, next to ``options``.
     """
-    clean = op.cleanse_events(read_raw_events(spark, input_path))
-    if stage:
-        clean = stage_clean_events(spark, clean)
+    if clean_table is not None:
+        clean = spark.read.parquet(clean_table)
+    else:
+        clean = op.cleanse_events(read_raw_events(spark, input_path))
+        if stage:
+            clean = stage_clean_events(spark, clean)
     outputs = compute_outputs(clean, top_n)
     for name, df in outputs.items():
         if fmt in PATH_FORMATS:
@@ -85,6 +91,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--option", action="append", default=[], help="sink option key=value")
     p.add_argument("--shuffle-partitions", type=int, default=None)
     p.add_argument("--no-stage", action="store_true", help="do not stage clean events")
+    p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
     return p.parse_args(argv)
 
 
@@ -103,6 +110,7 @@ def main(argv=None, stop_session: bool = True) -> None:
             mode=args.mode,
             options=options,
             stage=not args.no_stage,
+            clean_table=args.clean_table,
         )
     finally:
         if stop_session:

@@ -37,3 +37,14 @@ def test_ingest_is_incremental_and_exactly_once(spark, scratch):
     # the batch metrics run on the ingested table as on freshly cleansed data
     users = op.user_session_metrics(op.session_facts(got))
     assert users.count() == 4
+
+
+def test_job_runs_on_ingested_table(spark, scratch, fixture_dir):
+    from sessionmetrics.plans.job import run_job
+
+    table = os.path.join(scratch, "clean")
+    ingest_available(spark, fixture_dir, table)
+    out = os.path.join(scratch, "out")
+    run_job(spark, None, out, mode="overwrite", clean_table=table)
+    funnel = read_table(spark, os.path.join(out, "conversion_funnel_metrics"))
+    assert funnel.count() == 7
