@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, PREVIEW_ROWS
-from ..session import pin_utc, scratch_path
+from ..session import pin_utc, scratch_path, session_handle
 from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
-from ..sources.warehouse import session_handle
 from ..streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]

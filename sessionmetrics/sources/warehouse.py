@@ -26,24 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.limits import lookup_join
-
-
-
-# Lazy DataFrames kept per session, like views registered once: reusing a
-# handle skips re-listing files, re-reading footers and re-analysing the
-# same plan for every query.  They hold plans, never data.
-_HANDLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
-
-
-def session_handle(spark: SparkSession, key: tuple, build, refresh: bool = False) -> DataFrame:
-    """Return the DataFrame stored under ``key`` for this session, building it
-    with ``build()`` the first time (or when ``refresh``).  A handle is only
-    reused by the very session object that built it."""
-    full = (id(spark),) + key
-    hit = _HANDLES.get(full)
-    if refresh or hit is None or hit[0] is not spark:
-        _HANDLES[full] = (spark, build())
-    return _HANDLES[full][1]
+from ..session import session_handle
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:

@@ -127,7 +127,7 @@ def test_lookup_join_broadcasts_only_under_limit(spark):
 
 
 def test_session_handles_are_per_session(spark):
-    from sessionmetrics.sources.warehouse import session_handle
+    from sessionmetrics.session import session_handle
 
     a = session_handle(spark, ("probe",), lambda: spark.range(3))
     b = session_handle(spark, ("probe",), lambda: spark.range(5))
