@@ -167,3 +167,22 @@ def test_schema_contract_with_preview(clean):
 def test_sorted_trending_order(clean):
     got = [(r.category, r.rn) for r in op.sort_trending(op.trending_products(clean)).collect()]
     assert got == [("books", 1), ("books", 2), ("books", 3), ("fashion", 1)]
+
+
+def test_permissive_reader_coercions(spark, scratch):
+    lines = [
+        '{"user_id": 42, "session_id": "s", "timestamp": "2024-01-01T00:00:00Z", "action": "view",'
+        ' "product_id": "p", "category": {"a": 1}, "price": 1.0, "device_type": "mobile"}',
+        '[{"user_id": "a1", "session_id": "s", "timestamp": "2024-01-01", "action": "view",'
+        ' "product_id": "p", "category": "c", "price": 2.0, "device_type": "tablet"},'
+        ' {"user_id": "a2", "session_id": "s", "timestamp": "2024-01-01", "action": "view",'
+        ' "product_id": "p", "category": "c", "price": 2.0, "device_type": "tablet"}]',
+    ]
+    folder = os.path.join(scratch, "odd")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "part-00000.json"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    raw = {r.user_id: r for r in read_raw_events(spark, folder).collect()}
+    assert set(raw) == {"42", "a1", "a2"}  # numeric id as text; array line -> 2 rows
+    assert raw["42"].category == '{"a": 1}'  # nested object kept as its original text
+    assert op.cleanse_events(read_raw_events(spark, folder)).count() == 3
