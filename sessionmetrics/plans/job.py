@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N
 from ..session import build_session, scratch_path
-from ..sources import read_raw_events, write_table
+from ..sources import persist_if_reused, read_raw_events, write_table
 
 OUTPUT_TABLES = ("user_session_metrics", "trending_products", "conversion_funnel_metrics")
 PATH_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
+REUSE_MODES = ("stage", "persist", "none")
 
 
 def stage_clean_events(spark: SparkSession, clean: DataFrame, path: str | None = None) -> DataFrame:
@@ -55,28 +56,44 @@ def run_job(
     options: Mapping[str, str] | None = None,
     stage: bool = True,
     clean_table: str | None = None,
+    reuse: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run the job; returns the output DataFrames (already written).
 
     ``clean_table`` starts from an already cleansed parquet table (for
     instance the one the streaming ingest maintains) instead of JSON lines.
+    ``reuse`` says how the three outputs share clean events: ``"stage"``
+    (default; parquet in the shared folder - survives executor loss and
+    prunes columns), ``"persist"`` (executor memory and disk, unpersisted
+    at the end) or ``"none"`` (each output re-reads the input).  The older
+    ``stage=False`` flag means ``"none"``.
     For path-based formats each table goes to ``output/<table>``; for other
     sinks ``output`` is passed as the ``database`` option and the table name
     as ``collection``, next to ``options``.
     """
+    reuse = reuse or ("stage" if stage else "none")
+    if reuse not in REUSE_MODES:
+        raise ValueError(f"reuse must be one of {REUSE_MODES}")
+    cached = None
     if clean_table is not None:
         clean = spark.read.parquet(clean_table)
     else:
         clean = op.cleanse_events(read_raw_events(spark, input_path))
-        if stage:
+        if reuse == "stage":
             clean = stage_clean_events(spark, clean)
+        elif reuse == "persist":
+            clean = cached = persist_if_reused(clean)
     outputs = compute_outputs(clean, top_n)
-    for name, df in outputs.items():
-        if fmt in PATH_FORMATS:
-            write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
-        else:
-            opts = {"database": output, "collection": name, **dict(options or {})}
-            write_table(df, None, fmt=fmt, mode=mode, options=opts)
+    try:
+        for name, df in outputs.items():
+            if fmt in PATH_FORMATS:
+                write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
+            else:
+                opts = {"database": output, "collection": name, **dict(options or {})}
+                write_table(df, None, fmt=fmt, mode=mode, options=opts)
+    finally:
+        if cached is not None:
+            cached.unpersist()
     return outputs
 
 
@@ -90,7 +107,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--mode", default="append", choices=["append", "overwrite", "error", "ignore"])
     p.add_argument("--option", action="append", default=[], help="sink option key=value")
     p.add_argument("--shuffle-partitions", type=int, default=None)
-    p.add_argument("--no-stage", action="store_true", help="do not stage clean events")
+    p.add_argument("--reuse", choices=REUSE_MODES, default="stage",
+                   help="how outputs share clean events: stage (parquet), persist, none")
     p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
     return p.parse_args(argv)
 
@@ -109,7 +127,7 @@ def main(argv=None, stop_session: bool = True) -> None:
             fmt=args.format,
             mode=args.mode,
             options=options,
-            stage=not args.no_stage,
+            reuse=args.reuse,
             clean_table=args.clean_table,
         )
     finally:

@@ -135,3 +135,17 @@ def test_session_handles_are_per_session(spark):
     other = spark.newSession()
     c = session_handle(other, ("probe",), lambda: other.range(7))
     assert c.count() == 7
+
+
+def test_job_reuse_modes_agree(spark, fixture_dir, scratch):
+    src = os.path.join(fixture_dir, "*.json")
+    results = {}
+    for reuse in ("stage", "persist", "none"):
+        out = os.path.join(scratch, reuse)
+        run_job(spark, src, out, mode="overwrite", reuse=reuse)
+        results[reuse] = {
+            t: _rows(read_table(spark, os.path.join(out, t)))
+            for t in ("user_session_metrics", "trending_products", "conversion_funnel_metrics")
+        }
+    assert results["stage"] == results["persist"] == results["none"]
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
