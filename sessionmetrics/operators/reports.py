@@ -29,11 +29,11 @@ def resolve_column(df: DataFrame, logical: str, aliases: Mapping = ALIASES) -> s
 def resolve_select(
     df: DataFrame, logicals: Sequence[str], aliases: Mapping = ALIASES
 ) -> DataFrame:
-    """Project ``df`` onto logical names (missing ones become null)."""
+    """Project ``df`` onto logical names (missing ones become null strings)."""
     cols = []
     for name in logicals:
         found = resolve_column(df, name, aliases)
-        cols.append((F.col(found) if found else F.lit(None)).alias(name))
+        cols.append((F.col(found) if found else F.lit(None).cast("string")).alias(name))
     return df.select(*cols)
 
 

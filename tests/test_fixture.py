@@ -186,3 +186,13 @@ def test_permissive_reader_coercions(spark, scratch):
     assert set(raw) == {"42", "a1", "a2"}  # numeric id as text; array line -> 2 rows
     assert raw["42"].category == '{"a": 1}'  # nested object kept as its original text
     assert op.cleanse_events(read_raw_events(spark, folder)).count() == 3
+
+
+def test_alias_resolution_on_either_naming(spark, clean):
+    funnel = op.conversion_funnel(clean)
+    a = op.resolve_select(funnel, ["view", "cart", "purchase", "nope"])
+    b = op.resolve_select(op.funnel_documented(funnel), ["view", "cart", "purchase", "nope"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert dict(a.dtypes)["nope"] == "string"
+    assert op.resolve_column(funnel, "view") == "sessions_with_view"
+    assert op.resolve_column(op.funnel_documented(funnel), "view") == "view_count"
