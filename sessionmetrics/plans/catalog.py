@@ -115,5 +115,13 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _in_utc(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pin_utc(spark)  # before any plan is analysed
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _in_utc(q) for name, q in QUERIES.items()}

@@ -68,7 +68,8 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
     )
     return joined.select(
         uid.alias("user_id"),
-        F.concat(uid, F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("session_id"),
+        # cast(date as string) is yyyy-MM-dd; to_date of a zone-less ts is zone-free
+        F.concat(uid, F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
         F.when(eid % 97 == 0, F.lit("garbage")).otherwise(F.col("ts").cast("string")).alias("timestamp"),
         F.concat(F.lit(" "), F.upper(action)).alias("action"),
         F.concat(F.lit("p"), F.col("k")).alias("product_id"),
