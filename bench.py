@@ -1,7 +1,8 @@
 """Benchmark: every catalogued query plus the end-to-end job.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all
-cores), BENCH_REPEAT (default 3; the median is reported).  Each query is
+cores), BENCH_REPEAT (default 3; the median is reported), BENCH_COPIES
+(default 10: input copies for the parallel job entry), BENCH_DRIVER_MEMORY.  Each query is
 built and fully executed into the no-op sink (no collect).  Prints one JSON
 line.
 """
@@ -14,6 +15,7 @@ import re
 import statistics
 import sys
 import time
+from functools import reduce
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -37,6 +39,18 @@ def _timed(fn, repeat: int) -> float:
     return statistics.median(times)
 
 
+def _driver_memory() -> str:
+    """Half the machine's memory, capped at 8 GB (env BENCH_DRIVER_MEMORY wins)."""
+    if os.environ.get("BENCH_DRIVER_MEMORY"):
+        return os.environ["BENCH_DRIVER_MEMORY"]
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = int(next(l for l in fh if l.startswith("MemTotal")).split()[1])
+        return f"{max(1, min(8, kb // (2 * 1024 * 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "2g"
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
@@ -46,7 +60,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         shuffle_partitions=max(2, cpus),
         conf={
-            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+            "spark.driver.memory": _driver_memory(),
             "spark.ui.showConsoleProgress": "false",
         },
     )
@@ -69,6 +83,20 @@ def main() -> None:
         4,
     )
 
+    # The same job over ten copies of the raw events as several JSON-lines
+    # files, so the scan runs as parallel tasks (rows repeat; the job does
+    # not deduplicate).
+    copies = int(os.environ.get("BENCH_COPIES", "10"))
+    raw = raw_events(spark, sf_dir)
+    big_src = scratch_path(spark, "bench-json-x")
+    write_jsonl(reduce(lambda a, b: a.unionByName(b), [raw] * copies), big_src, records_per_file=50_000)
+    n_events = raw.count() * copies
+    key = f"job_end_to_end_x{copies}"
+    results[key] = round(
+        _timed(lambda: run_job(spark, big_src, scratch_path(spark, "bench-out"), mode="overwrite"), repeat),
+        4,
+    )
+
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_seconds",
@@ -78,6 +106,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "repeat": repeat,
+        "job_events": n_events,
+        "job_events_per_sec": round(n_events / results[key]) if results[key] else None,
     }
     print(json.dumps(out))
     spark.stop()
