@@ -19,6 +19,7 @@ import os
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N
@@ -30,6 +31,29 @@ PATH_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
 REUSE_MODES = ("stage", "persist", "none")
 
 
+def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Total size of the input files, measured by a Spark job over the
+    binary-file listing (only the ``length`` column; contents are not read)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    listing = spark.read.format("binaryFile").load(paths).select("length")
+    return int(listing.agg(F.sum("length")).first()[0] or 0)
+
+
+def auto_shuffle_partitions(
+    spark: SparkSession,
+    path: str | list[str],
+    bytes_per_partition: int = 512 << 20,
+    most: int = 100_000,
+) -> int:
+    """Shuffle partitions for an input: one per ``bytes_per_partition`` of
+    input, at least the default parallelism.  Partial aggregation shrinks
+    the shuffled data below the input size and AQE coalesces the rest, so
+    erring high is cheap while erring low makes reducers spill."""
+    least = spark.sparkContext.defaultParallelism
+    wanted = -(-input_bytes(spark, path) // bytes_per_partition)
+    return int(max(least, min(most, wanted)))
+
+
 def stage_clean_events(spark: SparkSession, clean: DataFrame, path: str | None = None) -> DataFrame:
     """Write clean events as parquet in the shared folder and read them back."""
     path = path or scratch_path(spark, "clean-events")
@@ -106,7 +130,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--format", default="parquet")
     p.add_argument("--mode", default="append", choices=["append", "overwrite", "error", "ignore"])
     p.add_argument("--option", action="append", default=[], help="sink option key=value")
-    p.add_argument("--shuffle-partitions", type=int, default=None)
+    p.add_argument("--shuffle-partitions", default=None,
+                   help="a number, or 'auto' to size from the input (default: cluster setting)")
     p.add_argument("--reuse", choices=REUSE_MODES, default="stage",
                    help="how outputs share clean events: stage (parquet), persist, none")
     p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
@@ -117,8 +142,15 @@ def main(argv=None, stop_session: bool = True) -> None:
     """CLI entry; ``stop_session=False`` leaves a shared session running."""
     args = parse_args(argv)
     options = dict(kv.split("=", 1) for kv in args.option)
-    spark = build_session(args.app_name, shuffle_partitions=args.shuffle_partitions)
+    fixed = args.shuffle_partitions not in (None, "auto")
+    spark = build_session(
+        args.app_name, shuffle_partitions=int(args.shuffle_partitions) if fixed else None
+    )
     try:
+        if args.shuffle_partitions == "auto":
+            source = args.clean_table or args.input
+            n = auto_shuffle_partitions(spark, source)
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
         run_job(
             spark,
             args.input,

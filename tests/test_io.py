@@ -149,3 +149,23 @@ def test_job_reuse_modes_agree(spark, fixture_dir, scratch):
         }
     assert results["stage"] == results["persist"] == results["none"]
     assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+
+
+def test_auto_shuffle_partitions_grows_with_input(spark, fixture_dir):
+    from sessionmetrics.plans.job import auto_shuffle_partitions, input_bytes
+
+    src = os.path.join(fixture_dir, "*.json")
+    size = input_bytes(spark, src)
+    assert size == sum(os.path.getsize(os.path.join(fixture_dir, f)) for f in os.listdir(fixture_dir))
+    least = spark.sparkContext.defaultParallelism
+    assert auto_shuffle_partitions(spark, src) == least
+    assert auto_shuffle_partitions(spark, src, bytes_per_partition=64) == max(least, -(-size // 64))
+
+
+def test_job_cli_auto_partitions(spark, fixture_dir, scratch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = os.path.join(scratch, "auto")
+    job_main(["--input", os.path.join(fixture_dir, "*.json"), "--output", out,
+              "--mode", "overwrite", "--shuffle-partitions", "auto"], stop_session=False)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert read_table(spark, os.path.join(out, "user_session_metrics")).count() == 4
