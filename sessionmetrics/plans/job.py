@@ -81,6 +81,7 @@ def run_job(
     stage: bool = True,
     clean_table: str | None = None,
     reuse: str | None = None,
+    targets: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Run the job; returns the output DataFrames (already written).
 
@@ -91,9 +92,10 @@ def run_job(
     prunes columns), ``"persist"`` (executor memory and disk, unpersisted
     at the end) or ``"none"`` (each output re-reads the input).  The older
     ``stage=False`` flag means ``"none"``.
-    For path-based formats each table goes to ``output/<table>``; for other
-    sinks ``output`` is passed as the ``database`` option and the table name
-    as ``collection``, next to ``options``.
+    For path-based formats each table goes to ``output/<name>``; for other
+    sinks ``output`` is passed as the ``database`` option and the name as
+    ``collection``, next to ``options``.  ``targets`` renames outputs
+    (``{"trending_products": "top_products"}``); others keep their table name.
     """
     reuse = reuse or ("stage" if stage else "none")
     if reuse not in REUSE_MODES:
@@ -109,7 +111,9 @@ def run_job(
             clean = cached = persist_if_reused(clean)
     outputs = compute_outputs(clean, top_n)
     try:
-        for name, df in outputs.items():
+        names = {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
+        for table, df in outputs.items():
+            name = names[table]
             if fmt in PATH_FORMATS:
                 write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
             else:
@@ -130,6 +134,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--format", default="parquet")
     p.add_argument("--mode", default="append", choices=["append", "overwrite", "error", "ignore"])
     p.add_argument("--option", action="append", default=[], help="sink option key=value")
+    p.add_argument("--target", action="append", default=[],
+                   help="output name override table=name (tables: " + ", ".join(OUTPUT_TABLES) + ")")
     p.add_argument("--shuffle-partitions", default=None,
                    help="a number, or 'auto' to size from the input (default: cluster setting)")
     p.add_argument("--reuse", choices=REUSE_MODES, default="stage",
@@ -142,6 +148,10 @@ def main(argv=None, stop_session: bool = True) -> None:
     """CLI entry; ``stop_session=False`` leaves a shared session running."""
     args = parse_args(argv)
     options = dict(kv.split("=", 1) for kv in args.option)
+    targets = dict(kv.split("=", 1) for kv in args.target)
+    unknown = set(targets) - set(OUTPUT_TABLES)
+    if unknown:
+        raise SystemExit(f"unknown output table(s): {', '.join(sorted(unknown))}")
     fixed = args.shuffle_partitions not in (None, "auto")
     spark = build_session(
         args.app_name, shuffle_partitions=int(args.shuffle_partitions) if fixed else None
@@ -160,6 +170,7 @@ def main(argv=None, stop_session: bool = True) -> None:
             mode=args.mode,
             options=options,
             reuse=args.reuse,
+            targets=targets,
             clean_table=args.clean_table,
         )
     finally:

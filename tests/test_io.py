@@ -99,8 +99,9 @@ def test_job_rerun_appends(spark, fixture_dir, scratch):
 def test_job_cli(spark, fixture_dir, scratch):
     out = os.path.join(scratch, "cli")
     job_main(["--input", os.path.join(fixture_dir, "*.json"), "--output", out, "--mode", "overwrite",
-              "--top-n", "1"], stop_session=False)
-    trending = read_table(spark, os.path.join(out, "trending_products"))
+              "--top-n", "1", "--target", "trending_products=top_products"], stop_session=False)
+    assert sorted(os.listdir(out)) == ["conversion_funnel_metrics", "top_products", "user_session_metrics"]
+    trending = read_table(spark, os.path.join(out, "top_products"))
     assert sorted(r.product_id for r in trending.collect()) == ["p1", "p3"]
 
 
