@@ -170,3 +170,20 @@ def test_job_cli_auto_partitions(spark, fixture_dir, scratch):
               "--mode", "overwrite", "--shuffle-partitions", "auto"], stop_session=False)
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert read_table(spark, os.path.join(out, "user_session_metrics")).count() == 4
+
+
+def test_report_job_over_stored_outputs(spark, fixture_dir, scratch):
+    from sessionmetrics.plans.report import main as report_main
+
+    out = os.path.join(scratch, "out")
+    run_job(spark, os.path.join(fixture_dir, "*.json"), out, mode="overwrite")
+    rep = os.path.join(scratch, "reports")
+    report_main(["--output", out, "--write", rep], stop_session=False)
+    kpi = read_table(spark, os.path.join(rep, "kpi_summary")).first()
+    assert (kpi.total_users, kpi.total_actions) == (4, 11)
+    totals = {r.stage: r["count"] for r in read_table(spark, os.path.join(rep, "funnel_totals")).collect()}
+    assert totals == {"view": 4.0, "cart": 2.0, "purchase": 3.0}
+    assert read_table(spark, os.path.join(rep, "trending_top10")).count() == 4
+    counts = {r.table_name: r.row_count for r in read_table(spark, os.path.join(rep, "table_row_counts")).collect()}
+    assert counts == {"user_session_metrics": 4, "trending_products": 4, "conversion_funnel_metrics": 7}
+    assert read_table(spark, os.path.join(rep, "preview_user_session_metrics")).count() == 4
