@@ -118,8 +118,8 @@ def schema_contract(
         missing = [c for c in want if c not in df.columns]
         aggs = [F.count(F.lit(1)).alias("row_count")]
         if with_preview:
-            first = F.min_by(F.to_json(F.struct(*df.columns)), F.col(df.columns[0]))
-            aggs.append(first.alias("preview"))
+            # keep the row struct, serialise only the one that wins
+            aggs.append(F.min_by(F.struct(*df.columns), F.col(df.columns[0])).alias("_first"))
         out = [
             F.lit(name).alias("table_name"),
             F.lit(",".join(missing)).alias("missing_columns"),
@@ -128,7 +128,7 @@ def schema_contract(
             (F.col("row_count") == 0).alias("is_empty"),
         ]
         if with_preview:
-            out.append("preview")
+            out.append(F.to_json("_first").alias("preview"))
         parts.append(df.agg(*aggs).select(*out))
     return reduce(DataFrame.unionByName, parts)
 
