@@ -70,7 +70,8 @@ def _model(raw):
     return (strip(user), strip(session), ts, act, strip(product), strip(category), repr(price), dev)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows)
 def test_cleanse_matches_model(spark, sample):
     data = [(u, s, t[0], a, p, c, pr, d) for (u, s, t, a, p, c, pr, d) in sample]
