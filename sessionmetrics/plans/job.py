@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,10 @@ def auto_shuffle_partitions(
 
 
 def stage_clean_events(spark: SparkSession, clean: DataFrame, path: str | None = None) -> DataFrame:
-    """Write clean events as parquet in the shared folder and read them back."""
+    """Write clean events as parquet in the shared folder and read them back.
+
+    The table stays there after the job: it can feed a later run through
+    ``clean_table`` and is left to the folder's retention policy."""
     path = path or scratch_path(spark, "clean-events")
     clean.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -106,7 +110,9 @@ def run_job(
     else:
         clean = op.cleanse_events(read_raw_events(spark, input_path))
         if reuse == "stage":
-            clean = stage_clean_events(spark, clean)
+            staged = scratch_path(spark, "clean-events")
+            clean = stage_clean_events(spark, clean, staged)
+            print(f"clean events staged at {staged}", file=sys.stderr)
         elif reuse == "persist":
             clean = cached = persist_if_reused(clean)
     outputs = compute_outputs(clean, top_n)
