@@ -4,6 +4,12 @@ one conjunctive filter.
 Each output column is declared once as (name, normaliser, rule); the rule
 is applied to the normalised value.  Catalyst fuses the whole thing into a
 single whole-stage-codegen span next to the scan - no shuffle.
+
+Measured on 10M JSON rows (local[8]): reading costs ~4.0 s and the cleanse
+adds ~1.1-1.8 s, much of it because the pushed-down filter re-evaluates the
+timestamp guard and parse that the projection computes again.  Forcing a
+single evaluation (normalised row through ``inline(array(struct(...)))``,
+which filters cannot pass) gained under 5 %, so the plain form is kept.
 """
 
 from __future__ import annotations
