@@ -196,3 +196,22 @@ def test_alias_resolution_on_either_naming(spark, clean):
     assert dict(a.dtypes)["nope"] == "string"
     assert op.resolve_column(funnel, "view") == "sessions_with_view"
     assert op.resolve_column(op.funnel_documented(funnel), "view") == "view_count"
+
+
+def test_output_columns_match_declared_schemas(clean):
+    from sessionmetrics import schema as S
+
+    sessions = op.session_facts(clean)
+    funnel = op.conversion_funnel(clean)
+    trending = op.trending_products(clean)
+    assert tuple(clean.columns) == S.CLEAN_COLUMNS
+    assert tuple(sessions.columns) == S.SESSION_FACT_COLUMNS
+    assert tuple(op.user_session_metrics(sessions).columns) == S.USER_METRIC_COLUMNS
+    assert tuple(trending.columns) == S.TRENDING_COLUMNS
+    assert tuple(funnel.columns) == S.FUNNEL_COLUMNS
+    assert tuple(op.user_metrics_documented(sessions).columns) == S.DOCUMENTED_USER_COLUMNS
+    assert tuple(op.funnel_documented(funnel).columns) == S.FUNNEL_KEYS + S.DOCUMENTED_FUNNEL_COLUMNS
+    assert tuple(op.trending_documented(trending).columns) == S.DOCUMENTED_TRENDING_COLUMNS
+    types = dict(op.user_session_metrics(sessions).dtypes)
+    assert types["total_activity_count"] == "bigint" and types["bounce_rate"] == "double"
+    assert dict(trending.dtypes)["rn"] == "int" and dict(sessions.dtypes)["is_bounce"] == "int"
