@@ -72,47 +72,57 @@ def main() -> None:
     # codegen caches) so the timed runs measure the steady state.
     if os.environ.get("BENCH_WARMUP", "1") != "0":
         for q in queries.values():
-            _run(q(spark, sf_dir))
+            try:
+                _run(q(spark, sf_dir))
+            except Exception:  # reported by the timed run below
+                pass
 
-    results: dict[str, float] = {}
+    results: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name, q in queries.items():
-        results[name] = round(_timed(lambda q=q: _run(q(spark, sf_dir)), repeat), 4)
-
-    # End-to-end job: JSON-lines input prepared once (untimed), then the
-    # full read -> cleanse -> stage -> three outputs.
-    src = scratch_path(spark, "bench-json")
-    write_jsonl(raw_events(spark, sf_dir), src, records_per_file=25_000)
-    results["job_end_to_end"] = round(
-        _timed(lambda: run_job(spark, src, scratch_path(spark, "bench-out"), mode="overwrite"), repeat),
-        4,
-    )
-
-    # The same job over ten copies of the raw events as several JSON-lines
-    # files, so the scan runs as parallel tasks (rows repeat; the job does
-    # not deduplicate).
+        try:
+            results[name] = round(_timed(lambda q=q: _run(q(spark, sf_dir)), repeat), 4)
+        except Exception as exc:  # keep benchmarking the rest; report the failure
+            results[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+
+    def job_entry(name: str, copies: int) -> int:
+        """Write ``copies`` of the raw events as JSON lines (untimed), then
+        time the whole job over them.  Returns the number of input events."""
+        try:
+            raw = raw_events(spark, sf_dir)
+            src = scratch_path(spark, f"bench-json-{copies}")
+            data = reduce(lambda a, b: a.unionByName(b), [raw] * copies)
+            write_jsonl(data, src, records_per_file=25_000 if copies == 1 else 50_000)
+            out = lambda: run_job(spark, src, scratch_path(spark, "bench-out"), mode="overwrite")
+            results[name] = round(_timed(out, repeat), 4)
+            return raw.count() * copies
+        except Exception as exc:
+            results[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return 0
+
+    # End-to-end job: read JSON lines -> cleanse -> stage -> three outputs.
+    job_entry("job_end_to_end", 1)
+    # The same job over ten copies of the raw events in several files, so the
+    # scan runs as parallel tasks (rows repeat; the job does not deduplicate).
     copies = int(os.environ.get("BENCH_COPIES", "10"))
-    raw = raw_events(spark, sf_dir)
-    big_src = scratch_path(spark, "bench-json-x")
-    write_jsonl(reduce(lambda a, b: a.unionByName(b), [raw] * copies), big_src, records_per_file=50_000)
-    n_events = raw.count() * copies
     key = f"job_end_to_end_x{copies}"
-    results[key] = round(
-        _timed(lambda: run_job(spark, big_src, scratch_path(spark, "bench-out"), mode="overwrite"), repeat),
-        4,
-    )
+    n_events = job_entry(key, copies)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_query_seconds",
-        "value": round(sum(results.values()), 4),
+        "value": round(sum(v for v in results.values() if v is not None), 4),
         "unit": "sec",
         "queries": results,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
         "repeat": repeat,
         "job_events": n_events,
-        "job_events_per_sec": round(n_events / results[key]) if results[key] else None,
+        "job_events_per_sec": round(n_events / results[key]) if results.get(key) else None,
         "warmup": os.environ.get("BENCH_WARMUP", "1") != "0",
+        "errors": errors,
     }
     print(json.dumps(out))
     spark.stop()
