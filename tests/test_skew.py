@@ -66,3 +66,36 @@ def test_skewed_trending_and_funnel(skewed):
     df, file = skewed
     _same(op.trending_products(df), _duck(file, (O.PURCHASES, O._trending(5)), "SELECT * FROM trending"))
     _same(op.conversion_funnel(df), _duck(file, (O.SLICES, O.FUNNEL), "SELECT * FROM funnel"))
+
+
+def test_lookup_join_fallback_splits_hot_key(spark):
+    from conftest import SF_ORACLE as D
+    from sessionmetrics.sources import load_table
+
+    events = load_table(spark, D, "events")
+    part = load_table(spark, D, "part").select(
+        F.col("p_partkey").alias("_partkey"), F.col("p_type").alias("category")
+    )
+    hot = F.abs(F.xxhash64("event_id")) % 3 == 0
+    # many map tasks, as on a cluster (AQE splits along map-output boundaries)
+    left = events.repartition(8).select(
+        "event_id", F.when(hot, F.lit(1)).otherwise(F.col("user_id") % 200).alias("_partkey")
+    )
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = op.lookup_join(left, part, "_partkey", how="left", max_bytes=0)
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "skew=true" in plan
+    assert len(rows) == events.count()
