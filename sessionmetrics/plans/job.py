@@ -18,6 +18,7 @@ import argparse
 import os
 import sys
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,7 @@ def run_job(
     clean_table: str | None = None,
     reuse: str | None = None,
     targets: Mapping[str, str] | None = None,
+    parallel_writes: bool = True,
 ) -> dict[str, DataFrame]:
     """Run the job; returns the output DataFrames (already written).
 
@@ -100,6 +102,9 @@ def run_job(
     sinks ``output`` is passed as the ``database`` option and the name as
     ``collection``, next to ``options``.  ``targets`` renames outputs
     (``{"trending_products": "top_products"}``); others keep their table name.
+    With ``parallel_writes`` the three writes are submitted as concurrent
+    Spark jobs, so one output's small final stages overlap the others'
+    scans instead of leaving executors idle.
     """
     reuse = reuse or ("stage" if stage else "none")
     if reuse not in REUSE_MODES:
@@ -116,15 +121,26 @@ def run_job(
         elif reuse == "persist":
             clean = cached = persist_if_reused(clean)
     outputs = compute_outputs(clean, top_n)
+    names = {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
+
+    def write(table: str) -> None:
+        name = names[table]
+        if fmt in PATH_FORMATS:
+            write_table(outputs[table], os.path.join(output, name), fmt=fmt, mode=mode, options=options)
+        else:
+            opts = {"database": output, "collection": name, **dict(options or {})}
+            write_table(outputs[table], None, fmt=fmt, mode=mode, options=opts)
+
     try:
-        names = {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
-        for table, df in outputs.items():
-            name = names[table]
-            if fmt in PATH_FORMATS:
-                write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
-            else:
-                opts = {"database": output, "collection": name, **dict(options or {})}
-                write_table(df, None, fmt=fmt, mode=mode, options=opts)
+        if parallel_writes:
+            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+                futures = [pool.submit(write, t) for t in outputs]
+            errors = [f.exception() for f in futures if f.exception() is not None]
+            if errors:
+                raise errors[0]
+        else:
+            for table in outputs:
+                write(table)
     finally:
         if cached is not None:
             cached.unpersist()

@@ -187,3 +187,13 @@ def test_report_job_over_stored_outputs(spark, fixture_dir, scratch):
     counts = {r.table_name: r.row_count for r in read_table(spark, os.path.join(rep, "table_row_counts")).collect()}
     assert counts == {"user_session_metrics": 4, "trending_products": 4, "conversion_funnel_metrics": 7}
     assert read_table(spark, os.path.join(rep, "preview_user_session_metrics")).count() == 4
+
+
+def test_parallel_writes_raise_the_failure(spark, fixture_dir, scratch):
+    import pytest
+
+    out = os.path.join(scratch, "twice")
+    src = os.path.join(fixture_dir, "*.json")
+    run_job(spark, src, out, mode="error", reuse="none")
+    with pytest.raises(Exception, match="(?i)already exists"):
+        run_job(spark, src, out, mode="error", reuse="none")
