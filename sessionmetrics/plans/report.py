@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,11 @@ def main(argv=None, stop_session: bool = True) -> dict[str, DataFrame]:
     spark = build_session("sessionmetrics-report")
     try:
         tables = load_outputs(spark, args.output, args.format, dict(kv.split("=", 1) for kv in args.target))
+        empty = [name for name, df in tables.items() if op.is_empty(df)]
+        if len(empty) == len(tables):
+            print("all metric tables are empty: run the job first", file=sys.stderr)
+        elif empty:
+            print(f"empty metric tables: {', '.join(empty)}", file=sys.stderr)
         reports = build_reports(tables)
         for name, df in reports.items():
             if args.write:
