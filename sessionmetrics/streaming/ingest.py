@@ -10,6 +10,8 @@ batch append.  The batch job then reads the table as its clean input.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,12 +20,20 @@ from ..schema import RAW_SCHEMA
 
 
 def read_raw_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Streaming S1: new JSON-lines files under ``path`` with the raw schema."""
+    """Streaming S1: new JSON-lines files under ``path`` with the raw schema.
+
+    ``options`` go to the file source, e.g. ``cleanSource`` /
+    ``sourceArchiveDir`` to move processed files away (keeps listing cheap
+    as the folder grows) or ``maxFileAge``."""
     reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = reader.options(**dict(options or {}))
     return reader.json(path)
 
 
@@ -35,6 +45,7 @@ def start_clean_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the ingest stream ``source`` (folder of JSON lines) -> ``table``
     (parquet folder).  ``checkpoint`` must stay the same across runs; it
@@ -44,7 +55,7 @@ def start_clean_ingest(
     incremental batch); otherwise it runs continuously on
     ``processing_time`` triggers.
     """
-    clean = cleanse_events(read_raw_stream(spark, source, max_files_per_trigger))
+    clean = cleanse_events(read_raw_stream(spark, source, max_files_per_trigger, source_options))
     writer = (
         clean.writeStream.format("parquet")
         .outputMode("append")
@@ -58,9 +69,17 @@ def start_clean_ingest(
     return writer.start()
 
 
-def ingest_available(spark: SparkSession, source: str, table: str, checkpoint: str | None = None) -> None:
+def ingest_available(
+    spark: SparkSession,
+    source: str,
+    table: str,
+    checkpoint: str | None = None,
+    source_options: Mapping[str, str] | None = None,
+) -> None:
     """Process every file not yet ingested, then return."""
-    query = start_clean_ingest(spark, source, table, checkpoint, available_now=True)
+    query = start_clean_ingest(
+        spark, source, table, checkpoint, available_now=True, source_options=source_options
+    )
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
