@@ -197,3 +197,22 @@ def test_parallel_writes_raise_the_failure(spark, fixture_dir, scratch):
     run_job(spark, src, out, mode="error", reuse="none")
     with pytest.raises(Exception, match="(?i)already exists"):
         run_job(spark, src, out, mode="error", reuse="none")
+
+
+def test_job_non_path_sink_gets_database_and_collection(spark, fixture_dir):
+    # "noop" is a sink without a path that accepts any options, like a
+    # document-store connector would take database / collection / batch size
+    outputs = run_job(
+        spark, os.path.join(fixture_dir, "*.json"), "analytics", fmt="noop", mode="overwrite",
+        options={"batchSize": "500", "writeConcern.w": "1"},
+    )
+    assert set(outputs) == {"user_session_metrics", "trending_products", "conversion_funnel_metrics"}
+
+
+def test_partitioned_table_round_trip(spark, scratch):
+    funnel = op.conversion_funnel(op.cleanse_events(raw_events(spark, SF_SMALL)))
+    path = os.path.join(scratch, "funnel")
+    write_table(funnel, path, mode="overwrite", partition_by=["event_date"])
+    assert any(d.startswith("event_date=") for d in os.listdir(path))
+    back = read_table(spark, path).select(*funnel.columns)
+    assert _rows(back) == _rows(funnel)
