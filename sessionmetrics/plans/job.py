@@ -15,8 +15,8 @@ Plan for a large input:
 from __future__ import annotations
 
 import argparse
+import logging
 import os
-import sys
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,6 +28,8 @@ from ..schema import DEFAULT_TOP_N
 from ..session import build_session, scratch_path
 from ..sources import persist_if_reused, read_raw_events, write_table
 
+log = logging.getLogger(__name__)
+
 OUTPUT_TABLES = ("user_session_metrics", "trending_products", "conversion_funnel_metrics")
 PATH_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
 REUSE_MODES = ("stage", "persist", "none")
@@ -117,7 +119,7 @@ def run_job(
         if reuse == "stage":
             staged = scratch_path(spark, "clean-events")
             clean = stage_clean_events(spark, clean, staged)
-            print(f"clean events staged at {staged}", file=sys.stderr)
+            log.info("clean events staged at %s", staged)
         elif reuse == "persist":
             clean = cached = persist_if_reused(clean)
     outputs = compute_outputs(clean, top_n)
@@ -169,6 +171,7 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, stop_session: bool = True) -> None:
     """CLI entry; ``stop_session=False`` leaves a shared session running."""
     args = parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
     options = dict(kv.split("=", 1) for kv in args.option)
     targets = dict(kv.split("=", 1) for kv in args.target)
     unknown = set(targets) - set(OUTPUT_TABLES)
