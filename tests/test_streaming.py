@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 
 from conftest import fixture_lines
 from sessionmetrics import operators as op
