@@ -171,11 +171,12 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, stop_session: bool = True) -> None:
     """CLI entry; ``stop_session=False`` leaves a shared session running."""
     args = parse_args(argv)
-    handler = logging.StreamHandler()
-    handler.setFormatter(logging.Formatter("%(levelname)s %(name)s: %(message)s"))
     pkg = logging.getLogger("sessionmetrics")
     pkg.setLevel(logging.INFO)
-    pkg.addHandler(handler)
+    if not pkg.handlers:
+        handler = logging.StreamHandler()
+        handler.setFormatter(logging.Formatter("%(levelname)s %(name)s: %(message)s"))
+        pkg.addHandler(handler)
     options = dict(kv.split("=", 1) for kv in args.option)
     targets = dict(kv.split("=", 1) for kv in args.target)
     unknown = set(targets) - set(OUTPUT_TABLES)
