@@ -36,6 +36,12 @@ SHOW = [
 def _short(line: str, width: int = 150) -> str:
     line = re.sub(r"#\d+L?", "", line)
     line = re.sub(r", \[plan_id=\d+\]", "", line)
+    if "FileScan" in line:
+        # keep what shows pruning and pushdown: columns, pushed filters, read schema
+        head = line[: line.index("FileScan")] + line[line.index("FileScan"):].split(" Batched")[0]
+        pushed = re.search(r"PushedFilters: \[[^\]]*\]", line)
+        schema = re.search(r"ReadSchema: \S+", line)
+        return " ".join([head] + [m.group(0) for m in (pushed, schema) if m])
     return line if len(line) <= width else line[: width - 3] + "..."
 
 
