@@ -79,12 +79,17 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events (RAW_SCHEMA columns) from the tables in ``sf_dir``."""
+def raw_events(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """Raw events (RAW_SCHEMA columns) from the tables in ``sf_dir``.
+
+    The plan is kept per session, including the broadcast-or-shuffle choice
+    for the part lookup; ``refresh=True`` rebuilds it (e.g. after changing
+    the broadcast threshold or the files)."""
     return session_handle(
         spark,
         ("raw_events", os.path.abspath(sf_dir)),
         lambda: raw_events_from_tables(
-            load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "part")
+            load_table(spark, sf_dir, "events", refresh), load_table(spark, sf_dir, "part", refresh)
         ),
+        refresh,
     )

@@ -216,3 +216,10 @@ def test_partitioned_table_round_trip(spark, scratch):
     assert any(d.startswith("event_date=") for d in os.listdir(path))
     back = read_table(spark, path).select(*funnel.columns)
     assert _rows(back) == _rows(funnel)
+
+
+def test_raw_events_refresh_rebuilds_the_plan(spark):
+    a = raw_events(spark, SF_SMALL)
+    assert raw_events(spark, SF_SMALL) is a
+    b = raw_events(spark, SF_SMALL, refresh=True)
+    assert b is not a and _rows(a) == _rows(b)
