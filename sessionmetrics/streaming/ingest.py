@@ -83,3 +83,38 @@ def ingest_available(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def main(argv=None) -> None:
+    """CLI: ``python -m sessionmetrics.streaming.ingest --source in/ --table clean/``."""
+    import argparse
+
+    from ..session import build_session
+
+    p = argparse.ArgumentParser(description="Cleanse new JSON-lines event files into a parquet table.")
+    p.add_argument("--source", required=True, help="folder the event files arrive in")
+    p.add_argument("--table", required=True, help="parquet folder of clean events")
+    p.add_argument("--checkpoint", default=None, help="stream checkpoint (default: <table>_checkpoint)")
+    p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--source-option", action="append", default=[], help="file-source option key=value")
+    p.add_argument("--continuous", action="store_true", help="keep running instead of stopping when caught up")
+    p.add_argument("--trigger", default="1 minute", help="processing-time trigger for --continuous")
+    args = p.parse_args(argv)
+    spark = build_session("sessionmetrics-ingest")
+    query = start_clean_ingest(
+        spark,
+        args.source,
+        args.table,
+        args.checkpoint,
+        available_now=not args.continuous,
+        processing_time=args.trigger if args.continuous else None,
+        max_files_per_trigger=args.max_files_per_trigger,
+        source_options=dict(kv.split("=", 1) for kv in args.source_option),
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+if __name__ == "__main__":
+    main()
