@@ -62,3 +62,15 @@ def test_ingest_can_archive_processed_files(spark, scratch):
     # every row arrives; Spark moves processed files to the archive in the
     # background after the commit, so their location is not asserted here
     assert read_table(spark, table).count() == 11
+
+
+def test_ingest_cli(spark, scratch):
+    from sessionmetrics.streaming.ingest import main as ingest_main
+
+    src = os.path.join(scratch, "incoming")
+    table = os.path.join(scratch, "clean")
+    os.makedirs(src)
+    _write(src, "part-00000.json", fixture_lines()[:5])
+    _write(src, "part-00001.json", fixture_lines()[5:])
+    ingest_main(["--source", src, "--table", table, "--max-files-per-trigger", "1"])
+    assert read_table(spark, table).count() == 11
