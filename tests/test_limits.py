@@ -1,0 +1,36 @@
+"""S4 guarantees: exact distributed cap, rows-per-file bound."""
+
+from __future__ import annotations
+
+import os
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import SF_SMALL
+from sessionmetrics.operators import cap_rows
+from sessionmetrics.sources import raw_events, write_jsonl
+
+
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=6), st.integers(0, 120))
+def test_cap_rows_takes_first_rows_in_partition_order(spark, sizes, n):
+    # partition i holds ids [offset_i, offset_i + sizes[i]) in order (some may be empty)
+    parts = [list(range(sum(sizes[:i]), sum(sizes[: i + 1]))) for i in range(len(sizes))]
+    rows = spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda p: [(x,) for x in p])
+    df = spark.createDataFrame(rows, "id long")
+    assert df.rdd.getNumPartitions() == len(parts)
+    got = sorted(r.id for r in cap_rows(df, n).collect())
+    assert got == list(range(min(n, sum(sizes))))
+
+
+def test_jsonl_files_hold_at_most_n_rows(spark, scratch):
+    path = os.path.join(scratch, "jsonl")
+    write_jsonl(raw_events(spark, SF_SMALL).repartition(3), path, records_per_file=128)
+    counts = []
+    for name in os.listdir(path):
+        if name.endswith(".json"):
+            with open(os.path.join(path, name)) as fh:
+                counts.append(sum(1 for _ in fh))
+    assert counts and max(counts) <= 128 and sum(counts) == raw_events(spark, SF_SMALL).count()
