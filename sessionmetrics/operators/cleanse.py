@@ -27,10 +27,17 @@ from ..schema import MIN_PRICE, VALID_ACTIONS, VALID_DEVICES
 
 @dataclass(frozen=True)
 class FieldRule:
+    """One output column: ``normalise(raw[source])`` named ``name``, kept
+    when ``valid`` holds.  ``requires_raw`` says the rule can only pass when
+    the raw field is present (true whenever ``normalise`` maps null to null
+    and ``valid`` rejects null); it is then also checked on the raw column so
+    the reader can filter while parsing."""
+
     name: str
     source: str
     normalise: Callable[[Column], Column]
     valid: Callable[[Column], Column]
+    requires_raw: bool = True
 
 
 def _present(c: Column) -> Column:
@@ -62,13 +69,11 @@ CLEAN_RULES: tuple[FieldRule, ...] = (
 def cleanse_events(raw: DataFrame, rules: tuple[FieldRule, ...] = CLEAN_RULES) -> DataFrame:
     """Raw events -> clean events (user_id, session_id, event_ts, action,
     product_id, category, price, device_type)."""
-    # Every normaliser maps null to null and every rule rejects null, so each
-    # rule implies "raw column is not null".  Stating that on the raw columns
-    # changes no result but reaches the scan as IsNotNull filters, which the
-    # JSON and parquet readers apply while reading.
-    present = [F.col(r.source).isNotNull() for r in rules]
-    normalised = raw.where(reduce(lambda a, b: a & b, present)).select(
-        *[r.normalise(F.col(r.source)).alias(r.name) for r in rules]
-    )
+    # For rules that need their raw field, "raw column is not null" is implied;
+    # stating it changes no result but reaches the scan as IsNotNull filters,
+    # which the JSON and parquet readers apply while reading.
+    present = [F.col(r.source).isNotNull() for r in rules if r.requires_raw]
+    source = raw.where(reduce(lambda a, b: a & b, present)) if present else raw
+    normalised = source.select(*[r.normalise(F.col(r.source)).alias(r.name) for r in rules])
     keep = reduce(lambda a, b: a & b, [r.valid(F.col(r.name)) for r in rules])
     return normalised.where(keep)

@@ -215,3 +215,23 @@ def test_output_columns_match_declared_schemas(clean):
     types = dict(op.user_session_metrics(sessions).dtypes)
     assert types["total_activity_count"] == "bigint" and types["bounce_rate"] == "double"
     assert dict(trending.dtypes)["rn"] == "int" and dict(sessions.dtypes)["is_bounce"] == "int"
+
+
+def test_rule_without_raw_requirement_keeps_null_rows(spark):
+    from pyspark.sql import functions as F
+
+    from sessionmetrics.operators import CLEAN_RULES, FieldRule
+    from sessionmetrics.schema import RAW_SCHEMA
+
+    # a custom rule that fills a missing category instead of rejecting it
+    rules = tuple(
+        FieldRule("category", "category", lambda c: F.coalesce(F.trim(c), F.lit("unknown")),
+                  lambda c: c.isNotNull(), requires_raw=False)
+        if r.name == "category" else r
+        for r in CLEAN_RULES
+    )
+    df = spark.createDataFrame(
+        [("u", "s", "2024-01-01", "view", "p", None, 1.0, "mobile")], RAW_SCHEMA
+    )
+    assert [r.category for r in op.cleanse_events(df, rules).collect()] == ["unknown"]
+    assert op.cleanse_events(df).count() == 0
