@@ -10,6 +10,8 @@ Plan for a large input:
   2. the three tables are independent aggregate plans over that table;
      every one pre-aggregates map-side before its shuffle, so hot users,
      sessions or categories are collapsed per task first.
+  3. the three writes are submitted as concurrent Spark jobs, so the small
+     final stages of one overlap the scans of the others.
 """
 
 from __future__ import annotations
