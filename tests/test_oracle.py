@@ -53,3 +53,17 @@ def test_entry_smoke(spark):
 def test_small_sf_runs(spark):
     for name, q in entry.queries().items():
         assert q(spark, SF_SMALL).count() >= 0, name
+
+
+CORE = ["clean_events", "session_facts", "user_session_metrics", "trending_products", "conversion_funnel"]
+
+
+@pytest.fixture(scope="module")
+def oracle_small():
+    return _Con(SF_SMALL)
+
+
+@pytest.mark.parametrize("name", CORE)
+def test_core_queries_match_oracle_at_sf0001(spark, oracle_small, name):
+    ok, msg = compare(spark, oracle_small, name, entry.queries()[name], entry.oracle_sql()[name])
+    assert ok, f"{name}: {msg}"
