@@ -1,7 +1,7 @@
 """Benchmark: every catalogued query plus the end-to-end job.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all
-cores), BENCH_REPEAT (default 3; the median is reported), BENCH_COPIES
+cores), BENCH_REPEAT (default 5; the median is reported), BENCH_COPIES
 (default 10: input copies for the parallel job entry), BENCH_DRIVER_MEMORY,
 BENCH_WARMUP (default 1: one untimed pass over all queries first).  Each query is
 built and fully executed into the no-op sink (no collect).  Prints one JSON
@@ -55,7 +55,7 @@ def _driver_memory() -> str:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = build_session(
         "sessionmetrics-bench",
         master=f"local[{cpus}]",
