@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, PREVIEW_ROWS
+from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, FUNNEL_KEYS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path, session_handle
 from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
 from ..streaming import ingest_available
@@ -107,6 +107,8 @@ QUERIES: dict[str, Query] = {
     "trending_top10": lambda s, d: op.trending_top10(_trending(s, d)),
     "alias_resolution": lambda s, d: op.resolve_select(_users(s, d), ["user_id", "total_actions"]),
     "metrics_preview": lambda s, d: op.preview(_users(s, d), ["user_id"], PREVIEW_ROWS),
+    "funnel_preview": lambda s, d: op.preview(_funnel(s, d), list(FUNNEL_KEYS), PREVIEW_ROWS),
+    "trending_preview": lambda s, d: op.preview(_trending(s, d), ["category", "rn"], PREVIEW_ROWS),
     "table_row_counts": lambda s, d: op.table_row_counts(_outputs(s, d)),
     "schema_contract": lambda s, d: op.schema_contract(_outputs(s, d), EXPECTED_COLUMNS),
     "jsonl_roundtrip": _jsonl_roundtrip,

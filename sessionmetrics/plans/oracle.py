@@ -247,6 +247,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT user_id, total_activity_count AS total_actions FROM users"
     )
     q["metrics_preview"] = _with(*_USERS) + f"SELECT * FROM users ORDER BY user_id LIMIT {PREVIEW_ROWS}"
+    q["funnel_preview"] = _with(*_FUNNEL) + (
+        f"SELECT {_cols(FUNNEL_COLUMNS)} FROM funnel "
+        f"ORDER BY event_date, category, device_type LIMIT {PREVIEW_ROWS}"
+    )
+    q["trending_preview"] = _with(*_TREND) + (
+        f"SELECT {_cols(TRENDING_COLUMNS)} FROM trending ORDER BY category, rn LIMIT {PREVIEW_ROWS}"
+    )
     q["table_row_counts"] = _with(*_ALL) + (
         "SELECT 'user_session_metrics' AS table_name, count(*) AS row_count FROM users UNION ALL "
         "SELECT 'conversion_funnel_metrics', count(*) FROM funnel UNION ALL "
