@@ -22,13 +22,13 @@ ORACLES: dict[str, str] = {
         ), gone AS (
             SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM later
         ), per_doc AS (
-            SELECT doc_id, list(i) AS at FROM gone GROUP BY doc_id
+            SELECT doc_id, list(i) AS places FROM gone GROUP BY doc_id
         )
         SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words,
-            CAST(coalesce(len(at), 0) AS BIGINT) AS n_removed,
+            CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
             sha256(array_to_string(list_transform(list_filter(
                 list_zip(w, range(1, len(w) + 1)),
-                lambda p: NOT list_contains(coalesce(at, []), p[2])), lambda p: p[1]), ' ')) AS kept_sha256
+                lambda p: NOT list_contains(coalesce(places, []), p[2])), lambda p: p[1]), ' ')) AS kept_sha256
         FROM words LEFT JOIN per_doc USING (doc_id)
     """,
 }

@@ -9,10 +9,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import difference_cover
+from . import difference_cover, language, mixing, resampling
+from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def learned_from(modulus: int) -> Column:
+    """Rows a model may learn from: crc32 of the id's text, modulo, is not 2."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus != 2, F.lit(False))
+
+
+#: Part of the corpus that importance resampling keeps.
+KEPT_FRACTION = 0.85
+
+
+def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), good, KEPT_FRACTION)
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = difference_cover.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -28,10 +45,34 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(learned_from(4)))
+    held_out = docs.withColumn("held_out", ~learned_from(4))
+    found = language.identify(held_out, model, keep=("doc_id", "held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_quality_resampling": op3_quality_resampling,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_language": op9_language,
+    "op10_mixing": op10_mixing,
 }
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _shipped(query) for name, query in QUERIES.items()}
