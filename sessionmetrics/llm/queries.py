@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import difference_cover, language, mixing, resampling
+from . import difference_cover, language, mixing, packing, resampling
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,21 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary() -> str:
+    """The public vocabulary whose ids are packed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary())
+    cut = cut.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(cut).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(learned_from(4)))
@@ -61,6 +76,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_quality_resampling": op3_quality_resampling,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
 }
