@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import difference_cover, language, mixing, packing, resampling
+from . import difference_cover, language, mixing, packing, resampling, simhash
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,15 @@ def learned_from(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus != 2, F.lit(False))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 #: Part of the corpus that importance resampling keeps.
 KEPT_FRACTION = 0.85
 
@@ -74,6 +83,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_quality_resampling": op3_quality_resampling,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
