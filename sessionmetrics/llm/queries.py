@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import difference_cover, language, mixing, packing, resampling, simhash
+from . import cross_polytope, difference_cover, hilbert, language, mixing, packing, resampling, simhash
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,19 @@ def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.withColumnRenamed("id", "doc_id")
 
 
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cross_polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
+def op5_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hilbert.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = difference_cover.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -85,6 +98,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_quality_resampling": op3_quality_resampling,
+    "op4_cross_polytope": op4_cross_polytope,
+    "op5_hilbert_search": op5_hilbert_search,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
     "op9_language": op9_language,

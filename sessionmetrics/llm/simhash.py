@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import scratch
+from . import grid, scratch
 from .blocks import column_bytes, pack, split, unpack
 from .components import components, local_stars
 from .text import U, mix, ranges
@@ -38,8 +38,6 @@ from .text import U, mix, ranges
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-#: Homes of one anchor that are compared in one cell, and hot anchors sent to tasks.
-CELL, HOT_ANCHORS = 4096, 20_000
 _ROWS = 1 << 20
 _PAIRS = 1 << 22
 
@@ -179,24 +177,6 @@ def anchors(fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(homes)
 
 
-def _cells(key, home, row, fp, hot: dict[int, int]):
-    """Rows with a cell: one for most anchors, a grid for those in ``hot``."""
-    cell = np.zeros(len(key), np.int64)
-    if not hot:
-        return key, home, row, cell
-    anchors_, widths = np.array(list(hot), U), np.array(list(hot.values()), np.int64)
-    order = np.argsort(anchors_)
-    anchors_, widths = anchors_[order], widths[order]
-    at = np.minimum(np.searchsorted(anchors_, key), len(anchors_) - 1)
-    width = np.where(anchors_[at] == key, widths[at], 1)
-    copy = np.repeat(np.arange(len(key)), width)
-    other = ranges(np.zeros(len(key), np.int64), width)
-    key, home, row, width = key[copy], home[copy], row[copy], width[copy]
-    own = (mix(fp[row]) % width.astype(U)).astype(np.int64)
-    # a home x is in line i of the grid, a replica in column j
-    return key, home, row, np.where(home, own * width + other, other * width + own)
-
-
 def _replicate(hot: dict[int, int], buckets: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +187,8 @@ def _replicate(hot: dict[int, int], buckets: int, threshold: int):
                 # a home is a replica too: it is compared with the other homes
                 row, key = np.concatenate([row, row[home]]), np.concatenate([key, key[home]])
                 home = np.concatenate([np.zeros(len(home), bool), np.ones(int(home.sum()), bool)])
-                key, home, row, cell = _cells(key, home, row, fp, hot)
+                copy, cell = grid.spread(key, home, fp[row], hot)
+                key, home, row = key[copy], home[copy], row[copy]
                 bucket = (mix(key * U(0x9E3779B97F4A7C15) + cell.astype(U)) % U(buckets)).astype(np.int32)
                 # the grid's cells are told apart within their bucket
                 parts = list(split(bucket, key | (cell.astype(U) << U(33)), fp[row], home))
@@ -229,18 +210,8 @@ def _compare(distance: int):
         first = np.flatnonzero(np.diff(key, prepend=key[:1] ^ U(1)))
         count = np.diff(np.append(first, len(key)))
         homes = np.add.reduceat(home.astype(np.int64), first)
-        # runs of (home, all replicas of its anchor), a bounded number at a time
-        live = (homes > 0) & (count - homes > 1)
-        first, count, homes = first[live], count[live], homes[live]
-        x_all = ranges(first, homes)
-        lo_all, n_all = np.repeat(first + homes, homes), np.repeat(count - homes, homes)
-        cuts = np.searchsorted(np.cumsum(n_all), np.arange(0, int(n_all.sum()) + _PAIRS, _PAIRS))
         root = np.arange(len(names))
-        for a, b in zip(cuts, [*cuts[1:], len(x_all)]):
-            if a == b:
-                continue
-            x = np.repeat(x_all[a:b], n_all[a:b])
-            y = ranges(lo_all[a:b], n_all[a:b])
+        for x, y in grid.pair_chunks(homes, first, count, _PAIRS):
             near = np.bitwise_count(fp[x] ^ fp[y]) <= distance
             nx, ny = root[node[x[near]]], root[node[y[near]]]
             apart = nx != ny
@@ -254,7 +225,7 @@ def _compare(distance: int):
     return run
 
 
-def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(nodes: DataFrame, distance: int = DISTANCE, cell: int = grid.CELL) -> DataFrame:
     """Star edges (a, b) that connect the distinct fingerprints ``fp`` of
     ``nodes`` exactly as all links within ``distance`` bits do."""
     spark = nodes.sparkSession
@@ -263,12 +234,10 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, key, home = anchors(batch.column(0).to_numpy().view(U), 0)
-            yield pa.RecordBatch.from_arrays([pa.array(key[home].view(np.int64))], names=["anchor"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[home].view(np.int64))], names=["key"])
 
     n = nodes.count()
-    cell = max(CELL, 2 * n // HOT_ANCHORS)  # so at most HOT_ANCHORS anchors are above it
-    crowded = nodes.select("fp").mapInArrow(homes, "anchor long").groupBy("anchor").count().where(F.col("count") > cell)
-    hot = {int(np.int64(r[0]).view(U)): -(-r[1] // cell) for r in crowded.collect()}
+    hot = grid.crowded(nodes.select("fp").mapInArrow(homes, "key long"), 2 * n, cell)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * 80 // _ROWS)
     return (
         nodes.select("fp").mapInArrow(_replicate(hot, buckets, threshold), "bucket int, payload binary")
