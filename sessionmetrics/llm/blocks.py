@@ -178,10 +178,15 @@ def ask_again(
 def answer(asked: DataFrame, fn: Callable[[list[memoryview]], list[bytes]]) -> DataFrame:
     """``fn(payloads)`` gets all payloads of a bucket, in order of their
     blocks, and returns one reply for each."""
+    return answer_by_bucket(asked, lambda payloads, bucket: fn(payloads))
+
+
+def answer_by_bucket(asked: DataFrame, fn: Callable[[list[memoryview], int], list[bytes]]) -> DataFrame:
+    """Like ``answer`` with ``fn(payloads, bucket)``."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        replies = fn(column_bytes(table.column("payload")))
+        replies = fn(column_bytes(table.column("payload")), table.column("bucket")[0].as_py())
         return pa.table(
             [table.column("block"), table.column("bucket"), pa.array(replies, pa.binary())],
             names=["block", "bucket", "payload"],

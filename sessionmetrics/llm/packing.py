@@ -41,7 +41,7 @@ EPOCHS = 2
 GENERATIONS = 8
 POPULATION = 4
 WELL_FILLED = 0.97
-_PART = 8 << 20
+_PART = 2 << 20
 
 # Fixed value: the split of byte-level BPE with 50k ids.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_polytope, difference_cover, hilbert, language, mixing, packing, resampling, simhash
+from . import cross_polytope, difference_cover, hilbert, language, mixing, packing, resampling, run_length, simhash
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,13 @@ def op5_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op6_run_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_length.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = difference_cover.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
@@ -100,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_resampling": op3_quality_resampling,
     "op4_cross_polytope": op4_cross_polytope,
     "op5_hilbert_search": op5_hilbert_search,
+    "op6_run_length": op6_run_length,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
     "op9_language": op9_language,

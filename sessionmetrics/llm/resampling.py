@@ -34,7 +34,7 @@ from .text import Rolling, U, Words, byte_symbols, mix, LOWER
 
 SLOTS = 10_000
 TARGET_ROWS = 20_000
-_PART = 4 << 20
+_PART = 2 << 20
 
 
 def _parts(texts: list[memoryview]) -> Iterator[tuple[int, int, Words]]:

@@ -77,7 +77,7 @@ class Rolling:
         if n <= 0:
             return np.zeros(0, dtype=U)
         raw = (self.prefix[length:] - self.prefix[:n]) * self.inverse[:n]
-        return mix(raw + U(length) * U(0x9E3779B97F4A7C15))
+        return mix(raw + np.full(1, length, U) * U(0x9E3779B97F4A7C15))
 
 
 class Words:
