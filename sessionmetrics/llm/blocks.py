@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
@@ -92,8 +92,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
 class Blocks:
     """A stored set of blocks (see ``store``)."""
 
-    def __init__(self, table: DataFrame, path: str, n_bytes: int, tasks: int):
-        self.table, self.path, self.n_bytes, self.tasks = table, path, n_bytes, tasks
+    def __init__(self, table: DataFrame, n_bytes: int, tasks: int, files: int):
+        self.table, self.n_bytes, self.tasks, self.files = table, n_bytes, tasks, files
 
     @property
     def buckets(self) -> int:
@@ -107,16 +107,23 @@ def store(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long"), F.col(text_col).cast("binary")
     )
-    path, name = scratch.fresh_dir(spark, "blocks"), f"llm_blocks_{uuid.uuid4().hex}"
     n_bytes = int(docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(tasks, -(-n_bytes // (8 * block_bytes)))
+    files = max(tasks, -(-n_bytes // (8 * block_bytes)))
     made = rows.mapInArrow(lambda it: _blocks(it, block_bytes), _STORED)
+    return Blocks(_by_block(made, files), n_bytes, tasks, files)
+
+
+def _by_block(df: DataFrame, files: int) -> DataFrame:
+    """``df`` written to the shared folder, bucketed by its column ``block``:
+    such tables meet block by block without a shuffle."""
+    spark = df.sparkSession
+    path, name = scratch.fresh_dir(spark, "blocks"), f"llm_blocks_{uuid.uuid4().hex}"
     (
-        made.write.option("compression", "zstd").option("path", path)
-        .bucketBy(n, "block").saveAsTable(name)
+        df.write.option("compression", "zstd").option("path", path)
+        .bucketBy(files, "block").saveAsTable(name)
     )
-    return Blocks(spark.table(name), path, n_bytes, tasks)
+    return spark.table(name)
 
 
 def _loaded(table: pa.Table | pa.RecordBatch) -> Iterator[Block]:
@@ -218,3 +225,41 @@ def with_answers(
         .cogroup(answers.groupBy("block"))
         .applyInArrow(run, schema)
     )
+
+
+def kept_by_block(blocks: Blocks, answers: DataFrame) -> DataFrame:
+    """Replies stored like the blocks, one row (block, replies) each, for
+    exchanges that need them more than once.  A block has at most one reply
+    from each bucket."""
+    rows = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("replies"))
+    return _by_block(rows, blocks.files)
+
+
+def joined(
+    blocks: Blocks, kept: list[DataFrame], fn: Callable[[Block, dict[int, bytes]], pa.RecordBatch], schema: str
+) -> DataFrame:
+    """``fn(block, replies by bucket)`` with the replies of all ``kept``
+    tables (their bucket numbers must differ)."""
+    rows, n_kept = blocks.table, len(kept)
+    for i, table in enumerate(kept):
+        rows = rows.join(table.withColumnRenamed("replies", f"replies{i}"), "block", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1)
+                replies: dict[int, bytes] = {}
+                for j in range(n_kept):
+                    bucket, payload = row.column(f"replies{j}").flatten().flatten()
+                    replies.update(zip(bucket.to_pylist(), column_bytes(payload)))
+                for block in _loaded(row):
+                    yield fn(block, replies)
+
+    return rows.mapInArrow(run, schema)
+
+
+def ask_joined(
+    blocks: Blocks, kept: list[DataFrame], fn: Callable[[Block, dict[int, bytes]], Iterator[tuple[int, bytes]]]
+) -> DataFrame:
+    """Like ``ask``, for blocks that look at stored replies first."""
+    return joined(blocks, kept, lambda b, r: _send(b.block, fn(b, r)), _PACKED)

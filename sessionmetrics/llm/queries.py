@@ -7,12 +7,25 @@ columns and derives digests.
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_polytope, difference_cover, hilbert, language, mixing, packing, resampling, run_length, simhash
+from . import (
+    cross_polytope,
+    difference_cover,
+    hilbert,
+    language,
+    mixing,
+    packing,
+    resampling,
+    run_length,
+    simhash,
+    suffix_tree,
+)
 from .shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +40,15 @@ def learned_from(modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus != 2, F.lit(False))
 
 
+def _remainder_is_two(ids, modulus: int):
+    return np.fromiter((zlib.crc32(str(i).encode()) % modulus == 2 for i in ids.tolist()), bool, len(ids))
+
+
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), lambda ids: _remainder_is_two(ids, 7))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -103,6 +125,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_simhash": op2_simhash,
     "op3_quality_resampling": op3_quality_resampling,
     "op4_cross_polytope": op4_cross_polytope,
