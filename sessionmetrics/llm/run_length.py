@@ -135,12 +135,14 @@ class RunIndex:
     of the transform with one preceding symbol, whose suffixes agree with
     their neighbours on ``length`` bytes, form a run.  A run keeps its symbol,
     its first row, the row that its first row leads to (so that any of its
-    rows leads to the row as far behind), and as sample the first place of
-    all suffixes that agree on ``length`` bytes, where there are that many.
+    rows leads to the row as far behind), and as sample the first of all
+    suffixes that agree on ``length`` bytes, where there are that many.
+    ``order`` says which suffix is earlier, by default the one further left.
     """
 
-    def __init__(self, text: np.ndarray, ends: np.ndarray, length: int):
+    def __init__(self, text: np.ndarray, ends: np.ndarray, length: int, order: np.ndarray | None = None):
         n = len(text)
+        self.order = np.arange(n) if order is None else order
         self.length = length
         end_of = np.repeat(ends, np.diff(ends, prepend=0))
         place = np.arange(n)
@@ -169,7 +171,7 @@ class RunIndex:
         agree = np.zeros(n, bool)
         agree[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1]) & enough[1:] & enough[:-1]
         group = np.cumsum(~agree) - 1
-        least = np.minimum.reduceat(rows, np.flatnonzero(~agree))
+        least = np.minimum.reduceat(self.order[rows], np.flatnonzero(~agree))
         head = ~agree
         head[1:] |= symbol[1:] != symbol[:-1]
         self.start = np.flatnonzero(head)
@@ -211,7 +213,7 @@ class RunIndex:
         live = np.arange(len(ends))
         while len(live):
             run = np.searchsorted(self.start, row, side="right") - 1
-            out[place] = (self.sample[run] >= 0) & (self.sample[run] < place)
+            out[place] = (self.sample[run] >= 0) & (self.sample[run] < self.order[place])
             on = place > starts[live]
             # step to the left: all rows of a run lead on side by side
             row = (self.leads[run] + row - self.start[run])[on]
@@ -231,8 +233,11 @@ def _edges_reply(payloads: list[memoryview], length: int) -> list[bytes]:
     start = np.cumsum(size) - size
     source = ranges(start[order], size[order])
     ends = np.cumsum(size[order])
+    # places in the corpus: the document's rank, then the byte in it
+    rank = np.unique(doc, return_inverse=True)[1][order]
+    place = np.repeat((rank << 32) + pos[order], size[order]) + ranges(np.zeros(len(size), np.int64), size[order])
     marked = np.zeros(len(body), bool)
-    marked[source] = RunIndex(body[source], ends, length).repeats(ends)
+    marked[source] = RunIndex(body[source], ends, length, place).repeats(ends)
     cuts = np.cumsum([len(p[3]) for p in parts])
     return [B.pack(np.flatnonzero(m).astype(np.int32)) for m in np.split(marked, cuts[:-1])]
 
@@ -290,7 +295,8 @@ class _Plan:
                 e = edge[by[lo:hi]]
                 size = x.high[e] + self.length - x.low[e]
                 body = block.data[ranges(x.low[e], size)]
-                yield int(cells[by[lo]]), B.pack(x.doc[e], x.pos[e], size) + body.tobytes()
+                start = (x.pos[e] - (x.at[e] - x.low[e])).astype(np.uint32)
+                yield int(cells[by[lo]]), B.pack(x.doc[e], start, size) + body.tobytes()
                 stand.append((int(cells[by[lo]]), x.low[e], size))
             q = ranges(x.low[crowd], x.high[crowd] - x.low[crowd] + 1)
             who = np.repeat(crowd, x.high[crowd] - x.low[crowd] + 1)

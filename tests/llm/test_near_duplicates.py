@@ -1,0 +1,178 @@
+"""SimHash (2) and cross-polytope (4) near duplicates, components, grids."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import edge_rows
+from sessionmetrics.llm import components, cross_polytope, grid, simhash
+
+
+def _fingerprint(text) -> int:
+    words = edge_rows.as_bytes(text).lower().split()
+    if not words:
+        return 0
+    cuts = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64(c, seed=42).intdigest() for c in cuts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _expected(rows):
+    docs = sorted((r[0], _fingerprint(r[1])) for r in rows if r[0] is not None)
+    fp = np.array([d[1] for d in docs], np.uint64)
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if np.bitwise_count(fp[i] ^ fp[j]) <= 4]
+    root = components_of(len(docs), links)
+    return sorted((d, int(f), docs[root[i]][0]) for i, (d, f) in enumerate(docs))
+
+
+components_of = edge_rows.components
+
+
+def test_simhash_matches_brute_force(edge_docs):
+    rows = edge_rows.documents()
+    found = simhash.near_duplicates(edge_docs)
+    got = sorted((r.id, r.fp & 0xFFFFFFFFFFFFFFFF, r.component) for r in found.collect())
+    assert got == _expected(rows)
+
+
+def test_spark_hash_is_the_shingle_hash(session):
+    text = "one two three four"
+    here = session.range(1).select(F.xxhash64(F.lit(text)).alias("h")).first().h & 0xFFFFFFFFFFFFFFFF
+    assert xxhash.xxh64_intdigest(text.encode(), simhash.SEED) == here
+
+
+def _linked(fp: np.ndarray, distance: int):
+    return [
+        (i, int(j)) for i in range(len(fp)) for j in np.flatnonzero(np.bitwise_count(fp[i] ^ fp[:i]) <= distance)
+    ]
+
+
+@pytest.mark.parametrize("cell", [grid.CELL, 3])
+def test_links_miss_nothing(session, cell):
+    """Chains of flipped bits; with a tiny cell every crowded anchor is a grid."""
+    rng = np.random.default_rng(1)
+    fp = list(rng.integers(0, 1 << 63, 40, dtype=np.uint64))
+    for _ in range(400):
+        x = int(fp[rng.integers(len(fp))])
+        for b in rng.choice(64, rng.integers(1, 7), replace=False):
+            x ^= 1 << int(b)
+        fp.append(np.uint64(x))
+    fp = np.unique(np.array(fp, np.uint64))
+    nodes = session.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long").repartition(3)
+    place = {int(x): i for i, x in enumerate(fp.view(np.int64))}
+    edges = simhash.links(nodes, cell=cell).collect()
+    got = components_of(len(fp), [(place[r.a], place[r.b]) for r in edges])
+    assert got == components_of(len(fp), _linked(fp, 4))
+
+
+def test_anchor_of_a_near_word_is_in_reach():
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    y = x.copy()
+    for i in range(len(y)):  # two bits of the low half
+        for b in rng.choice(32, 2, replace=False):
+            y[i] ^= np.uint64(1 << int(b))
+    row, key, home = simhash.anchors(x, 2)
+    homes = {(int(r), int(k)) for r, k, h in zip(row, key, home) if h}
+    row, key, _ = simhash.anchors(y, 2)
+    reached = {(int(r), int(k)) for r, k in zip(row, key)}
+    low = {(r, k) for r, k in homes if not k >> 32}
+    assert len(low) == 200 and low <= reached
+
+
+def test_empty_documents(no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+
+
+def test_components_of_long_chains_and_stars(session):
+    chain = [(i, i + 1) for i in range(300)]
+    star = [(1000, 1000 + i) for i in range(1, 500)]
+    loop = [(2000, 2000), (2001, 2002), (2002, 2001), (2002, 2001)]
+    edges = session.createDataFrame(chain + star + loop, "a long, b long").repartition(4)
+    got = {r.node: r.root for r in components.components(edges).collect()}
+    want = {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(500)}, 2001: 2001, 2002: 2001}
+    assert got == want
+
+
+def test_components_of_nothing(session):
+    assert components.components(session.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_grid_meets_every_home_with_every_replica_once():
+    key = np.array([5] * 30 + [9] * 4, np.uint64)
+    home = np.array([True] * 10 + [False] * 20 + [True, False, False, False])
+    own = np.arange(34, dtype=np.uint64)
+    row, cell = grid.spread(key, home, own, {5: 4})
+    met = {}
+    for c in np.unique(cell):
+        at = row[cell == c]
+        for k in (5, 9):
+            for x in at[(key[at] == k) & home[at]]:
+                for y in at[(key[at] == k) & ~home[at]]:
+                    met[int(x), int(y)] = met.get((int(x), int(y)), 0) + 1
+    assert met == {(x, y): 1 for x in range(10) for y in range(10, 30)} | {(30, y): 1 for y in (31, 32, 33)}
+
+
+# --- embeddings --------------------------------------------------------------
+
+VECTORS = "vec_id long, embedding array<float>, label int, id string, vec string, rep string, n string, component int"
+
+
+def _vectors():
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 24))
+    rows = [(i, v) for i, v in enumerate(base)]
+    for i in range(150):  # near copies at all angles around the threshold
+        rows.append((100 + i, base[i % 7] + rng.normal(size=24) * rng.uniform(0.0, 0.6)))
+    rows += [(300 + i, base[3]) for i in range(20)]  # equal vectors
+    rows += [(340, base[3] * 2.5)]  # the same direction
+    out = [(i, [float(np.float32(x)) for x in v], 1) for i, v in rows]
+    out += [
+        (400, None, 1), (401, [], 1), (402, [0.0] * 24, 1), (403, [float("nan")] + [1.0] * 23, 1),
+        (404, [None] + [1.0] * 23, 1), (405, [float("inf")] + [1.0] * 23, 1), (None, out[0][1], 1), (406, [1.0, 2.0], None),
+    ]
+    return [(*r, "x", "x", "x", "x", 5) for r in out]
+
+
+def _usable(v) -> bool:
+    return bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+
+def _links_of(rows, cosine):
+    ids = [r[0] for r in rows]
+    x = np.zeros((len(rows), 24))
+    good = np.array([_usable(r[1]) for r in rows])
+    for i, r in enumerate(rows):
+        if good[i]:
+            x[i, : len(r[1])] = r[1]
+    norm = np.linalg.norm(x, axis=1)
+    near = x @ x.T / np.where(norm > 0, norm, 1)[:, None] / np.where(norm > 0, norm, 1)[None, :] >= cosine
+    near &= good[:, None] & good[None, :]
+    np.fill_diagonal(near, False)
+    return ids, near
+
+
+@pytest.mark.parametrize("cell", [grid.CELL, 2])
+def test_cross_polytope_matches_brute_force(session, cell):
+    rows = sorted((r for r in _vectors() if r[0] is not None), key=lambda r: r[0])
+    df = session.createDataFrame(_vectors(), VECTORS).repartition(3)
+    got = sorted(tuple(r) for r in cross_polytope.near_duplicates(df, tables=12, cell=cell).collect())
+    ids, near = _links_of(rows, 0.9)
+    root = components_of(len(ids), zip(*np.nonzero(near)))
+    want = [(i, int(near[k].sum()), ids[root[k]]) for k, i in enumerate(ids)]
+    # pairs found are exact; all are found here
+    assert got == want
+
+
+def test_repeated_vector_rows_link(session):
+    df = session.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in cross_polytope.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
+
+
+def test_no_vectors(session):
+    df = session.createDataFrame([], VECTORS)
+    assert cross_polytope.near_duplicates(df).collect() == []
