@@ -3,6 +3,7 @@
 from .scalar import (
     epoch_seconds,
     flag,
+    is_time_only,
     lenient_number,
     norm,
     norm_lower,
@@ -14,6 +15,7 @@ from .scalar import (
 __all__ = [
     "epoch_seconds",
     "flag",
+    "is_time_only",
     "lenient_number",
     "norm",
     "norm_lower",

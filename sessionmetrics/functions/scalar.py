@@ -12,13 +12,23 @@ from ..schema import LABEL_SEPARATOR
 _LEADING_YEAR = r"^\s*[+-]?[0-9]{4}"
 
 
-def parse_timestamp(c: Column) -> Column:
+def parse_timestamp(c: Column, require_date: bool = True) -> Column:
     """ISO-8601 text -> TIMESTAMP; null when unparsable (never raises).
 
+    With ``require_date`` text that names only a time of day is null instead
+    of a moment of the day the job happens to run on; ``is_time_only`` finds
+    such rows.
+
     Accepts date-only, ``T`` or space separator, fractions and an optional
     zone (``Z``, ``+02:00``); zone-less text is read in the session zone.
     """
-    return F.when(c.rlike(_LEADING_YEAR), F.try_to_timestamp(c))
+    parsed = F.try_to_timestamp(c)
+    return F.when(c.rlike(_LEADING_YEAR), parsed) if require_date else parsed
+
+
+def is_time_only(c: Column) -> Column:
+    """Text that parses as a timestamp but names no date."""
+    return F.coalesce(~c.rlike(_LEADING_YEAR) & F.try_to_timestamp(c).isNotNull(), F.lit(False))
 
 
 def epoch_seconds(c: Column) -> Column:
@@ -47,8 +57,8 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 
 def lenient_number(c: Column) -> Column:
-    """any value -> double; unparsable or null -> 0.0."""
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    """any value -> double; unparsable, NaN or null -> 0.0."""
+    return F.coalesce(F.nanvl(c.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def product_label(category: Column, product: Column) -> Column:

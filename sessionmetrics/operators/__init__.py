@@ -2,7 +2,6 @@
 
 from .cleanse import CLEAN_RULES, FieldRule, cleanse_events
 from .funnel import conversion_funnel, funnel, funnel_documented, session_slices, slice_flags
-from .limits import broadcast_limit, cap_rows, lookup_join, measured_bytes
 from .ranking import (
     product_purchases,
     sort_trending,
@@ -30,10 +29,6 @@ from .sessions import (
 )
 
 __all__ = [
-    "broadcast_limit",
-    "cap_rows",
-    "lookup_join",
-    "measured_bytes",
     "CLEAN_RULES",
     "FieldRule",
     "cleanse_events",

@@ -3,7 +3,8 @@
 ``top_n_per_group`` is ``row_number`` over a window filtered by ``rn <= n``;
 Catalyst turns that into a partial WindowGroupLimit before the exchange on
 the group key, so each task ships at most ``n`` rows per group even when one
-group (category) holds most of the data.
+group (category) holds most of the data.  Catalyst does so only up to
+n = 1000; above, groups are ranked in parts first.
 """
 
 from __future__ import annotations
@@ -16,6 +17,11 @@ from pyspark.sql import functions as F
 from ..schema import DEFAULT_TOP_N, TRENDING_COLUMNS
 
 
+#: Up to this n Spark itself limits the rows per group before the exchange.
+PLANNED_LIMIT = 1000
+_PARTS = 64
+
+
 def top_n_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -27,6 +33,15 @@ def top_n_per_group(
     be a total order for a deterministic result) and number them 1..n."""
     if n < 1:
         raise ValueError("n must be >= 1")
+    if n > PLANNED_LIMIT:
+        # Rank within parts of each group first: only the best n of a part go
+        # on, so a group with most of the rows is cut by many tasks.
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(_PARTS))
+        inner = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", part).withColumn(rank_col, F.row_number().over(inner))
+            .where(F.col(rank_col) <= F.lit(n)).drop("_part", rank_col)
+        )
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(n))
 

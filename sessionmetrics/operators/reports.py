@@ -61,12 +61,16 @@ def kpi_summary(user_metrics: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- R2
 def funnel_totals(funnel_df: DataFrame) -> DataFrame:
     """Stage totals summed over all funnel rows: (step, stage, count).
-    Counts are session slices, not distinct sessions."""
-    sums = []
-    for i, (stage, logical) in enumerate(FUNNEL_STAGES, start=1):
-        src = resolve_column(funnel_df, logical)
-        value = F.sum(lenient_number(F.col(src))) if src else F.lit(None)
-        sums.append(F.coalesce(value, F.lit(0.0)).alias(f"_s{i}"))
+    Counts are session slices, not distinct sessions.  A funnel that lacks a
+    stage's column is refused: a total of 0 would be invented."""
+    found = {stage: resolve_column(funnel_df, logical) for stage, logical in FUNNEL_STAGES}
+    missing = [stage for stage, column in found.items() if column is None]
+    if missing:
+        raise ValueError(f"funnel table has no column for: {', '.join(missing)}")
+    sums = [
+        F.coalesce(F.sum(lenient_number(F.col(column))), F.lit(0.0)).alias(f"_s{i}")
+        for i, column in enumerate(found.values(), start=1)
+    ]
     totals = funnel_df.agg(*sums)
     parts = ", ".join(
         f"{i}, '{stage}', _s{i}" for i, (stage, _) in enumerate(FUNNEL_STAGES, start=1)
@@ -87,8 +91,8 @@ def trending_top10(trending: DataFrame, k: int = REPORT_TOP_K) -> DataFrame:
     if prod is None or cnt is None:
         raise ValueError("trending table needs a product and a count column")
     count_col = F.col(cnt)
-    numeric = isinstance(trending.schema[cnt].dataType, T.NumericType)
-    shown = F.coalesce(count_col, F.lit(0)) if numeric else lenient_number(count_col)
+    exact = isinstance(trending.schema[cnt].dataType, (T.IntegralType, T.DecimalType))
+    shown = F.coalesce(count_col, F.lit(0)) if exact else lenient_number(count_col)
     label = product_label(F.col(cat), F.col(prod)) if cat else F.col(prod).cast("string")
     ranked = trending.select(
         F.col(prod).alias("product_id"),
@@ -104,22 +108,24 @@ def trending_top10(trending: DataFrame, k: int = REPORT_TOP_K) -> DataFrame:
 # --------------------------------------------------------------------- R5
 def schema_contract(
     tables: Mapping[str, DataFrame],
-    expected: Mapping[str, Sequence[str]],
+    expected: Mapping[str, Sequence[str] | Sequence[Sequence[str]]],
     with_preview: bool = False,
 ) -> DataFrame:
     """Per table: expected columns that are missing, columns present, row
     count and emptiness.  Column lists come from the schemas; counts run
-    on the data (one aggregate per table, unioned).  ``with_preview`` adds
-    the first row (by the first column) as JSON, taken inside the same
-    aggregate with ``min_by`` - no extra job, nothing collected."""
+    on the data (one aggregate per table, unioned).  A table may have several
+    naming schemes (a sequence of column lists); the one it meets best counts,
+    the first among equals.  ``with_preview`` adds the first row, by all
+    columns in order, as JSON, taken inside the same aggregate."""
     parts = []
     for name, df in tables.items():
-        want = list(expected.get(name, ()))
-        missing = [c for c in want if c not in df.columns]
+        schemes = expected.get(name, ())
+        schemes = [schemes] if not schemes or isinstance(schemes[0], str) else schemes
+        missing = min(([c for c in want if c not in df.columns] for want in schemes), key=len)
         aggs = [F.count(F.lit(1)).alias("row_count")]
         if with_preview:
             # keep the row struct, serialise only the one that wins
-            aggs.append(F.min_by(F.struct(*df.columns), F.col(df.columns[0])).alias("_first"))
+            aggs.append(F.min(F.struct(*df.columns)).alias("_first"))
         out = [
             F.lit(name).alias("table_name"),
             F.lit(",".join(missing)).alias("missing_columns"),

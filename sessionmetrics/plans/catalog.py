@@ -1,9 +1,11 @@
 """Query catalogue: every operator of the job and its reports, run over the
 warehouse tables in ``sf_dir``.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables.  Timestamps are returned as TIMESTAMP_NTZ (UTC wall clock)
-so they compare with zone-less SQL timestamps.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables.  The operator entries are lazy.  Round trips and the job write their
+input when called, and the report entries write the metric tables they report
+on, once, as reports run over stored tables.  Timestamps are returned as
+TIMESTAMP_NTZ (UTC wall clock) so they compare with zone-less SQL timestamps.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, FUNNEL_KEYS, PREVIEW_ROWS
-from ..session import pin_utc, scratch_path, session_handle
+from ..session import pin_utc, scratch_path
 from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
 from ..streaming import ingest_available
+from .job import OUTPUT_INPUTS, run_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +32,7 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    return session_handle(
-        spark, ("clean_events", os.path.abspath(sf_dir)),
-        lambda: op.cleanse_events(raw_events(spark, sf_dir)),
-    )
+    return op.cleanse_events(raw_events(spark, sf_dir))
 
 
 def _sessions(spark, sf_dir):
@@ -55,12 +55,66 @@ def _funnel(spark, sf_dir):
     return op.funnel(_slices(spark, sf_dir))
 
 
-def _outputs(spark, sf_dir) -> dict[str, DataFrame]:
-    return {
-        "user_session_metrics": _users(spark, sf_dir),
-        "conversion_funnel_metrics": _funnel(spark, sf_dir),
-        "trending_products": _trending(spark, sf_dir),
-    }
+def _stored(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three metric tables as stored by the job: one scan of the raw
+    events, then everything reported is read from parquet."""
+    base = scratch_path(spark, "reported")
+    clean = f"{base}/clean"
+    write_table(_clean(spark, sf_dir).select(*OUTPUT_INPUTS), clean)
+    return run_job(spark, None, f"{base}/out", clean_table=clean)
+
+
+def _stored_table(spark, sf_dir, name) -> DataFrame:
+    """One metric table, written once and read back."""
+    make = {"user_session_metrics": _users, "trending_products": _trending, "conversion_funnel_metrics": _funnel}
+    path = scratch_path(spark, name)
+    write_table(make[name](spark, sf_dir), path)
+    return read_table(spark, path)
+
+
+def _schema_contract(spark, sf_dir):
+    tables = _stored(spark, sf_dir)
+    # the same funnel under its second naming scheme
+    tables["funnel_documented"] = op.funnel_documented(tables["conversion_funnel_metrics"])
+    expected = {**EXPECTED_COLUMNS, "funnel_documented": EXPECTED_COLUMNS["conversion_funnel_metrics"]}
+    return op.schema_contract(tables, expected, with_preview=True)
+
+
+def _job_output(name: str, reuse: str) -> Query:
+    """Write the raw events as JSON lines, run the whole job over them and
+    read one of its outputs back."""
+
+    def run(spark, sf_dir):
+        base = scratch_path(spark, "job")
+        write_jsonl(raw_events(spark, sf_dir), f"{base}/in", records_per_file=25_000)
+        return run_job(spark, f"{base}/in", f"{base}/out", reuse=reuse)[name]
+
+    return run
+
+
+def _store_readback(spark, sf_dir):
+    """A stored table with the store's own ``_id``, read back without it,
+    first rows under a total order."""
+    path = scratch_path(spark, "documents")
+    users = _users(spark, sf_dir)
+    write_table(users.withColumn("_id", F.sha1("user_id")), path)
+    return read_table(spark, path, order_by=["user_id"], limit=PREVIEW_ROWS)
+
+
+def _lenient_users(spark, sf_dir):
+    """User metrics whose actions came back as text, some of it no number."""
+    uid = F.col("user_id").cast("long")
+    shown = F.col("total_activity_count").cast("string")
+    text = F.when(uid % 7 == 0, F.lit("NaN")).when(uid % 7 == 1, F.lit("n/a")).when(uid % 7 == 2, F.lit(None)).otherwise(shown)
+    return _users(spark, sf_dir).select("user_id", text.alias("total_actions"))
+
+
+def _lenient_trending(spark, sf_dir):
+    """Trending products whose counts came back as doubles with NaN and null."""
+    k = F.substring("product_id", 2, 9).cast("long")
+    count = F.col("purchase_count").cast("double")
+    value = F.when(k % 5 == 0, F.lit(float("nan"))).when(k % 5 == 1, F.lit(None)).otherwise(count)
+    return _trending(spark, sf_dir).select("product_id", "category", value.alias("count"))
 
 
 def _jsonl_roundtrip(spark, sf_dir):
@@ -96,24 +150,31 @@ QUERIES: dict[str, Query] = {
     "product_purchases": lambda s, d: op.product_purchases(_clean(s, d)),
     "trending_products": _trending,
     "trending_products_top1": lambda s, d: _trending(s, d, 1),
+    "trending_products_top2000": lambda s, d: _trending(s, d, 2000),
     "trending_documented": lambda s, d: op.trending_documented(_trending(s, d)),
     "trending_sorted": lambda s, d: op.sort_trending(_trending(s, d)),
     "session_slices": lambda s, d: _ntz(_slices(s, d), "first_ts", "last_ts"),
     "session_slice_flags": lambda s, d: op.slice_flags(_slices(s, d)),
     "conversion_funnel": _funnel,
     "funnel_documented": lambda s, d: op.funnel_documented(_funnel(s, d)),
-    "kpi_summary": lambda s, d: op.kpi_summary(_users(s, d)),
-    "funnel_totals": lambda s, d: op.funnel_totals(_funnel(s, d)),
-    "trending_top10": lambda s, d: op.trending_top10(_trending(s, d)),
+    "kpi_summary": lambda s, d: op.kpi_summary(_stored_table(s, d, "user_session_metrics")),
+    "kpi_summary_lenient": lambda s, d: op.kpi_summary(_lenient_users(s, d)),
+    "funnel_totals": lambda s, d: op.funnel_totals(_stored_table(s, d, "conversion_funnel_metrics")),
+    "trending_top10": lambda s, d: op.trending_top10(_stored_table(s, d, "trending_products")),
+    "trending_top10_lenient": lambda s, d: op.trending_top10(_lenient_trending(s, d)),
     "alias_resolution": lambda s, d: op.resolve_select(_users(s, d), ["user_id", "total_actions"]),
-    "metrics_preview": lambda s, d: op.preview(_users(s, d), ["user_id"], PREVIEW_ROWS),
-    "funnel_preview": lambda s, d: op.preview(_funnel(s, d), list(FUNNEL_KEYS), PREVIEW_ROWS),
-    "trending_preview": lambda s, d: op.preview(_trending(s, d), ["category", "rn"], PREVIEW_ROWS),
-    "table_row_counts": lambda s, d: op.table_row_counts(_outputs(s, d)),
-    "schema_contract": lambda s, d: op.schema_contract(_outputs(s, d), EXPECTED_COLUMNS),
+    "metrics_preview": lambda s, d: op.preview(_stored_table(s, d, "user_session_metrics"), ["user_id"]),
+    "funnel_preview": lambda s, d: op.preview(_stored_table(s, d, "conversion_funnel_metrics"), FUNNEL_KEYS),
+    "trending_preview": lambda s, d: op.preview(_stored_table(s, d, "trending_products"), ["category", "rn"]),
+    "table_row_counts": lambda s, d: op.table_row_counts(_stored(s, d)),
+    "schema_contract": _schema_contract,
     "jsonl_roundtrip": _jsonl_roundtrip,
     "sink_append_roundtrip": _sink_roundtrip,
+    "store_readback": _store_readback,
     "stream_ingest_roundtrip": _stream_ingest,
+    "job_user_metrics": _job_output("user_session_metrics", "stage"),
+    "job_trending": _job_output("trending_products", "persist"),
+    "job_funnel": _job_output("conversion_funnel_metrics", "stage"),
 }
 
 

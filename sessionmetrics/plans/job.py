@@ -3,10 +3,11 @@
     python -m sessionmetrics.plans.job --input 'data/*.json' --output out/
 
 Plan for a large input:
-  1. scan + cleanse is one map-only stage; its result is written once as
-     parquet under the shared checkpoint folder.  That cuts the lineage (a
-     lost executor re-reads parquet, not the JSON) and lets each aggregate
-     read only the columns it needs.
+  1. scan + cleanse is one map-only stage; what the outputs read of its
+     result is written once as parquet under the shared checkpoint folder and
+     removed at the end.  That cuts the lineage (a lost executor re-reads
+     parquet, not the JSON) and lets each aggregate read only the columns it
+     needs.
   2. the three tables are independent aggregate plans over that table;
      every one pre-aggregates map-side before its shuffle, so hot users,
      sessions or categories are collapsed per task first.
@@ -19,55 +20,57 @@ from __future__ import annotations
 import argparse
 import logging
 import os
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N
-from ..session import build_session, scratch_path
-from ..sources import persist_if_reused, read_raw_events, write_table
+from ..session import build_session, remove_path, scratch_path
+from ..sources import read_raw_events, reused, write_table
 
 log = logging.getLogger(__name__)
 
 OUTPUT_TABLES = ("user_session_metrics", "trending_products", "conversion_funnel_metrics")
-PATH_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro"}
 REUSE_MODES = ("stage", "persist", "none")
 
 
-def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
-    """Total size of the input files, measured by a Spark job over the
-    binary-file listing (only the ``length`` column; contents are not read)."""
-    paths = [path] if isinstance(path, str) else list(path)
-    listing = spark.read.format("binaryFile").load(paths).select("length")
-    return int(listing.agg(F.sum("length")).first()[0] or 0)
+# What the three outputs read of a clean event.
+OUTPUT_INPUTS = ("user_id", "session_id", "event_ts", "action", "product_id", "category", "device_type")
 
 
-def auto_shuffle_partitions(
-    spark: SparkSession,
-    path: str | list[str],
-    bytes_per_partition: int = 512 << 20,
-    most: int = 100_000,
-) -> int:
-    """Shuffle partitions for an input: one per ``bytes_per_partition`` of
-    input, at least the default parallelism.  Partial aggregation shrinks
-    the shuffled data below the input size and AQE coalesces the rest, so
-    erring high is cheap while erring low makes reducers spill."""
-    least = spark.sparkContext.defaultParallelism
-    wanted = -(-input_bytes(spark, path) // bytes_per_partition)
-    return int(max(least, min(most, wanted)))
-
-
-def stage_clean_events(spark: SparkSession, clean: DataFrame, path: str | None = None) -> DataFrame:
-    """Write clean events as parquet in the shared folder and read them back.
+@contextmanager
+def clean_events(
+    spark: SparkSession, input_path: str | list[str] | None, reuse: str = "stage",
+    clean_table: str | None = None, keep_clean: str | None = None,
+) -> Iterator[DataFrame]:
+    """Clean events for the actions of a block, shared as ``reuse`` says.
 
-    The table stays there after the job: it can feed a later run through
-    ``clean_table`` and is left to the folder's retention policy."""
-    path = path or scratch_path(spark, "clean-events")
-    clean.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    ``keep_clean`` writes all their columns to a table that stays;
+    otherwise a staged table holds what the outputs read and goes with the
+    block."""
+    if clean_table is not None:
+        yield spark.read.parquet(clean_table)
+        return
+    clean = op.cleanse_events(read_raw_events(spark, input_path))
+    if keep_clean is not None:
+        write_table(clean, keep_clean, mode="overwrite")
+        yield spark.read.parquet(keep_clean)
+    elif reuse == "persist":
+        with reused(clean) as kept:
+            yield kept
+    elif reuse == "none":
+        yield clean
+    else:
+        staged = scratch_path(spark, "clean-events")
+        log.info("clean events staged at %s", staged)
+        try:
+            write_table(clean.select(*OUTPUT_INPUTS), staged)
+            yield spark.read.parquet(staged)
+        finally:
+            remove_path(spark, staged)
 
 
 def compute_outputs(clean: DataFrame, top_n: int = DEFAULT_TOP_N) -> dict[str, DataFrame]:
@@ -87,73 +90,70 @@ def run_job(
     fmt: str = "parquet",
     mode: str = "append",
     options: Mapping[str, str] | None = None,
-    stage: bool = True,
     clean_table: str | None = None,
-    reuse: str | None = None,
+    reuse: str = "stage",
     targets: Mapping[str, str] | None = None,
     parallel_writes: bool = True,
-) -> dict[str, DataFrame]:
-    """Run the job; returns the output DataFrames (already written).
+    keep_clean: str | None = None,
+    as_database: bool = False,
+) -> dict[str, DataFrame | None]:
+    """Run the job; returns the written tables read back (None for sinks that
+    are no path).
 
     ``clean_table`` starts from an already cleansed parquet table (for
-    instance the one the streaming ingest maintains) instead of JSON lines.
+    instance the one the streaming ingest maintains) instead of JSON lines;
+    ``keep_clean`` names a path where the cleansed table is to stay.
     ``reuse`` says how the three outputs share clean events: ``"stage"``
-    (default; parquet in the shared folder - survives executor loss and
-    prunes columns), ``"persist"`` (executor memory and disk, unpersisted
-    at the end) or ``"none"`` (each output re-reads the input).  The older
-    ``stage=False`` flag means ``"none"``.
-    For path-based formats each table goes to ``output/<name>``; for other
-    sinks ``output`` is passed as the ``database`` option and the name as
-    ``collection``, next to ``options``.  ``targets`` renames outputs
-    (``{"trending_products": "top_products"}``); others keep their table name.
-    With ``parallel_writes`` the three writes are submitted as concurrent
-    Spark jobs, so one output's small final stages overlap the others'
-    scans instead of leaving executors idle.
+    (default; parquet in the shared folder, removed at the end - survives
+    executor loss and prunes columns), ``"persist"`` (executor memory and
+    disk, released at the end) or ``"none"`` (each output re-reads the input).
+    Each table goes to ``output/<name>``; with ``as_database``, for
+    document-store and similar sinks, ``output`` is passed as the ``database``
+    option and the name as ``collection``, next to ``options``.  ``targets``
+    renames outputs (``{"trending_products": "top_products"}``); others keep
+    their table name.  With ``parallel_writes`` the three writes are submitted
+    as concurrent Spark jobs, so one output's small final stages overlap the
+    others' scans instead of leaving executors idle.  Every write is tried;
+    all errors are raised together.
     """
-    reuse = reuse or ("stage" if stage else "none")
     if reuse not in REUSE_MODES:
         raise ValueError(f"reuse must be one of {REUSE_MODES}")
-    cached = None
-    if clean_table is not None:
-        clean = spark.read.parquet(clean_table)
-    else:
-        clean = op.cleanse_events(read_raw_events(spark, input_path))
-        if reuse == "stage":
-            staged = scratch_path(spark, "clean-events")
-            clean = stage_clean_events(spark, clean, staged)
-            log.info("clean events staged at %s", staged)
-        elif reuse == "persist":
-            clean = cached = persist_if_reused(clean)
-    outputs = compute_outputs(clean, top_n)
     names = {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
 
-    def write(table: str) -> None:
+    def write(table: str, df: DataFrame) -> Exception | None:
         name = names[table]
-        if fmt in PATH_FORMATS:
-            write_table(outputs[table], os.path.join(output, name), fmt=fmt, mode=mode, options=options)
-        else:
-            opts = {"database": output, "collection": name, **dict(options or {})}
-            write_table(outputs[table], None, fmt=fmt, mode=mode, options=opts)
-
-    try:
-        if parallel_writes:
-            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-                futures = [pool.submit(write, t) for t in outputs]
-            errors = [f.exception() for f in futures if f.exception() is not None]
-            if errors:
-                raise errors[0]
-        else:
-            for table in outputs:
-                write(table)
-    finally:
-        if cached is not None:
-            cached.unpersist()
-    return outputs
+        try:
+            if as_database:
+                opts = {"database": output, "collection": name, **dict(options or {})}
+                write_table(df, None, fmt=fmt, mode=mode, options=opts)
+            else:
+                write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
+        except Exception as error:
+            return error
+        return None
+
+    with clean_events(spark, input_path, reuse, clean_table, keep_clean) as clean:
+        outputs = compute_outputs(clean, top_n)
+        workers = len(outputs) if parallel_writes else 1
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            errors = [e for e in pool.map(write, outputs, outputs.values()) if e is not None]
+    if len(errors) == 1:
+        raise errors[0]
+    if errors:
+        raise ExceptionGroup("writing the outputs failed", errors)
+    if as_database:
+        return {table: None for table in outputs}
+    # text formats keep no types: the schema is the one just written
+    return {
+        table: spark.read.format(fmt).schema(df.schema).options(**dict(options or {}))
+        .load(os.path.join(output, names[table]))
+        for table, df in outputs.items()
+    }
 
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Clickstream session, trending and funnel metrics.")
-    p.add_argument("--input", default="data/raw/clickstream/*.json")
+    p.add_argument("--input", default=None, help="path or glob of JSON-lines event files")
     p.add_argument("--output", required=True, help="output folder (or database for other sinks)")
     p.add_argument("--app-name", default="sessionmetrics")
     p.add_argument("--top-n", type=int, default=DEFAULT_TOP_N)
@@ -162,12 +162,19 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--option", action="append", default=[], help="sink option key=value")
     p.add_argument("--target", action="append", default=[],
                    help="output name override table=name (tables: " + ", ".join(OUTPUT_TABLES) + ")")
-    p.add_argument("--shuffle-partitions", default=None,
-                   help="a number, or 'auto' to size from the input (default: cluster setting)")
+    p.add_argument("--shuffle-partitions", type=int, default=None, help="default: cluster setting")
+    p.add_argument("--initial-partitions", type=int, default=None,
+                   help="shuffle partitions to start from; adaptive execution coalesces them. Size it so "
+                   "that the largest shuffle leaves a few hundred MB each (100 TB of events: 200000)")
     p.add_argument("--reuse", choices=REUSE_MODES, default="stage",
                    help="how outputs share clean events: stage (parquet), persist, none")
     p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
-    return p.parse_args(argv)
+    p.add_argument("--keep-clean", default=None, help="path where the cleansed table is to stay")
+    p.add_argument("--as-database", action="store_true", help="the sink takes database and collection, not paths")
+    args = p.parse_args(argv)
+    if args.input is None and args.clean_table is None:
+        p.error("--input or --clean-table is required")
+    return args
 
 
 def main(argv=None, stop_session: bool = True) -> None:
@@ -184,15 +191,11 @@ def main(argv=None, stop_session: bool = True) -> None:
     unknown = set(targets) - set(OUTPUT_TABLES)
     if unknown:
         raise SystemExit(f"unknown output table(s): {', '.join(sorted(unknown))}")
-    fixed = args.shuffle_partitions not in (None, "auto")
-    spark = build_session(
-        args.app_name, shuffle_partitions=int(args.shuffle_partitions) if fixed else None
-    )
+    conf = {}
+    if args.initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(args.initial_partitions)
+    spark = build_session(args.app_name, shuffle_partitions=args.shuffle_partitions, conf=conf)
     try:
-        if args.shuffle_partitions == "auto":
-            source = args.clean_table or args.input
-            n = auto_shuffle_partitions(spark, source)
-            spark.conf.set("spark.sql.shuffle.partitions", str(n))
         run_job(
             spark,
             args.input,
@@ -204,6 +207,8 @@ def main(argv=None, stop_session: bool = True) -> None:
             reuse=args.reuse,
             targets=targets,
             clean_table=args.clean_table,
+            keep_clean=args.keep_clean,
+            as_database=args.as_database,
         )
     finally:
         if stop_session:

@@ -14,20 +14,22 @@ from __future__ import annotations
 
 from ..schema import (
     DEFAULT_TOP_N,
-    EXPECTED_COLUMNS,
     FUNNEL_COLUMNS,
     PREVIEW_ROWS,
     REPORT_TOP_K,
     TRENDING_COLUMNS,
-    USER_METRIC_COLUMNS,
 )
 
 RAW = """
 raw AS (
   SELECT
     CAST(e.user_id AS VARCHAR) AS user_id,
-    CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y-%m-%d') AS session_id,
-    CASE WHEN e.event_id % 97 = 0 THEN 'garbage' ELSE CAST(e.ts AS VARCHAR) END AS "timestamp",
+    CAST(e.user_id AS VARCHAR) || '-' || strftime(
+        CASE WHEN e.user_id % 2 = 1 THEN e.ts + INTERVAL 12 HOUR ELSE e.ts END, '%Y-%m-%d') AS session_id,
+    CASE WHEN e.event_id % 97 = 0 THEN 'garbage'
+         WHEN e.event_id % 3 = 0 THEN CAST(e.ts AS VARCHAR)
+         WHEN e.event_id % 3 = 1 THEN replace(CAST(e.ts AS VARCHAR), ' ', 'T') || 'Z'
+         ELSE CAST(e.ts + INTERVAL 2 HOUR AS VARCHAR) || '+02:00' END AS "timestamp",
     ' ' || upper(CASE WHEN e.event_type = 'click' THEN 'add_to_cart' ELSE e.event_type END) AS action,
     'p' || json_extract_string(e.props, '$.k') AS product_id,
     p.p_type AS category,
@@ -35,12 +37,12 @@ raw AS (
          WHEN e.event_id % 53 = 0 THEN CAST(0.0 AS DOUBLE)
          ELSE CAST(e.value AS DOUBLE) END AS price,
     CASE WHEN e.event_id % 41 = 0 THEN 'tv'
-         WHEN e.user_id % 3 = 0 THEN 'Mobile'
-         WHEN e.user_id % 3 = 1 THEN 'desktop'
+         WHEN CASE WHEN e.event_id % 5 = 0 THEN e.event_id ELSE e.user_id END % 3 = 0 THEN 'Mobile'
+         WHEN CASE WHEN e.event_id % 5 = 0 THEN e.event_id ELSE e.user_id END % 3 = 1 THEN 'desktop'
          ELSE 'tablet' END AS device_type
   FROM events e
   LEFT JOIN part p
-    ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT) + 1
+    ON p.p_partkey = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) + 1
 )"""
 
 CLEAN = """
@@ -49,7 +51,10 @@ norm AS (
     trim(user_id) AS user_id,
     trim(session_id) AS session_id,
     CASE WHEN regexp_matches("timestamp", '^\\s*[+-]?[0-9]{4}')
-         THEN try_cast("timestamp" AS TIMESTAMP) END AS event_ts,
+         THEN CASE WHEN "timestamp" LIKE '%+02:00'
+                   THEN try_cast(replace("timestamp", '+02:00', '') AS TIMESTAMP) - INTERVAL 2 HOUR
+                   ELSE try_cast(replace(replace("timestamp", 'T', ' '), 'Z', '') AS TIMESTAMP) END
+         END AS event_ts,
     lower(trim(action)) AS action,
     trim(product_id) AS product_id,
     trim(category) AS category,
@@ -175,12 +180,13 @@ _FUNNEL = (RAW, CLEAN, SLICES, FUNNEL)
 _ALL = (RAW, CLEAN, SESSIONS, USERS, PURCHASES, _trending(DEFAULT_TOP_N), SLICES, FUNNEL)
 
 
-def _contract_row(name: str, present: tuple[str, ...], source: str) -> str:
-    missing = ",".join(c for c in EXPECTED_COLUMNS[name] if c not in present)
+def _contract_row(name: str, missing: str, present: tuple[str, ...], source: str) -> str:
+    fields = ", ".join(f"{c} := {c}" for c in present)
     return (
         f"SELECT '{name}' AS table_name, '{missing}' AS missing_columns, "
-        f"'{','.join(present)}' AS present_columns, count(*) AS row_count, "
-        f"count(*) = 0 AS is_empty FROM {source}"
+        f"'{','.join(present)}' AS present_columns, count(*) AS row_count, count(*) = 0 AS is_empty, "
+        f"(SELECT CAST(to_json(struct_pack({fields})) AS VARCHAR) FROM {source} "
+        f"ORDER BY {', '.join(present)} LIMIT 1) AS preview FROM {source}"
     )
 
 
@@ -259,13 +265,51 @@ def oracle_sql() -> dict[str, str]:
         "SELECT 'conversion_funnel_metrics', count(*) FROM funnel UNION ALL "
         "SELECT 'trending_products', count(*) FROM trending"
     )
-    q["schema_contract"] = _with(*_ALL) + " UNION ALL ".join(
+    # column lists and what is missing of them are written out here
+    documented = (
+        "fdoc AS (SELECT event_date, category, device_type, sessions_with_view AS view_count, "
+        "sessions_with_add_to_cart AS cart_count, sessions_with_purchase AS purchase_count FROM funnel)"
+    )
+    q["schema_contract"] = _with(*_ALL, documented) + " UNION ALL ".join(
         [
-            _contract_row("user_session_metrics", USER_METRIC_COLUMNS, "users"),
-            _contract_row("conversion_funnel_metrics", FUNNEL_COLUMNS, "funnel"),
-            _contract_row("trending_products", TRENDING_COLUMNS, "trending"),
+            _contract_row(
+                "user_session_metrics", "",
+                ("user_id", "avg_session_duration_seconds", "bounce_rate", "total_activity_count",
+                 "avg_activity_count_per_session", "sessions_count"),
+                "users",
+            ),
+            _contract_row(
+                "conversion_funnel_metrics", "",
+                ("event_date", "category", "device_type", "sessions_with_view", "sessions_with_add_to_cart",
+                 "sessions_with_purchase", "sessions_total", "view_to_add_to_cart_rate",
+                 "add_to_cart_to_purchase_rate", "view_to_purchase_rate"),
+                "funnel",
+            ),
+            _contract_row("trending_products", "count", ("category", "product_id", "purchase_count", "rn"), "trending"),
+            _contract_row(
+                "funnel_documented", "",
+                ("event_date", "category", "device_type", "view_count", "cart_count", "purchase_count"),
+                "fdoc",
+            ),
         ]
     )
+    q["kpi_summary_lenient"] = _with(*_USERS) + (
+        "SELECT count(DISTINCT user_id) AS total_users, "
+        "CAST(coalesce(sum(CASE WHEN CAST(user_id AS BIGINT) % 7 IN (0, 1, 2) THEN 0 "
+        "ELSE total_activity_count END), 0) AS BIGINT) AS total_actions FROM users"
+    )
+    q["trending_top10_lenient"] = _with(*_TREND) + (
+        "SELECT product_id, category, CAST(CASE WHEN CAST(substr(product_id, 2) AS BIGINT) % 5 IN (0, 1) THEN 0 "
+        "ELSE purchase_count END AS DOUBLE) AS count, category || ' • ' || product_id AS product FROM trending "
+        f"ORDER BY 3 DESC, product_id ASC, category ASC LIMIT {REPORT_TOP_K}"
+    )
+    q["trending_products_top2000"] = _with(RAW, CLEAN, PURCHASES, _trending(2000)) + (
+        f"SELECT {_cols(TRENDING_COLUMNS)} FROM trending"
+    )
+    q["store_readback"] = q["metrics_preview"]
+    q["job_user_metrics"] = q["user_session_metrics"]
+    q["job_trending"] = q["trending_products"]
+    q["job_funnel"] = q["conversion_funnel"]
     q["jsonl_roundtrip"] = q["raw_events"]
     q["sink_append_roundtrip"] = q["user_session_metrics"]
     q["stream_ingest_roundtrip"] = q["clean_events"]

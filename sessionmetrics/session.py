@@ -7,11 +7,11 @@ offset-less timestamps do not depend on where the driver runs.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
@@ -92,23 +92,31 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+# Folders handed out by scratch_path that still exist, with their session.
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path under the shared folder; removed when the
+    application ends unless ``remove_path`` did so earlier."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH[path] = spark
+    return path
 
 
-# Lazy DataFrames kept per session, like views registered once: reusing a
-# handle skips re-listing files, re-reading footers and re-analysing the
-# same plan for every query.  They hold plans, never data.
-_HANDLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems."""
+    _SCRATCH.pop(path, None)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def session_handle(spark: SparkSession, key: tuple, build, refresh: bool = False) -> DataFrame:
-    """Return the DataFrame stored under ``key`` for this session, building it
-    with ``build()`` the first time (or when ``refresh``).  A handle is only
-    reused by the very session object that built it."""
-    full = (id(spark),) + key
-    hit = _HANDLES.get(full)
-    if refresh or hit is None or hit[0] is not spark:
-        _HANDLES[full] = (spark, build())
-    return _HANDLES[full][1]
+@atexit.register
+def _remove_scratch() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        try:
+            if spark.sparkContext._jsc is None:
+                return
+            remove_path(spark, path)
+        except Exception:  # the JVM is already gone
+            return

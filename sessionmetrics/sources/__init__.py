@@ -1,16 +1,16 @@
 """Sources and sinks: JSON-lines events, metric tables, warehouse mapping."""
 
 from .jsonl import read_raw_events, write_jsonl
-from .tables import persist_if_reused, read_table, write_table
+from .tables import read_table, reused, write_table
 from .warehouse import load_table, raw_events, raw_events_from_tables
 
 __all__ = [
     "load_table",
-    "persist_if_reused",
     "raw_events",
     "raw_events_from_tables",
     "read_raw_events",
     "read_table",
+    "reused",
     "write_jsonl",
     "write_table",
 ]

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.limits import cap_rows
 from ..schema import RAW_SCHEMA
 
 
@@ -26,18 +25,11 @@ def write_jsonl(
     df: DataFrame,
     path: str,
     records_per_file: int | None = None,
-    max_records: int | None = None,
     mode: str = "errorifexists",
     compression: str | None = None,
 ) -> None:
-    """Write JSON lines, at most ``records_per_file`` rows per file.
-
-    ``max_records`` keeps the first rows only when given (a cap the caller
-    asks for; nothing is capped by default).  The cap is applied per
-    partition, so every task still writes its own files in parallel.
-    """
-    out = cap_rows(df, max_records) if max_records is not None else df
-    writer = out.write.mode(mode)
+    """Write all rows as JSON lines, at most ``records_per_file`` per file."""
+    writer = df.write.mode(mode)
     if records_per_file:
         writer = writer.option("maxRecordsPerFile", int(records_per_file))
     if compression:

@@ -7,7 +7,8 @@ instance, when its jar is on the classpath).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,8 +42,11 @@ def read_table(
     limit: int | None = None,
     order_by: Sequence[Column | str] = (),
 ) -> DataFrame:
-    """S3: read a stored table back, drop store-added columns (``_id``) and
-    optionally cap it - ordered first so the cap is deterministic."""
+    """S3: read a stored table back and drop store-added columns (``_id``).
+    ``limit`` keeps the first rows under ``order_by``, which it requires: an
+    unordered cut would keep arbitrary rows."""
+    if limit is not None and not order_by:
+        raise ValueError("limit needs order_by")
     reader = spark.read.format(fmt).options(**dict(options or {}))
     df = reader.load(path) if path is not None else reader.load()
     present = [c for c in drop if c in df.columns]
@@ -55,6 +59,12 @@ def read_table(
     return df
 
 
-def persist_if_reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Keep ``df`` for several actions; call ``unpersist()`` afterwards."""
-    return df.persist(level)
+@contextmanager
+def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep ``df`` for the actions of a block and release it afterwards,
+    also when one of them fails."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

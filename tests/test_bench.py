@@ -7,7 +7,7 @@ import os
 import subprocess
 import sys
 
-import __spark_entry__ as entry
+from sessionmetrics.plans import catalog
 from conftest import ROOT, SF_SMALL
 
 
@@ -21,7 +21,7 @@ def test_bench_prints_one_json_line():
     assert len(out) == 1
     result = json.loads(out[0])
     assert result["unit"] == "sec" and result["sf"] == 0.001 and not result["errors"]
-    expected = set(entry.queries()) | {"job_end_to_end", "job_end_to_end_x2"}
+    expected = set(catalog.queries()) | {"job_end_to_end", "job_end_to_end_x2"}
     assert set(result["queries"]) == expected
     assert all(v > 0 for v in result["queries"].values())
     assert result["value"] == round(sum(result["queries"].values()), 4)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sessionmetrics.functions import (
     epoch_seconds,
+    is_time_only,
     lenient_number,
     parse_timestamp,
     product_label,
@@ -21,9 +22,11 @@ def test_product_label(spark):
 
 
 def test_lenient_number(spark):
-    df = spark.createDataFrame([("12",), ("3.5",), ("abc",), (None,), (" 7 ",)], "v string")
+    df = spark.createDataFrame([("12",), ("3.5",), ("abc",), (None,), (" 7 ",), ("NaN",)], "v string")
     got = [r.n for r in df.select(lenient_number(F.col("v")).alias("n")).collect()]
-    assert got == [12.0, 3.5, 0.0, 0.0, 7.0]
+    assert got == [12.0, 3.5, 0.0, 0.0, 7.0, 0.0]
+    df = spark.createDataFrame([(float("nan"),), (2.5,)], "v double")
+    assert [r.n for r in df.select(lenient_number(F.col("v")).alias("n")).collect()] == [0.0, 2.5]
 
 
 def test_safe_ratio(spark):
@@ -47,3 +50,7 @@ def test_parse_timestamp_forms(spark):
     got = [r.s for r in df.select(parse_timestamp(F.col("t")).cast("string").alias("s")).collect()]
     assert got == ["2024-01-01 00:00:00", "2024-01-01 10:00:00", "2024-01-01 08:00:00",
                    "2024-01-01 10:00:00", None, None, "2024-01-01 00:00:00", None, None]
+    flags = [r.t for r in df.select(is_time_only(F.col("t")).alias("t")).collect()]
+    assert [t for t, only in zip(texts, flags) if only] == ["12:30", "T12:30"]
+    loose = [r.s for r in df.select(parse_timestamp(F.col("t"), require_date=False).alias("s")).collect()]
+    assert loose[4] is not None and loose[7] is None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -12,10 +13,11 @@ from sessionmetrics.plans.job import main as job_main
 from sessionmetrics.plans.job import run_job
 from sessionmetrics.session import shared_dir
 from sessionmetrics.sources import (
-    persist_if_reused,
+    load_table,
     raw_events,
     read_raw_events,
     read_table,
+    reused,
     write_jsonl,
     write_table,
 )
@@ -35,13 +37,6 @@ def test_jsonl_roundtrip_with_file_size(spark, scratch):
     assert _rows(back) == _rows(raw)
 
 
-def test_jsonl_cap(spark, scratch):
-    raw = raw_events(spark, SF_SMALL)
-    path = os.path.join(scratch, "capped")
-    write_jsonl(raw, path, max_records=123)
-    assert read_raw_events(spark, path).count() == 123
-
-
 def test_append_twice_doubles_overwrite_does_not(spark, scratch):
     users = op.user_session_metrics(op.session_facts(op.cleanse_events(raw_events(spark, SF_SMALL))))
     n = users.count()
@@ -62,11 +57,22 @@ def test_read_back_drops_store_id_and_caps_in_order(spark, scratch):
     assert [r.v for r in back.collect()] == [0, 2, 4, 6, 8]
 
 
-def test_persist_then_unpersist(spark):
-    df = persist_if_reused(spark.range(10))
-    assert df.count() == 10
-    assert df.is_cached
-    df.unpersist()
+def test_limit_needs_an_order(spark, scratch):
+    path = os.path.join(scratch, "t")
+    write_table(spark.range(3), path)
+    with pytest.raises(ValueError, match="order_by"):
+        read_table(spark, path, limit=1)
+
+
+def test_reused_releases_also_after_an_error(spark):
+    with reused(spark.range(10)) as df:
+        assert df.is_cached and df.count() == 10
+    assert not df.is_cached
+    with pytest.raises(RuntimeError):
+        with reused(spark.range(10)) as df:
+            raise RuntimeError
+    assert not df.is_cached
+
 
 
 def test_shared_dir_comes_from_session(spark):
@@ -91,8 +97,8 @@ def test_job_end_to_end(spark, fixture_dir, scratch):
 def test_job_rerun_appends(spark, fixture_dir, scratch):
     out = os.path.join(scratch, "out")
     src = os.path.join(fixture_dir, "*.json")
-    run_job(spark, src, out, stage=False)
-    run_job(spark, src, out, stage=False)
+    run_job(spark, src, out, reuse="none")
+    run_job(spark, src, out, reuse="none")
     assert read_table(spark, os.path.join(out, "user_session_metrics")).count() == 8
 
 
@@ -105,39 +111,6 @@ def test_job_cli(spark, fixture_dir, scratch):
     assert sorted(r.product_id for r in trending.collect()) == ["p1", "p3"]
 
 
-def test_cap_rows_exact_and_in_partition_order(spark):
-    from sessionmetrics.operators import cap_rows
-
-    df = spark.range(0, 1000, numPartitions=7)
-    for n in (0, 1, 142, 143, 500, 999, 1000, 5000):
-        got = [r.id for r in cap_rows(df, n).collect()]
-        assert sorted(got) == list(range(min(n, 1000))), n
-
-
-def test_lookup_join_broadcasts_only_under_limit(spark):
-    from sessionmetrics.operators import lookup_join
-
-    left = spark.range(100).withColumnRenamed("id", "k")
-    right = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
-    small = lookup_join(left, right, "k", max_bytes=1 << 20)
-    big = lookup_join(left, right, "k", max_bytes=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    plan_big = big._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan_big and "BroadcastHashJoin" not in plan_big
-    assert _rows(small) == _rows(big)
-
-
-def test_session_handles_are_per_session(spark):
-    from sessionmetrics.session import session_handle
-
-    a = session_handle(spark, ("probe",), lambda: spark.range(3))
-    b = session_handle(spark, ("probe",), lambda: spark.range(5))
-    assert a is b and a.count() == 3
-    other = spark.newSession()
-    c = session_handle(other, ("probe",), lambda: other.range(7))
-    assert c.count() == 7
-
-
 def test_job_reuse_modes_agree(spark, fixture_dir, scratch):
     src = os.path.join(fixture_dir, "*.json")
     results = {}
@@ -152,24 +125,63 @@ def test_job_reuse_modes_agree(spark, fixture_dir, scratch):
     assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
 
 
-def test_auto_shuffle_partitions_grows_with_input(spark, fixture_dir):
-    from sessionmetrics.plans.job import auto_shuffle_partitions, input_bytes
+def test_job_cli_needs_an_input(scratch):
+    with pytest.raises(SystemExit):
+        job_main(["--output", scratch], stop_session=False)
 
-    src = os.path.join(fixture_dir, "*.json")
-    size = input_bytes(spark, src)
-    assert size == sum(os.path.getsize(os.path.join(fixture_dir, f)) for f in os.listdir(fixture_dir))
-    least = spark.sparkContext.defaultParallelism
-    assert auto_shuffle_partitions(spark, src) == least
-    assert auto_shuffle_partitions(spark, src, bytes_per_partition=64) == max(least, -(-size // 64))
 
+def _scratch_entries(spark):
+    root = shared_dir(spark).removeprefix("file:")
+    return {n for n in os.listdir(root) if n.startswith("clean-events")}
+
+
+def test_job_leaves_only_its_outputs(spark, fixture_dir, scratch):
+    before = _scratch_entries(spark)
+    src, out = os.path.join(fixture_dir, "*.json"), os.path.join(scratch, "out")
+    written = run_job(spark, src, out)
+    assert _scratch_entries(spark) == before
+    assert sorted(os.listdir(out)) == ["conversion_funnel_metrics", "trending_products", "user_session_metrics"]
+    assert written["user_session_metrics"].count() == 4  # read back, not from the staged table
+    with pytest.raises(ExceptionGroup):
+        run_job(spark, src, out, mode="error")
+    assert _scratch_entries(spark) == before
+
+
+def test_kept_clean_table_has_all_columns(spark, fixture_dir, scratch):
+    kept = os.path.join(scratch, "clean")
+    run_job(spark, os.path.join(fixture_dir, "*.json"), os.path.join(scratch, "out"), keep_clean=kept)
+    assert "price" in spark.read.parquet(kept).columns
+    again = run_job(spark, None, os.path.join(scratch, "again"), clean_table=kept)
+    assert again["user_session_metrics"].count() == 4
+
+
+def test_all_write_errors_are_raised(spark, fixture_dir, scratch):
+    src, out = os.path.join(fixture_dir, "*.json"), os.path.join(scratch, "out")
+    run_job(spark, src, out)
+    with pytest.raises(ExceptionGroup) as caught:
+        run_job(spark, src, out, mode="error")
+    assert len(caught.value.exceptions) == 3
+
+
+def test_table_is_read_afresh(spark, scratch):
+    path = os.path.join(scratch, "events.parquet")
+    write_table(spark.range(10), path)
+    assert load_table(spark, scratch, "events").count() == 10
+    write_table(spark.range(10), path)
+    assert load_table(spark, scratch, "events").count() == 20
+
+
+def test_jsonl_files_hold_at_most_n_rows(spark, scratch):
+    path = os.path.join(scratch, "jsonl")
+    raw = raw_events(spark, SF_SMALL)
+    write_jsonl(raw.repartition(3), path, records_per_file=128)
+    counts = []
+    for name in os.listdir(path):
+        if name.endswith(".json"):
+            with open(os.path.join(path, name)) as fh:
+                counts.append(sum(1 for _ in fh))
+    assert counts and max(counts) <= 128 and sum(counts) == raw.count()
 
-def test_job_cli_auto_partitions(spark, fixture_dir, scratch):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    out = os.path.join(scratch, "auto")
-    job_main(["--input", os.path.join(fixture_dir, "*.json"), "--output", out,
-              "--mode", "overwrite", "--shuffle-partitions", "auto"], stop_session=False)
-    spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert read_table(spark, os.path.join(out, "user_session_metrics")).count() == 4
 
 
 def test_report_job_over_stored_outputs(spark, fixture_dir, scratch):
@@ -190,20 +202,19 @@ def test_report_job_over_stored_outputs(spark, fixture_dir, scratch):
 
 
 def test_parallel_writes_raise_the_failure(spark, fixture_dir, scratch):
-    import pytest
-
     out = os.path.join(scratch, "twice")
     src = os.path.join(fixture_dir, "*.json")
     run_job(spark, src, out, mode="error", reuse="none")
-    with pytest.raises(Exception, match="(?i)already exists"):
+    with pytest.raises(ExceptionGroup) as caught:
         run_job(spark, src, out, mode="error", reuse="none")
+    assert all("already exists" in str(e).lower() for e in caught.value.exceptions)
 
 
 def test_job_non_path_sink_gets_database_and_collection(spark, fixture_dir):
     # "noop" is a sink without a path that accepts any options, like a
     # document-store connector would take database / collection / batch size
     outputs = run_job(
-        spark, os.path.join(fixture_dir, "*.json"), "analytics", fmt="noop", mode="overwrite",
+        spark, os.path.join(fixture_dir, "*.json"), "analytics", fmt="noop", mode="overwrite", as_database=True,
         options={"batchSize": "500", "writeConcern.w": "1"},
     )
     assert set(outputs) == {"user_session_metrics", "trending_products", "conversion_funnel_metrics"}
@@ -216,10 +227,3 @@ def test_partitioned_table_round_trip(spark, scratch):
     assert any(d.startswith("event_date=") for d in os.listdir(path))
     back = read_table(spark, path).select(*funnel.columns)
     assert _rows(back) == _rows(funnel)
-
-
-def test_raw_events_refresh_rebuilds_the_plan(spark):
-    a = raw_events(spark, SF_SMALL)
-    assert raw_events(spark, SF_SMALL) is a
-    b = raw_events(spark, SF_SMALL, refresh=True)
-    assert b is not a and _rows(a) == _rows(b)

@@ -7,12 +7,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from sessionmetrics.plans import catalog
+from sessionmetrics.plans import oracle as sql
 from conftest import SF_ORACLE, SF_SMALL
 from oracle_compare import compare, duck
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_ORACLE), reason="no test data")
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 class _Con:
@@ -32,7 +34,9 @@ def oracle():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(sql.oracle_sql()) == set(NAMES)
+    assert set(entry.queries()) >= set(NAMES)
+    assert set(entry.oracle_sql()) >= set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -50,9 +54,10 @@ def test_entry_smoke(spark):
     assert entry.entry(spark).schema == df.schema
 
 
-def test_small_sf_runs(spark):
-    for name, q in entry.queries().items():
-        assert q(spark, SF_SMALL).count() >= 0, name
+@pytest.mark.parametrize("name", NAMES)
+def test_small_sf_has_rows(spark, name):
+    df = catalog.queries()[name](spark, SF_SMALL)
+    assert df.columns and df.count() > 0
 
 
 CORE = ["clean_events", "session_facts", "user_session_metrics", "trending_products", "conversion_funnel"]

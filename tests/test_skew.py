@@ -68,7 +68,7 @@ def test_skewed_trending_and_funnel(skewed):
     _same(op.conversion_funnel(df), _duck(file, (O.SLICES, O.FUNNEL), "SELECT * FROM funnel"))
 
 
-def test_lookup_join_fallback_splits_hot_key(spark):
+def test_lookup_join_splits_hot_key(spark):
     from conftest import SF_ORACLE as D
     from sessionmetrics.sources import load_table
 
@@ -86,16 +86,18 @@ def test_lookup_join_fallback_splits_hot_key(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
-    before = {k: spark.conf.get(k) for k in conf}
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        joined = op.lookup_join(left, part, "_partkey", how="left", max_bytes=0)
+        joined = left.join(part, "_partkey", "left")
         rows = joined.collect()
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert "SortMergeJoin" in plan and "skew=true" in plan
     assert len(rows) == events.count()
