@@ -18,9 +18,9 @@ sys.path.insert(0, ROOT)
 
 from sessionmetrics import operators as op  # noqa: E402
 from sessionmetrics.plans import catalog  # noqa: E402
-from sessionmetrics.plans.job import compute_outputs, stage_clean_events  # noqa: E402
-from sessionmetrics.session import build_session  # noqa: E402
-from sessionmetrics.sources import raw_events  # noqa: E402
+from sessionmetrics.plans.job import OUTPUT_INPUTS, compute_outputs  # noqa: E402
+from sessionmetrics.session import build_session, scratch_path  # noqa: E402
+from sessionmetrics.sources import raw_events, write_table  # noqa: E402
 
 SHOW = [
     "clean_events",
@@ -68,8 +68,9 @@ def main() -> None:
     ]
     for name in SHOW:
         out += [f"## {name}", "", "```", tree(catalog.QUERIES[name](spark, sf_dir)), "```", ""]
-    staged = stage_clean_events(spark, op.cleanse_events(raw_events(spark, sf_dir)))
-    for name, df in compute_outputs(staged).items():
+    path = scratch_path(spark, "clean-events")
+    write_table(op.cleanse_events(raw_events(spark, sf_dir)).select(*OUTPUT_INPUTS), path)
+    for name, df in compute_outputs(spark.read.parquet(path)).items():
         out += [f"## job: {name} (over staged clean parquet)", "", "```", tree(df), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
