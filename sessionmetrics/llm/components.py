@@ -16,11 +16,17 @@ from pyspark.sql import functions as F
 from . import scratch
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """An aggregate dealt anew, so that a join with it reads two plain
+    exchanges: only then can adaptive execution split a hub's partition."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return (
-        both.where(F.col("b") > F.col("a")).join(least, "a")
+        both.where(F.col("b") > F.col("a")).join(_apart(least), "a")
         .select(F.col("b").alias("a"), F.col("m").alias("b")).where(F.col("a") != F.col("b")).distinct()
     )
 
@@ -28,7 +34,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     # a > b in every edge here
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(_apart(least), "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.withColumnRenamed("m", "b")).distinct()
 
 

@@ -34,7 +34,7 @@ from .text import U, mix
 from .vectors import hadamard, matrix, packed
 
 COSINE = 0.9
-TABLES, PARTS, PROBES = 8, 2, 4
+TABLES, PARTS, PROBES = 6, 2, 4
 _PER_PART = 4
 _BATCH, _PAIRS = 1 << 13, 1 << 16
 
@@ -49,7 +49,7 @@ class Hashing:
         self.signs = rng.choice([-1.0, 1.0], (tables, parts, 3, self.width))
 
     def buckets(self, x: np.ndarray) -> np.ndarray:
-        """(rows, tables, probes) bucket keys; probe 0 is the home."""
+        """(rows, tables, probes) bucket numbers; probe 0 is the home."""
         full = np.zeros((len(x), self.width))
         full[:, : x.shape[1]] = x
         out = np.zeros((len(x), self.tables, self.probes), U)
@@ -67,14 +67,27 @@ class Hashing:
                 far = (far[:, :, None] + more[:, None, :]).reshape(len(x), -1)
             best = np.argsort(far, axis=1, kind="stable")[:, : self.probes]
             chosen = np.take_along_axis(key, best, axis=1).astype(U)
-            out[:, t] = mix(chosen * U(self.tables) + U(t))
+            out[:, t] = chosen
         return out
 
+    @property
+    def kind(self) -> str:
+        """A type that holds the bucket numbers of a table."""
+        return "u4" if (2 * self.width) ** self.parts <= 1 << 32 else "u8"
 
-def _row_type(kind: np.dtype, dim: int, tables: int, probes: int) -> np.dtype:
+    def keys(self, buckets: np.ndarray, table: int) -> np.ndarray:
+        """Bucket numbers as keys that differ between tables."""
+        return mix(buckets * U(self.tables) + U(table))
+
+
+#: Cell of the rows of buckets that are no grid: there a home is a replica too.
+_WHOLE = -1
+
+
+def _row_type(kind: np.dtype, dim: int, hashing: Hashing) -> np.dtype:
     return np.dtype([
-        ("key", "u8"), ("cell", "i4"), ("home", "?"), ("table", "i4"), ("rep", "i8"), ("copies", "i8"),
-        ("buckets", "u8", (tables, probes)), ("vec", kind, (dim,)),
+        ("key", "u8"), ("cell", "i4"), ("home", "?"), ("table", "i1"), ("rep", "i8"), ("copies", "i8"),
+        ("buckets", hashing.kind, (hashing.tables, hashing.probes)), ("vec", kind, (dim,)),
     ])
 
 
@@ -93,24 +106,27 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, table: np.ndarray, a_first: np.
     at_b = (b[:, :, :1] == a).any(axis=2)
     tables = np.arange(a.shape[1])
     before = ((at_a | at_b) & (tables < table[:, None])).any(axis=1)
-    same = np.take_along_axis(at_b, table[:, None], axis=1)[:, 0] & ~a_first
+    same = np.take_along_axis(at_b, table[:, None].astype(np.int64), axis=1)[:, 0] & ~a_first
     return ~before & ~same
 
 
 def _compare(rows: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links of a bucket: (vector, links counted here, root of its star)."""
-    rows = rows[np.lexsort((~rows["home"], rows["cell"], rows["key"]))]
+    rows = rows[np.lexsort((rows["rep"], ~rows["home"], rows["cell"], rows["key"]))]
     names, node = np.unique(rows["rep"], return_inverse=True)
-    group = mix(rows["key"] + rows["cell"].astype(U))
-    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    key, cell, home = rows["key"], rows["cell"], rows["home"]
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
     count = np.diff(np.append(first, len(rows)))
-    homes = np.add.reduceat(rows["home"].astype(np.int64), first)
+    homes = np.add.reduceat(home.astype(np.int64), first)
+    apart = np.where(cell[first] == _WHOLE, 0, homes)  # a grid's replicas follow its homes
     # distinct vectors only: norms are not zero
     norm = np.empty(len(rows))
     for lo in range(0, len(rows), _PAIRS):
         norm[lo : lo + _PAIRS] = np.linalg.norm(rows["vec"][lo : lo + _PAIRS].astype(float), axis=1)
     n_links, root = np.zeros(len(names), np.int64), np.arange(len(names))
-    for x, y in grid.pair_chunks(homes, first, count, _PAIRS):
+    for x, y in grid.pair_chunks(first, homes, first + apart, count - apart, _PAIRS):
+        other = (y > x) | ~home[y]  # two homes of a bucket meet once, at the smaller id's
+        x, y = x[other], y[other]
         dot = np.einsum("ij,ij->i", rows["vec"][x].astype(float), rows["vec"][y].astype(float))
         near = (dot / (norm[x] * norm[y]) >= cosine) & (node[x] != node[y])
         x, y = x[near], y[near]
@@ -137,33 +153,42 @@ def near_duplicates(
     nodes = rows.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     nodes = scratch.written(nodes, "distinct-vectors")
     hashing = Hashing(dim, tables, parts, probes, seed)
-    row_type = _row_type(kind, dim, hashing.tables, hashing.probes)
+    row_type = _row_type(kind, dim, hashing)
     n = nodes.count()
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, x in _batches(batches, kind, dim):
-            key = hashing.buckets(x)[:, :, 0].ravel()
+            home = hashing.buckets(x)[:, :, 0]
+            key = np.concatenate([hashing.keys(home[:, t], t) for t in range(hashing.tables)])
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
 
     hot = grid.crowded(nodes.select("vec").mapInArrow(homes, "key long"), n * tables, cell)
-    sent = n * tables * (probes + 1) * row_type.itemsize
+    sent = n * hashing.tables * hashing.probes * row_type.itemsize
+    crowded = np.array(sorted(hot), U)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sent >> 25)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in _batches(batches, kind, dim):
-            keys = hashing.buckets(x)
+            places = hashing.buckets(x)
             rep = part.column("rep").to_numpy()
             copies = part.column("copies").to_numpy()
             for t in range(hashing.tables):
-                # every probe is a replica; the home is there once more as home
-                key = np.concatenate([keys[:, t].ravel(), keys[:, t, 0]])
-                who = np.concatenate([np.repeat(np.arange(len(x)), hashing.probes), np.arange(len(x))])
-                home = np.arange(len(key)) >= len(key) - len(x)
-                row, cell_of = grid.spread(key, home, rep[who].astype(U), hot)
+                key = hashing.keys(places[:, t].ravel(), t)
+                who, home = np.divmod(np.arange(len(key)), hashing.probes)
+                home = home == 0
+                whole = np.flatnonzero(~np.isin(key, crowded))
+                # in a grid a home stands once as home and once as replica
+                cut = np.flatnonzero(np.isin(key, crowded))
+                twice = np.concatenate([cut, cut[home[cut]]])
+                as_home = np.arange(len(twice)) >= len(cut)
+                copy, cell_of = grid.spread(key[twice], as_home, rep[who[twice]].astype(U), hot)
+                row = np.concatenate([whole, twice[copy]])
+                cell_of = np.concatenate([np.full(len(whole), _WHOLE), cell_of])
                 out = np.zeros(len(row), row_type)
                 i = who[row]
-                out["key"], out["cell"], out["home"], out["table"] = key[row], cell_of, home[row], t
-                out["rep"], out["copies"], out["buckets"], out["vec"] = rep[i], copies[i], keys[i], x[i]
+                out["key"], out["cell"], out["table"] = key[row], cell_of, t
+                out["home"] = np.concatenate([home[whole], as_home[copy]])
+                out["rep"], out["copies"], out["buckets"], out["vec"] = rep[i], copies[i], places[i], x[i]
                 bucket = (mix(out["key"] ^ (cell_of.astype(U) << U(40))) % U(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))

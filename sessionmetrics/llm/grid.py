@@ -42,14 +42,13 @@ def spread(key: np.ndarray, home: np.ndarray, own: np.ndarray, hot: dict[int, in
     return row, np.where(home[row], mine * width + other, other * width + mine)
 
 
-def pair_chunks(homes: np.ndarray, first: np.ndarray, count: np.ndarray, most: int):
-    """For groups of rows first..first+count-1 whose first ``homes`` rows are
-    home: (x, y) row pairs of each home with each other row of its group that
-    is not one of the homes' rows, about ``most`` pairs at a time."""
-    live = (homes > 0) & (count > homes)
-    first, count, homes = first[live], count[live], homes[live]
+def pair_chunks(first: np.ndarray, homes: np.ndarray, start: np.ndarray, count: np.ndarray, most: int):
+    """(x, y) row pairs of each group's ``homes`` rows from ``first`` on with
+    its ``count`` rows from ``start`` on, about ``most`` pairs at a time."""
+    live = (homes > 0) & (count > 0)
+    first, homes, start, count = first[live], homes[live], start[live], count[live]
     x_all = ranges(first, homes)
-    start, n = np.repeat(first + homes, homes), np.repeat(count - homes, homes)
+    start, n = np.repeat(start, homes), np.repeat(count, homes)
     total = np.cumsum(n)
     cuts = np.searchsorted(total, np.arange(0, int(n.sum()) + most, most))
     for a, b in zip(cuts, [*cuts[1:], len(x_all)]):

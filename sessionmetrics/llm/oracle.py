@@ -9,6 +9,58 @@ _WORDS = (
 )
 
 ORACLES: dict[str, str] = {
+    # all pairs; hashing found every link of the given tables
+    "op4_cross_polytope": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+        ), reach(a, b) AS (
+            SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), per_vector AS (
+            SELECT a, min(b) AS least FROM reach GROUP BY a
+        ), degree AS (
+            SELECT a, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+            least(vec_id, coalesce(least, vec_id)) AS component_id,
+            vec_id <= coalesce(least, vec_id) AS kept
+        FROM embeddings LEFT JOIN per_vector ON vec_id = per_vector.a LEFT JOIN degree ON vec_id = degree.a
+        WHERE vec_id IS NOT NULL
+    """,
+    # bytes as hexadecimal digits, two each
+    "op6_run_length": """
+        WITH bytes AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL
+        ), strings AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS x
+            FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM bytes)
+        ), later AS (
+            SELECT doc_id, i FROM (
+                SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS r FROM strings
+            ) WHERE r > 1
+        ), marked AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh
+            FROM later
+        ), spans AS (
+            SELECT doc_id, n, min(i) AS lo, max(i) + 100 AS hi
+            FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM marked)
+            GROUP BY doc_id, n
+        ), parts AS (
+            SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM spans
+        ), cut AS (
+            SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+                string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS kept
+            FROM parts JOIN bytes USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes,
+            CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+            sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM bytes LEFT JOIN cut USING (doc_id)
+    """,
     "op7_substring_dedup": f"""
         WITH words AS (
             SELECT doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL

@@ -211,7 +211,7 @@ def _compare(distance: int):
         count = np.diff(np.append(first, len(key)))
         homes = np.add.reduceat(home.astype(np.int64), first)
         root = np.arange(len(names))
-        for x, y in grid.pair_chunks(homes, first, count, _PAIRS):
+        for x, y in grid.pair_chunks(first, homes, first + homes, count - homes, _PAIRS):
             near = np.bitwise_count(fp[x] ^ fp[y]) <= distance
             nx, ny = root[node[x[near]]], root[node[y[near]]]
             apart = nx != ny

@@ -1,0 +1,60 @@
+"""Registered queries: columns, types, SQL where there is some, whole tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from sessionmetrics.llm import oracle, queries
+
+DATA = "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+
+COLUMNS = {
+    "op1_suffix_tree": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+    "base_score double, score double",
+    "op2_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op3_quality_resampling": "doc_id bigint, n_grams bigint, log_weight double, draw double, kept boolean",
+    "op4_cross_polytope": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op5_hilbert_search": "query_id bigint, rank int, vec_id bigint, score double",
+    "op6_run_length": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op7_substring_dedup": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op8_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, "
+    "offset bigint",
+    "op9_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op10_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns_and_rows(spark, name):
+    df = entry.queries()[name](spark, DATA)
+    want = [tuple(c.rsplit(" ", 1)) for c in COLUMNS[name].split(", ")]
+    assert df.dtypes[: len(want)] == want
+    table, key = ("embeddings", "vec_id") if "vec_id" in df.columns else ("documents", "doc_id")
+    if name == "op5_hilbert_search":
+        return
+    ids = queries.table(spark, DATA, table).select(key)
+    assert ids.exceptAll(df.select(key).distinct()).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(oracle.ORACLES))
+def test_sql(spark, name):
+    from oracle_compare import compare, duck
+
+    class Con:
+        def __init__(self):
+            self._c, self.sf_dir = duck(DATA), DATA
+
+        def execute(self, sql):
+            return self._c.execute(sql)
+
+    ok, message = compare(spark, Con(), name, entry.queries()[name], entry.oracle_sql()[name])
+    assert ok, message
+
+
+def test_registered_once():
+    assert set(COLUMNS) | {"pipeline"} <= set(entry.queries())
+    assert set(oracle.ORACLES) <= set(entry.oracle_sql())
