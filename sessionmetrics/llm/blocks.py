@@ -118,7 +118,8 @@ def _by_block(df: DataFrame, files: int) -> DataFrame:
     """``df`` written to the shared folder, bucketed by its column ``block``:
     such tables meet block by block without a shuffle."""
     spark = df.sparkSession
-    path, name = scratch.fresh_dir(spark, "blocks"), f"llm_blocks_{uuid.uuid4().hex}"
+    name = f"llm_blocks_{uuid.uuid4().hex}"
+    path = scratch.fresh_dir(spark, "blocks", name)
     (
         df.write.option("compression", "zstd").option("path", path)
         .bucketBy(files, "block").saveAsTable(name)

@@ -2,52 +2,56 @@
 
 Every intermediate result that later stages read is written below
 ``spark.checkpoint.dir`` (never a machine-local folder on a cluster), so a
-lost executor costs a re-read and not a recomputation.  ``spark_dir`` gives a
-fresh folder and registers it; folders still registered when the application
-ends are removed then, and ``remove`` drops one earlier.
+lost executor costs a re-read and not a recomputation.  Folders are removed
+when the application ends; within ``owned`` they are known and can be removed
+earlier, once the results that read them are written.
 """
 
 from __future__ import annotations
 
-import atexit
-import uuid
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir
+from ..session import remove_path, scratch_path
 
-_OPEN: dict[str, SparkSession] = {}
+_OWNERS = threading.local()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+class Owned:
+    """Folders and tables made while a block ran."""
 
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.tables: list[str] = []
 
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A unique folder below the shared one, removed when the session ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _OPEN[path] = spark
-    return path
+    def remove(self, spark: SparkSession) -> None:
+        for table in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for path in self.paths:
+            remove_path(spark, path)
 
 
-def remove(path: str) -> None:
-    """Drop a folder made by ``fresh_dir`` that nothing reads any more."""
-    spark = _OPEN.pop(path, None)
-    if spark is not None:
-        _delete(spark, path)
+@contextmanager
+def owned() -> Iterator[Owned]:
+    """What this thread makes within the block belongs to the result."""
+    stack = _OWNERS.__dict__.setdefault("stack", [])
+    stack.append(Owned())
+    try:
+        yield stack[-1]
+    finally:
+        stack.pop()
 
 
-@atexit.register
-def _remove_all() -> None:
-    for path, spark in list(_OPEN.items()):
-        try:
-            if spark.sparkContext._jsc is not None:
-                _delete(spark, path)
-        except Exception:  # the JVM is already gone
-            return
-        _OPEN.pop(path, None)
+def fresh_dir(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """A unique folder below the shared one, for the table of that name if given."""
+    path = scratch_path(spark, name)
+    for owner in _OWNERS.__dict__.get("stack", [])[-1:]:
+        owner.paths.append(path)
+        owner.tables += [table] if table else []
+    return path
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

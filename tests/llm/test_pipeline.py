@@ -93,3 +93,20 @@ def test_without_languages_only_texts_without_letters_go(session):
     rows = [edge_rows.row(1, "hello", lang=None), edge_rows.row(2, "12 !", lang=None)]
     df = session.createDataFrame(rows, edge_rows.SCHEMA)
     assert [r.doc_id for r in pipeline.STAGES[0][1](session, df, "").collect()] == [1]
+
+
+def test_run_leaves_only_its_result(session):
+    import os
+
+    from sessionmetrics.session import shared_dir
+
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no test data")
+    root = shared_dir(session).removeprefix("file:")
+    before, tables = set(os.listdir(root)), {t.name for t in session.catalog.listTables()}
+    rows = pipeline.run(session, data)
+    left = set(os.listdir(root)) - before
+    assert [n.rsplit("-", 1)[0] for n in left] == ["stage-sequences"]
+    assert {t.name for t in session.catalog.listTables()} == tables
+    assert rows.count() > 0
