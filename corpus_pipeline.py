@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``docs``.  ``run`` writes each stage's result as
-Parquet to the cluster's shared folder and rereads it for the next.
+Parquet to the cluster's shared folder, rereads it for the next, and removes
+what is read no more.
 
 1. language: documents without a letter, or whose language stays uncertain,
    go;
@@ -122,7 +123,15 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the last one's rows."""
-    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+    docs, before = spark.read.parquet(os.path.join(sf_dir, "documents.parquet")), None
     for name, stage in STAGES:
-        docs = scratch.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch.owned() as result:
+            with scratch.owned() as inside:
+                rows = stage(spark, docs, sf_dir)
+            docs = scratch.written(rows, f"stage-{name}")
+        # only the last stage's result has to stay
+        inside.remove(spark)
+        if before is not None:
+            before.remove(spark)
+        before = result
     return docs
