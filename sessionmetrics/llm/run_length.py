@@ -44,6 +44,8 @@ from .text import Rolling, U, byte_symbols, ranges
 LENGTH, SEED_BYTES = 100, 40
 CROWDED = 1024
 BLOCK_BYTES = 2 << 20
+#: Bytes of the anchors indexed together; an index takes some 200 times that.
+INDEX_BYTES = 1 << 19
 RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
 _PLACE_BITS = U(31)
 _NOTES = -1
@@ -222,23 +224,29 @@ class RunIndex:
 
 
 def _edges_reply(payloads: list[memoryview], length: int) -> list[bytes]:
-    """Marked places in the surroundings of each payload."""
+    """Marked places in the surroundings of each payload.  Anchors do not
+    meet, so they are indexed some at a time."""
     parts = []
     for p in payloads:
-        doc, pos, size = B.unpack(p, "i8", "u4", "i8")
-        body = np.frombuffer(p, np.uint8)[8 + 20 * len(doc) :]
-        parts.append((doc, pos, size, body))
-    doc, pos, size, body = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((pos, doc))
+        key, doc, pos, size = B.unpack(p, "u8", "i8", "u4", "i8")
+        body = np.frombuffer(p, np.uint8)[8 + 28 * len(doc) :]
+        parts.append((key, doc, pos, size, body))
+    key, doc, pos, size, body = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((pos, doc, key))
     start = np.cumsum(size) - size
-    source = ranges(start[order], size[order])
-    ends = np.cumsum(size[order])
     # places in the corpus: the document's rank, then the byte in it
-    rank = np.unique(doc, return_inverse=True)[1][order]
-    place = np.repeat((rank << 32) + pos[order], size[order]) + ranges(np.zeros(len(size), np.int64), size[order])
+    rank = np.unique(doc, return_inverse=True)[1]
+    begins = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    index = (np.cumsum(size[order])[begins] - size[order][begins]) // INDEX_BYTES
+    cuts = begins[np.flatnonzero(np.diff(index, prepend=-1))]
     marked = np.zeros(len(body), bool)
-    marked[source] = RunIndex(body[source], ends, length, place).repeats(ends)
-    cuts = np.cumsum([len(p[3]) for p in parts])
+    for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
+        rows = order[lo:hi]
+        source, ends = ranges(start[rows], size[rows]), np.cumsum(size[rows])
+        place = np.repeat((rank[rows] << 32) + pos[rows], size[rows])
+        place += ranges(np.zeros(len(rows), np.int64), size[rows])
+        marked[source] = RunIndex(body[source], ends, length, place).repeats(ends)
+    cuts = np.cumsum([len(p[4]) for p in parts])
     return [B.pack(np.flatnonzero(m).astype(np.int32)) for m in np.split(marked, cuts[:-1])]
 
 
@@ -296,7 +304,7 @@ class _Plan:
                 size = x.high[e] + self.length - x.low[e]
                 body = block.data[ranges(x.low[e], size)]
                 start = (x.pos[e] - (x.at[e] - x.low[e])).astype(np.uint32)
-                yield int(cells[by[lo]]), B.pack(x.doc[e], start, size) + body.tobytes()
+                yield int(cells[by[lo]]), B.pack(x.key[e], x.doc[e], start, size) + body.tobytes()
                 stand.append((int(cells[by[lo]]), x.low[e], size))
             q = ranges(x.low[crowd], x.high[crowd] - x.low[crowd] + 1)
             who = np.repeat(crowd, x.high[crowd] - x.low[crowd] + 1)

@@ -93,3 +93,25 @@ def test_run_index_runs_and_repeats():
             seen.add(cut)
     assert marked.tolist() == want
     assert len(index.start) < len(text)  # runs are fewer than rows
+
+
+def test_indexes_of_some_anchors_at_a_time(monkeypatch):
+    from sessionmetrics.llm import blocks
+
+    rng = random.Random(7)
+    rows = []
+    for key in range(40):
+        # as strings of different anchors do, those of different keys differ
+        stem = bytes(rng.choice(b"abc") for _ in range(6)) + bytes([100 + key]) + bytes(rng.choice(b"abc") for _ in range(5))
+        for _ in range(rng.randrange(1, 6)):
+            rows.append((key, rng.randrange(50), rng.randrange(100), stem + bytes(rng.choice(b"ab") for _ in range(5))))
+    rng.shuffle(rows)
+    payloads = []
+    for part in (rows[:60], rows[60:]):
+        key, doc, pos, text = zip(*part)
+        columns = (np.array(key, "u8"), np.array(doc, "i8"), np.array(pos, "u4"), np.array(list(map(len, text))))
+        payloads.append(memoryview(blocks.pack(*columns) + b"".join(text)))
+    whole = run_length._edges_reply(payloads, 14)
+    monkeypatch.setattr(run_length, "INDEX_BYTES", 64)
+    assert run_length._edges_reply(payloads, 14) == whole
+    assert any(len(r) > 8 for r in whole)
