@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import scratch
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 _STORED = "block long, ids binary, offsets binary, data binary"
 _PACKED = "block long, bucket int, payload binary"
@@ -109,7 +109,7 @@ def store(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_
     )
     n_bytes = int(docs.select(F.sum(F.octet_length(text_col))).first()[0] or 0)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = max(tasks, -(-n_bytes // (8 * block_bytes)))
+    files = max(tasks, -(-n_bytes // (16 << 20)))
     made = rows.mapInArrow(lambda it: _blocks(it, block_bytes), _STORED)
     return Blocks(_by_block(made, files), n_bytes, tasks, files)
 

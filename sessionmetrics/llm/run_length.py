@@ -43,7 +43,6 @@ from .text import Rolling, U, byte_symbols, ranges
 
 LENGTH, SEED_BYTES = 100, 40
 CROWDED = 1024
-BLOCK_BYTES = 2 << 20
 #: Bytes of the anchors indexed together; an index takes some 200 times that.
 INDEX_BYTES = 1 << 19
 RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -360,13 +359,14 @@ class _Plan:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed_bytes: int = SEED_BYTES
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, seed_bytes: int = SEED_BYTES,
+    block_bytes: int = B.BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans (maximal removed
     runs) and ``kept``, the bytes left."""
     if not 0 < seed_bytes <= length:
         raise ValueError("seed_bytes must be in 1..length")
-    stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
+    stored = B.store(docs, id_col, text_col, block_bytes)
     plan = _Plan(length, seed_bytes, stored.buckets)
     pairs = B.answer(B.ask(stored, plan.ask_pairs), _pairs_reply)
     edges = scratch.written(B.ask_again(stored, pairs, plan.ask_edges), "edges-of-repeats")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid, scratch
-from .blocks import column_bytes, pack, split, unpack
+from .blocks import column_bytes, split, unpack
 from .components import components, local_stars
 from .text import U, mix, ranges
 

@@ -43,7 +43,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from . import scratch
 from .text import U, Words, mix, ranges
 
 DEPTH = 2
@@ -51,6 +50,8 @@ P_CONTEXT, P_NEXT = 3e-6, 2e-7
 MIN_CONTEXT, MIN_NEXT, LISTED = 8, 2, 2
 DISCOUNT = 0.75
 MIN_GAIN = 16.0
+#: Larger blocks ask for fewer of the same words and pairs.
+BLOCK_BYTES = 4 << 20
 _END = U(0x656E645F6F665F74)
 _TOTALS = -1
 _FIXED = 2000.0  # log-probabilities travel in units of 1/2000 nat
@@ -253,7 +254,7 @@ def score(
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score (root state alone), score, n_states (tokens scored by a longer
     state).  ``held_out(ids)`` marks the documents not to learn from."""
-    stored = B.store(docs, id_col, text_col)
+    stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
     plan = _Plan(stored.buckets, held_out)
     n = stored.buckets
     words = B.kept_by_block(stored, B.answer(B.ask(stored, plan.ask_words), _words_reply))

@@ -39,6 +39,8 @@ def byte_symbols(salt: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U) * U(_BASES[salt]) + U(salt + 1))
 
 
+#: Powers that a worker keeps; longer texts compute theirs anew.
+_KEPT_POWERS = (2 << 20) + (1 << 16)
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -47,12 +49,11 @@ def powers(salt: int, n: int, inverse: bool = False) -> np.ndarray:
     have = _POWERS.get((salt, inverse))
     if have is None or len(have) < n:
         base = pow(_BASES[salt], -1, 1 << 64) if inverse else _BASES[salt]
-        size = 1 << max(16, int(n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            have = np.full(size, base, dtype=U)
-            have[0] = 1
-            have = np.multiply.accumulate(have)
-        _POWERS[(salt, inverse)] = have
+        have = np.full(max(n, 1 << 16), base, dtype=U)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if n <= _KEPT_POWERS:
+            _POWERS[(salt, inverse)] = have
     return have[:n]
 
 

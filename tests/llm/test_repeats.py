@@ -44,16 +44,15 @@ def _noisy(seed, alphabet, docs=60):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_bytes_on_repetitive_text(session, seed, monkeypatch):
+def test_bytes_on_repetitive_text(session, seed):
     rows = _noisy(seed, "ab ")
     df = session.createDataFrame(rows, edge_rows.SCHEMA)
     for seed_bytes, block in ((7, 500), (20, 1 << 20)):
-        monkeypatch.setattr(run_length, "BLOCK_BYTES", block)
-        found = run_length.remove_repeats(df, length=30, seed_bytes=seed_bytes)
+        found = run_length.remove_repeats(df, length=30, seed_bytes=seed_bytes, block_bytes=block)
         assert _got(found, "n_bytes", "n_removed", "n_spans") == edge_rows.repeated_bytes(rows, 30)
 
 
-def test_crowded_anchor_is_compared_string_by_string(session, monkeypatch):
+def test_crowded_anchor_is_compared_string_by_string(session):
     # one common line amid different text, with more surroundings than an index takes
     rng = random.Random(5)
     line = "".join(rng.choice("abcdefgh") for _ in range(110))
