@@ -22,6 +22,7 @@ from __future__ import annotations
 import bisect
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,7 @@ GENERATIONS = 8
 POPULATION = 4
 WELL_FILLED = 0.97
 #: Bytes tokenised at a time; hashing takes some 50 times that in a worker.
-_PART = 2 << 20
+_PART = 1 << 20
 
 # Fixed value: the split of byte-level BPE with 50k ids.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -132,27 +133,38 @@ class Encoder:
         total[size > 0] = np.add.reduceat(per, np.searchsorted(start, first))
         return ids[ranges(at[which], per)], total
 
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    def encode(self, texts: list[bytes | memoryview]) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) for every text, parts of about ``_PART`` bytes at a time."""
-        plain, size = [], 0
-        for row, text in enumerate(texts):
-            if any(x in text for x in self.special) or any(x in text for x in WIDE_SPACE):
+        rows: list[int] = []
+        part: list[bytes] = []
+        size = 0
+        for row, view in enumerate(texts):
+            text = bytes(view)
+            odd = not text.isascii() and any(x in text for x in WIDE_SPACE)
+            if odd or any(x in text for x in self.special):
                 yield row, self.whole(text)
                 continue
-            plain.append(row)
+            rows.append(row)
+            part.append(text)
             size += len(text)
-            if size >= _PART or len(plain) >= 1 << 16:
-                yield from self._rows(plain, texts)
-                plain, size = [], 0
-        yield from self._rows(plain, texts)
+            if size >= _PART or len(rows) >= 1 << 16:
+                yield from self._rows(rows, part)
+                rows, part, size = [], [], 0
+        yield from self._rows(rows, part)
 
     def _rows(self, rows: list[int], texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        ids, total = self.part([texts[r] for r in rows])
+        ids, total = self.part(texts)
         ends = np.cumsum(total)
         for row, a, b in zip(rows, (ends - total).tolist(), ends.tolist()):
             yield row, ids[a:b]
 
 
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str) -> Encoder:
+    """The encoder a worker keeps for its tasks."""
+    return Encoder(vocabulary)
+
+
 def _byte_of_letter() -> dict[str, int]:
     """Byte-level vocabularies write each byte as one printable letter: itself
     if it is printable in Latin-1, else the next letter from U+0100 on."""
@@ -172,17 +184,16 @@ def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = _encoder(sent.value)
         for batch in batches:
-            texts = [bytes(v) for v in column_bytes(batch.column(1))]
             ids = batch.column(0)
             rows: list[tuple[int, int, int, int, bytes]] = []
-            for row, got in encoder.encode(texts):
+            for row, got in encoder.encode(column_bytes(batch.column(1))):
                 got = np.append(got, np.uint32(END_ID)).astype("<u4")
                 n = len(got)
                 cuts = [0, n] if n <= sequence else sorted({0, *range(n, 0, -sequence)})
                 rows += [(row, k, a, b - a, got[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-                if len(rows) >= 4096:
+                if len(rows) >= 1024:
                     yield _rows(ids, rows)
                     rows = []
             yield _rows(ids, rows)
@@ -329,7 +340,7 @@ def pack(
     poor = F.col("fill") < WELL_FILLED * sequence
     again = _evolved(dealt(first.where(poor).select("item", "length"), seed + 1), sequence, seed + 1, islands, epochs)
     # three kinds of sequence, told apart by the two low bits of their number
-    number = F.col("grp") * (4 * group_pieces * 16) + F.col("bin") * 4
+    number = F.col("grp") * F.lit(1 << 24) + F.col("bin") * 4
     placed = first.where(~poor).withColumn("_seq", number + 1).unionByName(again.withColumn("_seq", number + 2))
     order = Window.partitionBy("_seq").orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.select(
