@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scratch
+
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 REPEATS = 2
@@ -159,6 +161,7 @@ def mix_sources(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size")
     ).withColumn("_order", F.xxhash64(F.col("id").cast("string"), F.lit(seed)))
     rows = rows.withColumn("_slice", F.shiftrightunsigned("_order", 64 - _SLICE_BITS).cast("int"))
+    rows = scratch.written(rows, "sizes")  # texts are read once
     slices = rows.groupBy("source", "size", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     histogram = slices.groupBy("source", "size").agg(F.sum("_n").alias("n"))
     per_source = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
