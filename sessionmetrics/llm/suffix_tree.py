@@ -46,6 +46,7 @@ from . import blocks as B
 from .text import U, Words, mix, ranges
 
 DEPTH = 2
+#: Some 350 and 23 occurrences among 1.2e8 training tokens.
 P_CONTEXT, P_NEXT = 3e-6, 2e-7
 MIN_CONTEXT, MIN_NEXT, LISTED = 8, 2, 2
 DISCOUNT = 0.75
