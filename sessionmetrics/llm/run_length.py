@@ -43,7 +43,8 @@ from .text import Rolling, U, byte_symbols, ranges
 
 LENGTH, SEED_BYTES = 100, 40
 CROWDED = 1024
-#: Bytes of the anchors indexed together; an index takes some 200 times that.
+#: Bytes of the anchors indexed together (an anchor is never cut); an index
+#: takes some 200 times that.
 INDEX_BYTES = 1 << 19
 RESULT = "id long, n_bytes long, n_removed long, n_spans long, kept binary"
 _PLACE_BITS = U(31)
