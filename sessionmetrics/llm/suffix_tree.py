@@ -1,8 +1,8 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 A state is a context of up to ``DEPTH`` preceding words.  The root is the
-smoothed unigram distribution ``(c + 1) / (N + V + 1)``.  A context whose
-share of the training tokens is at least ``p_context`` is a candidate; its
+smoothed unigram distribution ``(c + 1) / (N + V + 1)``.  A context that
+occurs ``min_context`` times in the training texts is a candidate; its
 next-symbol distribution is smoothed by absolute discounting into that of its
 longest retained suffix:
 
@@ -22,11 +22,11 @@ all documents hold is one row per block.  What is gathered grows with the
 corpus; nothing of it goes to the driver but two totals.
 
 Words are told apart by 64-bit hashes, next words within a context by 32
-bits.  Words whose share of the training tokens is below ``p_next`` have no
-entry of their own in longer contexts.  Both thresholds are shares, so the
-part of a corpus that is gathered is the same at every size; small corpora
-have the floors ``min_context`` and ``min_next``.  All pairs of one context
-meet in one bucket.
+bits.  Words that occur less than ``min_next`` times in training have no
+entry of their own in longer contexts.  Both thresholds are numbers of
+occurrences, the same at every size: the tree grows with the corpus, and the
+divergence test decides what is retained.  All pairs of one context meet in
+one bucket.
 
 Nulls and edges: a null or empty text has one token, the end; a row whose id
 is null is left out; repeated rows are scored, and learned from, as often as
@@ -46,8 +46,6 @@ from . import blocks as B
 from .text import U, Words, mix, ranges
 
 DEPTH = 2
-#: Some 350 and 23 occurrences among 1.2e8 training tokens.
-P_CONTEXT, P_NEXT = 3e-6, 2e-7
 MIN_CONTEXT, MIN_NEXT, LISTED = 8, 2, 2
 DISCOUNT = 0.75
 MIN_GAIN = 16.0
@@ -127,10 +125,11 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float) -> list[bytes]:
 
 
 class _Plan:
-    def __init__(self, buckets: int, held_out):
+    def __init__(self, buckets: int, held_out, min_context: int, min_next: int):
         self.buckets, self.held_out = buckets, held_out
+        self.min_context, self.min_next = min_context, min_next
         # known after the first exchange
-        self.tokens, self.vocabulary, self.min_context, self.min_next = 0, 0, 0.0, 0.0
+        self.tokens, self.vocabulary = 0, 0
 
     def _cells(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows in order of their buckets, and each bucket's start in it."""
@@ -249,14 +248,13 @@ class _State:
 
 def score(
     docs: DataFrame, held_out: Callable[[np.ndarray], np.ndarray], id_col: str = "doc_id", text_col: str = "text",
-    depth: int = DEPTH, p_context: float = P_CONTEXT, p_next: float = P_NEXT, min_gain: float = MIN_GAIN,
-    min_context: int = MIN_CONTEXT, min_next: int = MIN_NEXT,
+    depth: int = DEPTH, min_gain: float = MIN_GAIN, min_context: int = MIN_CONTEXT, min_next: int = MIN_NEXT,
 ) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score (root state alone), score, n_states (tokens scored by a longer
     state).  ``held_out(ids)`` marks the documents not to learn from."""
     stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
-    plan = _Plan(stored.buckets, held_out)
+    plan = _Plan(stored.buckets, held_out, min_context, min_next)
     n = stored.buckets
     words = B.kept_by_block(stored, B.answer(B.ask(stored, plan.ask_words), _words_reply))
     # the two totals, added up from one summary per bucket
@@ -264,8 +262,6 @@ def score(
     summary = summary.mapInArrow(_sums, "tokens long, words long")
     totals = summary.agg(F.sum("tokens"), F.sum("words")).first()
     plan.tokens, plan.vocabulary = int(totals[0] or 0), int(totals[1] or 0)
-    plan.min_context = max(min_context, p_context * plan.tokens)
-    plan.min_next = max(min_next, p_next * plan.tokens)
     known = [words]
     for d in range(1, depth + 1):
         asked = B.ask_joined(stored, known, lambda b, r, d=d: plan.ask_pairs(b, r, d))

@@ -6,6 +6,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import edge_rows
 from sessionmetrics.llm import suffix_tree
@@ -108,3 +109,19 @@ def test_nothing_to_learn_from(session):
 
 def test_no_documents(no_docs):
     assert suffix_tree.score(no_docs, lambda ids: ids == ids).collect() == []
+
+
+def test_thresholds_do_not_rise_with_the_corpus(session):
+    """Nine occurrences make a state among millions of other words, too."""
+    rare = [edge_rows.row(1000 + i, "alpha beta") for i in range(40)]
+    rare = [r for r in rare if not edge_rows.crc_is_two(r[0], 7)][:9]
+    much = session.range(48).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('x ', 120000)").alias("text")
+    )
+    df = session.createDataFrame(rare, edge_rows.SCHEMA).select("doc_id", "text").unionByName(much).repartition(3)
+    got = {r.id: r for r in suffix_tree.score(df, lambda ids: _remainder_is_two(ids, 7)).collect()}
+    for row in rare:
+        r = got[row[0]]
+        assert r.train_tokens > 3_000_000
+        assert r.n_states == 2  # beta after alpha, the end after beta
+        assert r.score > r.base_score + 8
