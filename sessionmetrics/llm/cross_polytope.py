@@ -34,7 +34,8 @@ from .text import U, mix
 from .vectors import hadamard, matrix, packed
 
 COSINE = 0.9
-TABLES, PARTS, PROBES = 6, 2, 4
+#: Of pairs at cosine 0.9 in 64 dimensions, 6 tables miss some 0.4 %.
+TABLES, PARTS, PROBES = 12, 2, 4
 _PER_PART = 4
 _BATCH, _PAIRS = 1 << 13, 1 << 16
 
@@ -73,7 +74,8 @@ class Hashing:
     @property
     def kind(self) -> str:
         """A type that holds the bucket numbers of a table."""
-        return "u4" if (2 * self.width) ** self.parts <= 1 << 32 else "u8"
+        most = (2 * self.width) ** self.parts
+        return "u2" if most <= 1 << 16 else "u4" if most <= 1 << 32 else "u8"
 
     def keys(self, buckets: np.ndarray, table: int) -> np.ndarray:
         """Bucket numbers as keys that differ between tables."""

@@ -167,6 +167,24 @@ def test_cross_polytope_matches_brute_force(session, cell):
     assert got == want
 
 
+def _missed(cosine: float, pairs: int, dim: int = 64) -> int:
+    """Pairs at that cosine that meet in no bucket, with production parameters."""
+    rng = np.random.default_rng(11)
+    x, y = rng.normal(size=(2, pairs, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    cp = cross_polytope
+    hashing = cp.Hashing(dim, cp.TABLES, cp.PARTS, cp.PROBES, 42)
+    a, b = hashing.buckets(x), hashing.buckets(y)
+    met = (a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)
+    return int((~met.any(axis=1)).sum())
+
+
+def test_pairs_at_the_threshold_meet():
+    assert _missed(0.9, 10_000) <= 2
+
+
 def test_repeated_vector_rows_link(session):
     df = session.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in cross_polytope.near_duplicates(df).collect())
