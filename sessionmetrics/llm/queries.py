@@ -58,14 +58,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Part of the corpus that importance resampling keeps.
-KEPT_FRACTION = 0.85
+#: As many documents are drawn as weigh what this part of the targets weighs.
+TARGETS_KEPT = 0.99
 
 
 def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id")
-    drawn = resampling.resample(table(spark, sf_dir, "documents"), good, KEPT_FRACTION)
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), good, targets_kept=TARGETS_KEPT)
     return drawn.withColumnRenamed("id", "doc_id")
 
 

@@ -131,18 +131,32 @@ def kth_largest(table: DataFrame, column: str, k: int) -> int | None:
     return (found ^ (1 << 63)) - (1 << 64) if (found ^ (1 << 63)) >= 1 << 63 else found ^ (1 << 63)
 
 
+def _as_heavy(draws: DataFrame, target_ids: DataFrame, share: float) -> int:
+    """Rows that weigh at least what the heaviest ``share`` of the targets
+    weigh; without targets all rows."""
+    ids = target_ids.toDF("_target").dropna().distinct()
+    mine = draws.join(ids, F.col("id") == F.col("_target"), "left_semi").select("_weight")
+    mine = scratch.written(mine, "target-weights")
+    n = mine.count()
+    border = kth_largest(mine, "_weight", max(1, int(np.ceil(share * n)))) if n else None
+    return (draws if border is None else draws.where(F.col("_weight") >= border)).count()
+
+
 def resample(
     docs: DataFrame,
     target_ids: DataFrame,
-    fraction: float,
+    fraction: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     seed: int = 42,
     slots: int = SLOTS,
     target_rows: int = TARGET_ROWS,
+    targets_kept: float = 1.0,
 ) -> DataFrame:
     """Every document as (id, n_grams, log_weight, draw, kept); ``kept`` marks
-    the ``ceil(fraction * rows)`` largest draws."""
+    the ``k`` largest draws: ``ceil(fraction * rows)``, or without a fraction
+    as many as documents weigh at least what the heaviest ``targets_kept`` of
+    the targets weigh."""
     ratio = fit(docs, target_ids, id_col, text_col, slots, target_rows)
     sent = docs.sparkSession.sparkContext.broadcast(ratio)
 
@@ -161,8 +175,12 @@ def resample(
     draws = rows.mapInArrow(weigh, "id long, n_grams long, log_weight double").withColumn(
         "draw", F.col("log_weight") + noise(F.col("id"), seed)
     )
-    draws = scratch.written(draws.withColumn("_order", _order(F.col("draw"))), "draws")
-    k = int(np.ceil(fraction * draws.count()))
+    draws = draws.withColumn("_order", _order(F.col("draw"))).withColumn("_weight", _order(F.col("log_weight")))
+    draws = scratch.written(draws, "draws")
+    if fraction is None:
+        k = _as_heavy(draws, target_ids, targets_kept)
+    else:
+        k = int(np.ceil(fraction * draws.count()))
     border = kth_largest(draws, "_order", k) if k else None
     if border is None:
         kept = F.lit(k > 0)

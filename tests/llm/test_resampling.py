@@ -90,3 +90,15 @@ def test_good_documents_stay_and_poor_ones_go(session):
         for r in found.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
     }
     assert got[1] > 0.95 and got[0] < 0.4
+
+
+@pytest.mark.parametrize("poor", [0, 160])
+def test_quota_follows_the_corpus(session, tmp_path, poor):
+    """400 documents: as many stay as are like the targets, be it all or 60 %."""
+    docs = [(i, edge_rows.words(i, 60) if i >= poor else edge_rows.words(i, 60).replace("w", "z")) for i in range(400)]
+    labels = [(i, int(i >= poor), 0) for i in range(400)]
+    session.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    session.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    kept = {r.doc_id for r in queries.op3_quality_resampling(session, str(tmp_path)).where("kept").collect()}
+    assert sum(i >= poor for i in kept) >= 0.98 * (400 - poor)
+    assert sum(i < poor for i in kept) <= 0.05 * poor
