@@ -8,7 +8,94 @@ _WORDS = (
     r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 )
 
+# SQL has no crc32: the table of its 256 remainders comes from the rule, eight
+# halvings each, and a text's crc32 is a fold over its bytes.
+_CRC_TABLE = """
+        remainders AS (
+            SELECT list(r ORDER BY b) AS t FROM (
+                SELECT b, list_reduce(list_prepend(b, range(8)), lambda r, step:
+                    CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS r
+                FROM (SELECT unnest(range(256)) AS b)
+            )
+        )"""
+_CRC_BYTES = """list_transform(range(1, len(h) + 1, 2), lambda i:
+                    CAST(16 * (instr('0123456789ABCDEF', substr(h, i, 1)) - 1)
+                        + instr('0123456789ABCDEF', substr(h, i + 1, 1)) - 1 AS BIGINT))"""
+
+_TERMS = r"""list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
 ORACLES: dict[str, str] = {
+    # near words share a word of one letter less, made at the same place
+    "op11_spelling": f"""
+        WITH RECURSIVE {_CRC_TABLE.strip()}, runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS d, run, count(*) AS n
+            FROM (SELECT doc_id, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+            WHERE length(run) >= 7 GROUP BY d, run
+        ), hashed AS (
+            SELECT run, n, xor(list_reduce(list_prepend(4294967295, {_CRC_BYTES}), lambda c, b:
+                xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+            FROM (SELECT run, n, hex(encode(d || ':' || run)) AS h FROM runs), remainders
+        ), words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+                SELECT n, CASE WHEN crc % 31 = 0
+                    THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2)
+                    ELSE run END AS word
+                FROM hashed
+            ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+        ), shorter AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), links AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b
+                ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.less = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.less = b.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, max(near_n) AS most,
+                arg_min(near, struct_pack(less := -near_n, near := near)) AS near
+            FROM links GROUP BY word
+        ), forms AS (
+            SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+                CASE WHEN most >= 10 * words.n THEN near END AS form,
+                CASE WHEN most >= 10 * words.n THEN most END AS form_n
+            FROM words LEFT JOIN best ON words.word = best.word
+        ), steps(word, root) AS (
+            SELECT word, word FROM forms
+            UNION ALL SELECT steps.word, forms.form FROM steps JOIN forms ON steps.root = forms.word
+            WHERE forms.form IS NOT NULL
+        )
+        SELECT forms.word, forms.form, ends.root, forms.n, CAST(n_near AS BIGINT) AS n_near, form_n
+        FROM forms JOIN (
+            SELECT steps.word, steps.root FROM steps JOIN forms ON steps.root = forms.word WHERE forms.form IS NULL
+        ) ends ON forms.word = ends.word
+    """,
+    "op12_lexical_search": f"""
+        WITH docs AS (
+            SELECT doc_id, {_TERMS} AS w FROM documents
+        ), stats AS (
+            SELECT count(*) FILTER (len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM docs
+        ), tf AS (
+            SELECT doc_id, n, w, count(*) AS tf
+            FROM (SELECT doc_id, len(w) AS n, unnest(w) AS w FROM docs) GROUP BY doc_id, n, w
+        ), weights AS (
+            SELECT w, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS weight
+            FROM (SELECT w, count(*) AS df FROM tf GROUP BY w), stats
+        ), item_terms AS (
+            SELECT DISTINCT item_id, unnest({_TERMS}) AS w FROM benchmark
+        ), scores AS (
+            SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 90 + ((90 * n * nd) // l))))) AS BIGINT) AS score
+            FROM item_terms JOIN tf USING (w) JOIN weights USING (w), stats GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     # all pairs; hashing found every link of the given tables
     "op4_cross_polytope": """
         WITH RECURSIVE usable AS (

@@ -19,12 +19,16 @@ from . import (
     difference_cover,
     hilbert,
     language,
+    lexical,
     mixing,
     packing,
     resampling,
     run_length,
+    scratch,
     simhash,
+    spelling,
     suffix_tree,
+    token_files,
 )
 from .shipping import ship
 
@@ -124,6 +128,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.fresh_dir(spark, "token-files")
+    stored = token_files.write(table(spark, sf_dir, "documents"), path, vocabulary())
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_simhash": op2_simhash,
@@ -135,6 +153,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op11_spelling": op11_spelling,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_files": op13_token_files,
 }
 
 
