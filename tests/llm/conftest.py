@@ -20,7 +20,7 @@ def session(spark):
 def edge_docs(session):
     import edge_rows
 
-    return session.createDataFrame(edge_rows.documents(), edge_rows.SCHEMA).repartition(3).cache()
+    return session.createDataFrame(edge_rows.documents(), edge_rows.SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="session")

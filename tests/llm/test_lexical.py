@@ -1,0 +1,101 @@
+"""op12: ranked search against scores of all pairs."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import edge_rows
+from sessionmetrics.llm import lexical
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms(text) -> list[str]:
+    return ["".join(c.lower() if c.isascii() else c for c in t) for t in TERM.findall(text or "")]
+
+
+def expected(docs: list[tuple], items: list[tuple], k: int = 10) -> list[tuple]:
+    bags = [(r[0], Counter(terms(r[1]))) for r in docs]
+    sizes = [sum(b.values()) for _, b in bags]
+    n_docs, n_terms = sum(1 for s in sizes if s), sum(sizes)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        scored = []
+        for (doc, bag), n in zip(bags, sizes):
+            score = 0
+            for t in set(terms(text)):
+                if bag[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    m = 100 - 90 + (90 * n * n_docs) // n_terms
+                    score += w * ((1000000000 * bag[t]) // (1000 * bag[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        scored.sort(key=lambda s: s[:3])
+        out += [(item, i + 1, s[3], -s[0]) for i, s in enumerate(scored[:k])]
+    return sorted(out, key=str)
+
+
+def found(session, docs, items, **options):
+    d = session.createDataFrame([(r[0], r[1]) for r in docs], "doc_id long, text string").repartition(4)
+    i = session.createDataFrame(items, "item_id long, text string")
+    return sorted(map(tuple, lexical.search(d, i, **options).collect()), key=str)
+
+
+def corpus(seed: int, n: int) -> list[tuple]:
+    rng = random.Random(seed)
+    texts = [edge_rows.words(seed + i, rng.randint(3, 60), 80) for i in range(n)]
+    # groups of copies, from pairs to a third of all rows
+    texts += [texts[0]] * (n // 2) + [texts[1]] * 3 + [t.upper() + "!" for t in texts[:5]]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+ITEMS = [(i, edge_rows.words(900 + i, 12, 90)) for i in range(25)] + [(30, "w1 w1 W2"), (31, "unheard"), (32, None), (33, "")]
+
+
+def test_against_all_pairs(session):
+    docs = corpus(1, 60)
+    assert found(session, docs, ITEMS) == expected(docs, ITEMS)
+
+
+def test_many_waves_and_small_blocks(session, monkeypatch):
+    docs = corpus(2, 40)
+    monkeypatch.setattr(lexical, "_TOGETHER", 3)
+    assert found(session, docs, ITEMS, wave_bytes=600) == expected(docs, ITEMS)
+
+
+def test_fewer_best(session):
+    docs = corpus(3, 30)
+    assert found(session, docs, ITEMS, k=2) == expected(docs, ITEMS, 2)
+
+
+def test_scores_are_exact_beyond_doubles():
+    """Sums of more than 2**53 keep every unit."""
+    import numpy as np
+
+    n_terms = 400_000
+    wave = lexical.Wave(np.zeros(n_terms, np.int64), [b"%d" % i for i in range(n_terms)])
+    weight = np.full(n_terms, 50_001, np.int64)
+    bags = [(np.arange(n_terms, dtype="<u4"), np.full(n_terms, 10**9, "<u8"))]
+    got = lexical.score_block(wave, weight, np.array([10]), bags)[0, 0]
+    assert int(got) == n_terms * 50_001 * ((10**18) // (10**12 + 80)) > 1 << 53
+
+
+def test_edges(session, edge_docs, no_docs):
+    rows = [*edge_rows.documents(), edge_row_of("É é ONE two\x00w1")]
+    docs = session.createDataFrame(rows, edge_rows.SCHEMA)
+    items = [(1, "one two É"), (1, "w1 w2 w3"), (None, "w4 w5 TWO"), (2, None), (3, "ß a")]
+    table = session.createDataFrame([(*i, 1, "x") for i in items], "item_id long, text string, doc_id long, rank string")
+    got = lexical.search(docs, table)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows, items)
+    assert lexical.search(no_docs, table).count() == 0
+    assert lexical.search(docs, table.limit(0)).count() == 0
+
+
+def edge_row_of(text):
+    return edge_rows.row(200, text)
