@@ -3,22 +3,23 @@ dictionary that all share.
 
 A folder holds
 
+* ``vocabulary.json``: what the ids mean;
 * ``dictionary``: a Zstandard dictionary, trained on the serialized ids of
   documents of the corpus (empty if there are too few to train one);
 * for every part of the documents, in ascending order of their ids, a file
   ``<part>-<attempt>.tokens``: one Zstandard frame for each document, nothing
   between them, and a file ``<part>-<attempt>.index``: the documents' ids,
   where each frame ends, and how many token ids it holds;
-* ``manifest.json``: the format, the width of an id, the dictionary's SHA-256
-  and, in order, the parts with their number of documents and ids and their
+* ``manifest.json``: the format, the width of an id, the SHA-256 of dictionary
+  and vocabulary and, in order, the parts with their number of documents and ids and their
   first and last doc_id.
 
 Ids are serialized as little-endian unsigned integers, two bytes wide if the
 vocabulary has no more than 65,536 ids, else four.  Any document can be read
 without its neighbours: its frame's place is in the index.
 
-The format is a Spark data source (``token_files``).  Tasks write files of
-their own names, so a task that is repeated on another executor leaves the
+The format is a Spark data source (``token_files``).  Tasks encode texts and
+write them to files of their own names, so a task that is repeated on another executor leaves the
 first one's files aside; the manifest, written last, names the files that
 count.  The reader checks the dictionary's hash and opens one part a task;
 with the option ``doc_ids`` (``lookup``) it opens only the parts that can hold
@@ -121,8 +122,8 @@ class Part(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, width: int, overwrite: bool):
-        self.path, self.width = path, width
+    def __init__(self, path: str, width: int, end_id: int, overwrite: bool):
+        self.path, self.width, self.end_id = path, width, end_id
         self.before = _manifest(path)
         if self.before is not None and not overwrite:
             raise ValueError(f"{path} holds token files already; write with mode overwrite")
@@ -135,17 +136,19 @@ class _Writer(DataSourceArrowWriter):
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
         frames = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(self.dictionary), write_checksum=True)
+        encode = encoder(_read(self.path, "vocabulary.json").decode()).encode
+        last = np.array([self.end_id], f"<u{self.width}").tobytes()
         system, root = _files(self.path)
         index, end = [], 0
         with system.open_output_stream(f"{root}/{name}.tokens") as out:
             for batch in iterator:
-                ids = batch.column(batch.schema.get_field_index("ids"))
                 keys = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
+                texts = column_bytes(batch.column(batch.schema.get_field_index("text")))
                 rows = np.zeros(len(keys), _INDEX)
-                for i, (key, data) in enumerate(zip(keys, column_bytes(ids))):
-                    serialized = np.frombuffer(data, "<u4").astype(f"<u{self.width}")
-                    end += out.write(frames.compress(serialized.tobytes()))
-                    rows[i] = (key or 0, key is None, end, len(serialized))
+                for i, (key, ids) in enumerate(zip(keys, encode(texts))):
+                    serialized = np.frombuffer(ids, "<u4").astype(f"<u{self.width}").tobytes() + last
+                    end += out.write(frames.compress(serialized))
+                    rows[i] = (key or 0, key is None, end, len(serialized) // self.width)
                 index.append(rows)
         index = np.concatenate([np.zeros(0, _INDEX), *index])
         if not len(index):
@@ -161,6 +164,7 @@ class _Writer(DataSourceArrowWriter):
         body = {
             "format": FORMAT, "id_bytes": self.width, "level": LEVEL,
             "dictionary_sha256": hashlib.sha256(self.dictionary).hexdigest(),
+            "vocabulary_sha256": hashlib.sha256(_read(self.path, "vocabulary.json")).hexdigest(), "end_id": self.end_id,
             "documents": sum(p.documents for p in parts), "ids": sum(p.ids for p in parts),
             "parts": [
                 {"name": p.name, "documents": p.documents, "ids": p.ids, "bytes": p.bytes, "first": p.first, "last": p.last}
@@ -262,40 +266,21 @@ class TokenFiles(DataSource):
         return _Reader(self.options["path"], None if some is None else {int(i) for i in some.split(",") if i})
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return _Writer(self.options["path"], int(self.options["id_bytes"]), overwrite)
+        return _Writer(self.options["path"], int(self.options["id_bytes"]), int(self.options["end_id"]), overwrite)
 
 
-def _encoded(rows: DataFrame, sent, end_id: int | None) -> DataFrame:
-    """(doc_id, ids) from (doc_id, text), in the same order."""
-    last = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, done, size = batch.column(0), [], 0
-            first = 0
-            for ids in encoder(sent.value).encode(column_bytes(batch.column(1))):
-                done.append(ids + last)
-                size += len(ids)
-                if size >= _TOGETHER:
-                    yield _rows(keys, first, done)
-                    first, done, size = first + len(done), [], 0
-            yield _rows(keys, first, done)
-
-    def _rows(keys: pa.Array, first: int, done: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([keys.slice(first, len(done)), pa.array(done, pa.binary())], names=["doc_id", "ids"])
-
-    return rows.mapInArrow(run, "doc_id long, ids binary")
-
-
-def train(rows: DataFrame, sent, width: int) -> bytes:
-    """A dictionary from the documents, of moderate length, whose hash is
-    least; empty if they are too few.  (doc_id, text) in."""
+def train(rows: DataFrame, vocabulary: str, width: int, end_id: int = END_ID) -> bytes:
+    """A dictionary from the (doc_id, text) rows of moderate length whose hash
+    is least; empty if they are too few."""
     import zstandard
 
     short = F.octet_length("text").between(1, TRAINING_BYTES)
     some = rows.where(short).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(TRAINING_DOCUMENTS)
-    ids = _encoded(some, sent, END_ID).select("ids").toArrow().column("ids")
-    samples = [np.frombuffer(v, "<u4").astype(f"<u{width}").tobytes() for v in column_bytes(ids)]
+    texts = column_bytes(some.select("text").toArrow().column("text"))
+    samples = [
+        np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(f"<u{width}").tobytes()
+        for ids in encoder(vocabulary).encode(texts)
+    ]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples
@@ -311,23 +296,24 @@ def write(
     (doc_id, start, n_tokens, ids), ``start`` being the number of ids before
     the document and ``ids`` little-endian unsigned 32-bit integers.
 
-    The vocabulary file is read by the driver and sent to the tasks."""
+    The vocabulary file is read by the driver and kept beside the ids."""
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as file:
         vocabulary = file.read()
     width = 2 if max(encoder(vocabulary).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-    sent = spark.sparkContext.broadcast(vocabulary)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    _write(path, "dictionary", train(rows, sent, width))
+    _write(path, "vocabulary.json", vocabulary.encode())
+    _write(path, "dictionary", train(rows, vocabulary, width, end_id))
     # rows that share an id are spread by their text, equal rows by their place
     keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
     keys = ["doc_id", "h", "place"]
     parts = max(1, -(-n_bytes // part_bytes))
     ordered = keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
     spark.dataSource.register(TokenFiles)
-    _encoded(ordered, sent, end_id).write.format("token_files").option("id_bytes", width).mode("overwrite").save(path)
+    options = {"id_bytes": width, "end_id": end_id}
+    ordered.write.format("token_files").options(**options).mode("overwrite").save(path)
     return read(spark, path)
 
 

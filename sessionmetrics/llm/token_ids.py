@@ -4,9 +4,11 @@ A stretch is a run of ASCII white space with the word after it.  Byte-level
 BPE splits a text before any white space, and inside a stretch by nothing
 outside it, so the ids of a text are those of its stretches, one after the
 other.  A worker keeps the ids of the stretches it has met (compared byte by
-byte, as keys of a dictionary) and lets the ``tokenizers`` library encode only
-new ones.  A text with a special token, or with white space outside ASCII
-(whose runs a cut could divide), is encoded in one go.
+byte, as keys of a dictionary); new ones are split as the vocabulary's own
+splitter does and handed to the BPE model of the ``tokenizers`` library.  A
+text with a special token, or with white space outside ASCII (whose runs a
+cut could divide), is encoded by the library in one go, and so is every text
+if the vocabulary is of another kind.
 """
 
 from __future__ import annotations
@@ -25,65 +27,88 @@ WIDE_SPACE = [
     for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 ]
 _STRETCH = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-#: Bytes of text encoded together, stretches a worker keeps, and their length.
-_PART = 1 << 20
-_KEPT = 200_000
+# Fixed value: the split of byte-level BPE.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: Stretches a worker keeps, none longer than so many bytes.
+_KEPT = 400_000
 _KEPT_BYTES = 64
 
 
+def _letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as one printable letter: itself
+    if it is printable in Latin-1, else the next letter from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of texts by a vocabulary of the ``tokenizers`` library, without the
     special tokens that it would add."""
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task a core
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model
         spec = json.loads(vocabulary)
-        self.whole_only = WIDE_SPACE + [x["content"].encode() for x in spec.get("added_tokens", [])]
+        split = spec.get("pre_tokenizer") or {}
+        #: whether texts may be put together from stretches
+        self.by_stretch = (
+            spec["model"]["type"] == "BPE" and spec.get("normalizer") is None and split.get("type") == "ByteLevel"
+            and not split.get("add_prefix_space") and split.get("use_regex", True)
+        )
+        self.special = [x["content"].encode() for x in spec.get("added_tokens", [])]
+        self.split, self.letters = regex.compile(_SPLIT).findall, _letters()
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]  # special ones included
         self.kept: dict[bytes, bytes] = {}
 
-    def _encoded(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(
-            [t.decode("utf-8", "replace") for t in texts], add_special_tokens=False
-        )
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
-
-    def _part(self, texts: list[bytes]) -> Iterator[bytes]:
-        stretches = [_STRETCH.findall(t) for t in texts]
-        new = list({s for found in stretches for s in found if s not in self.kept})
-        self.kept.update(zip(new, self._encoded(new)))
-        for found in stretches:
-            yield b"".join([self.kept[s] for s in found])
-        for s in new:
+    def _whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        found = self.kept.get(piece)
+        if found is None:
+            tokens = self.model.tokenize(piece.decode("latin-1").translate(self.letters))
+            found = b"".join([self.as_bytes[t.id] for t in tokens])
+            if len(piece) <= _KEPT_BYTES:
+                self.kept[piece] = found
+        return found
+
+    def _stretch(self, stretch: bytes) -> bytes:
+        text = stretch.decode("utf-8", "replace")
+        word, end = (text[:-1], text[-1]) if text[-1] in ".,!?" else (text, "")
+        if word[:1] == " " and word[1:].isalpha():  # the usual case: a space, letters, one mark
+            return self._piece(word.encode()) + (self._piece(end.encode()) if end else b"")
+        return b"".join([self._piece(piece.encode()) for piece in self.split(text)])
+
+    def _together(self, text: bytes) -> bytes:
+        found = _STRETCH.findall(text)
+        kept = self.kept
+        long = []
+        for s in set(found).difference(kept):
+            kept[s] = self._stretch(s)
             if len(s) > _KEPT_BYTES:
-                del self.kept[s]
-        if len(self.kept) > _KEPT:
-            self.kept.clear()
+                long.append(s)
+        ids = b"".join([kept[s] for s in found])
+        for s in long:
+            kept.pop(s, None)
+        if len(kept) > _KEPT:
+            kept.clear()
+        return ids
+
+    def _in_one_go(self, text: bytes) -> bool:
+        if not self.by_stretch or any(x in text for x in self.special):
+            return True
+        return not text.isascii() and any(x in text for x in WIDE_SPACE)
 
     def encode(self, texts: Iterable[bytes | memoryview]) -> Iterator[bytes]:
-        """The ids of every text, in order, as little-endian 32-bit integers.
-        Some texts are held back until there is a part's worth of bytes."""
-        part: list[bytes] = []
-        whole: dict[int, bytes] = {}
-        size = 0
-
-        def done() -> Iterator[bytes]:
-            apart = iter(self._part([t for i, t in enumerate(part) if i not in whole]))
-            for i in range(len(part)):
-                yield whole[i] if i in whole else next(apart)
-
+        """The ids of every text, in order, as little-endian 32-bit integers."""
         for view in texts:
             text = bytes(view)
-            if any(x in text for x in self.whole_only):
-                whole[len(part)] = self._encoded([text])[0]
-            part.append(text)
-            size += len(text)
-            if size >= _PART or len(part) >= 1 << 16:
-                yield from done()
-                part, whole, size = [], {}, 0
-        yield from done()
+            yield self._whole(text) if self._in_one_go(text) else self._together(text)
 
 
 @lru_cache(maxsize=1)

@@ -39,7 +39,6 @@ def test_stretches_give_the_ids_of_whole_texts(tokenizer, monkeypatch):
     texts = odd_texts(1, 300) + [thue, thue.translate(str.maketrans("ab", "ba")), "x" * 3000, ""]
     for kept in (token_ids._KEPT, 5):
         monkeypatch.setattr(token_ids, "_KEPT", kept)
-        monkeypatch.setattr(token_ids, "_PART", 200)
         got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
         assert got == [whole(tokenizer, t) for t in texts]
 
