@@ -29,8 +29,8 @@ WIDE_SPACE = [
 _STRETCH = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 # Fixed value: the split of byte-level BPE.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Stretches a worker keeps, none longer than so many bytes.
-_KEPT = 400_000
+#: Stretches a worker keeps, twice, none longer than so many bytes.
+_KEPT = 300_000
 _KEPT_BYTES = 64
 
 
@@ -42,6 +42,41 @@ def _letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(0x100 + n) for n, b in enumerate(others)}
 
 
+class _Stretches(dict):
+    """The ids of stretches; one not met before is encoded."""
+
+    def __init__(self, tokenizer, split):
+        self.tokenize, self.split, self.letters = tokenizer.model.tokenize, split, _letters()
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.before: dict[bytes, bytes] = {}
+        self.marks = {m: self._piece(m) for m in (b".", b",", b"!", b"?")}
+
+    def _piece(self, piece: bytes) -> bytes:
+        tokens = self.tokenize(piece.decode("latin-1").translate(self.letters))
+        return b"".join([self.as_bytes[t.id] for t in tokens])
+
+    def __missing__(self, stretch: bytes) -> bytes:
+        ids = self.before.get(stretch)
+        if ids is None:
+            mark = stretch[-1:] if stretch[-1] in b".,!?" else b""
+            word = stretch[:-1] if mark else stretch
+            if word[:1] == b" " and (word[1:].isalpha() or word[1:].decode("utf-8", "replace").isalpha()):
+                # the usual case: a space, letters, one mark
+                ids = self[word] + self.marks[mark] if mark else self._piece(word)
+            else:
+                pieces = self.split(stretch.decode("utf-8", "replace"))
+                ids = b"".join([self._piece(piece.encode()) for piece in pieces])
+        if len(stretch) <= _KEPT_BYTES:
+            self[stretch] = ids
+        return ids
+
+    def tidy(self) -> None:
+        """Keep what was met lately; what is met again soon comes back."""
+        if len(self) > _KEPT:
+            self.before = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of texts by a vocabulary of the ``tokenizers`` library, without the
     special tokens that it would add."""
@@ -52,7 +87,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.model = self.tokenizer.model
         spec = json.loads(vocabulary)
         split = spec.get("pre_tokenizer") or {}
         #: whether texts may be put together from stretches
@@ -61,43 +95,11 @@ class Encoder:
             and not split.get("add_prefix_space") and split.get("use_regex", True)
         )
         self.special = [x["content"].encode() for x in spec.get("added_tokens", [])]
-        self.split, self.letters = regex.compile(_SPLIT).findall, _letters()
-        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]  # special ones included
-        self.kept: dict[bytes, bytes] = {}
+        self.stretches = _Stretches(self.tokenizer, regex.compile(_SPLIT).findall)
 
     def _whole(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _piece(self, piece: bytes) -> bytes:
-        found = self.kept.get(piece)
-        if found is None:
-            tokens = self.model.tokenize(piece.decode("latin-1").translate(self.letters))
-            found = b"".join([self.as_bytes[t.id] for t in tokens])
-            if len(piece) <= _KEPT_BYTES:
-                self.kept[piece] = found
-        return found
-
-    def _stretch(self, stretch: bytes) -> bytes:
-        text = stretch.decode("utf-8", "replace")
-        word, end = (text[:-1], text[-1]) if text[-1] in ".,!?" else (text, "")
-        if word[:1] == " " and word[1:].isalpha():  # the usual case: a space, letters, one mark
-            return self._piece(word.encode()) + (self._piece(end.encode()) if end else b"")
-        return b"".join([self._piece(piece.encode()) for piece in self.split(text)])
-
-    def _together(self, text: bytes) -> bytes:
-        found = _STRETCH.findall(text)
-        kept = self.kept
-        long = []
-        for s in set(found).difference(kept):
-            kept[s] = self._stretch(s)
-            if len(s) > _KEPT_BYTES:
-                long.append(s)
-        ids = b"".join([kept[s] for s in found])
-        for s in long:
-            kept.pop(s, None)
-        if len(kept) > _KEPT:
-            kept.clear()
-        return ids
+        found = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
 
     def _in_one_go(self, text: bytes) -> bool:
         if not self.by_stretch or any(x in text for x in self.special):
@@ -106,9 +108,14 @@ class Encoder:
 
     def encode(self, texts: Iterable[bytes | memoryview]) -> Iterator[bytes]:
         """The ids of every text, in order, as little-endian 32-bit integers."""
+        st = self.stretches
         for view in texts:
             text = bytes(view)
-            yield self._whole(text) if self._in_one_go(text) else self._together(text)
+            if self._in_one_go(text):
+                yield self._whole(text)
+            else:
+                yield b"".join([st[s] for s in _STRETCH.findall(text)])
+                self.stretches.tidy()
 
 
 @lru_cache(maxsize=1)
