@@ -7,6 +7,7 @@ from .ranking import (
     sort_trending,
     top_k,
     top_n_per_group,
+    top_products,
     trending_documented,
     trending_products,
 )
@@ -22,7 +23,9 @@ from .reports import (
     trending_top10,
 )
 from .sessions import (
+    metrics_from_totals,
     session_facts,
+    session_totals,
     sessions_from_slices,
     user_metrics_documented,
     user_session_metrics,
@@ -38,6 +41,7 @@ __all__ = [
     "funnel_totals",
     "is_empty",
     "kpi_summary",
+    "metrics_from_totals",
     "preview",
     "product_purchases",
     "resolve_column",
@@ -45,12 +49,14 @@ __all__ = [
     "schema_contract",
     "session_facts",
     "session_slices",
+    "session_totals",
     "sessions_from_slices",
     "slice_flags",
     "sort_trending",
     "table_row_counts",
     "top_k",
     "top_n_per_group",
+    "top_products",
     "trending_documented",
     "trending_products",
     "trending_top10",

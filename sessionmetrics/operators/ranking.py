@@ -65,7 +65,12 @@ def trending_products(events: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFram
     """The ``top_n`` best-selling products of each category with their
     rank ``rn`` (count desc, then product_id asc).  Unsorted - sort with
     :func:`sort_trending` only for display."""
-    ranked = top_n_per_group(product_purchases(events), ["category"], trending_order(), top_n)
+    return top_products(product_purchases(events), top_n)
+
+
+def top_products(purchases: DataFrame, top_n: int = DEFAULT_TOP_N) -> DataFrame:
+    """The same from the purchases per (category, product_id)."""
+    ranked = top_n_per_group(purchases, ["category"], trending_order(), top_n)
     return ranked.select(*TRENDING_COLUMNS)
 
 

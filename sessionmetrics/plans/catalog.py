@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, FUNNEL_KEYS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path
-from ..sources import raw_events, read_raw_events, read_table, write_jsonl, write_table
+from ..sources import raw_events, read_raw_events, read_table, write_batch, write_jsonl, write_table
 from ..streaming import ingest_available
+from .incremental import read_outputs, run_batch
 from .job import OUTPUT_INPUTS, run_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,38 @@ def _job_output(name: str, reuse: str) -> Query:
     return run
 
 
+def _incremental_output(name: str) -> Query:
+    """Events arrive in two batches: those up to a day, and the later ones
+    with every seventh of the earlier, which come late.  The second run reads
+    its own files and what is stored of the days and sessions they touch."""
+
+    def run(spark, sf_dir):
+        base = scratch_path(spark, "incremental")
+        raw = raw_events(spark, sf_dir, keep=("event_id", "ts"))
+        bounds = raw.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+        split = (bounds.lo + (bounds.hi - bounds.lo) * 2 / 3).replace(hour=12) if bounds.lo else bounds.lo
+        late = (F.col("ts") > F.lit(split).cast("timestamp_ntz")) | (F.col("event_id") % 7 == 0)
+        marked = raw.withColumn("batch", F.when(F.coalesce(late, F.lit(True)), "second").otherwise("first"))
+        marked.drop("event_id", "ts").write.partitionBy("batch").json(f"{base}/in")
+        for batch in ("first", "second"):
+            run_batch(spark, f"{base}/in/batch={batch}", f"{base}/state", batch)
+        return read_outputs(spark, f"{base}/state")[name]
+
+    return run
+
+
+def _batch_append(spark, sf_dir):
+    """Two batches appended, the first one run twice and the second one after
+    a try that ended between its writes."""
+    base = scratch_path(spark, "batches")
+    clean = f"{base}/clean"
+    write_table(_clean(spark, sf_dir).select(*OUTPUT_INPUTS), clean)
+    for _ in range(2):
+        run_job(spark, None, f"{base}/out", clean_table=clean, batch_id="one")
+    write_batch(_users(spark, sf_dir).limit(10), f"{base}/out/user_session_metrics", "two")
+    return run_job(spark, None, f"{base}/out", clean_table=clean, batch_id="two")["user_session_metrics"]
+
+
 def _store_readback(spark, sf_dir):
     """A stored table with the store's own ``_id``, read back without it,
     first rows under a total order."""
@@ -175,6 +208,10 @@ QUERIES: dict[str, Query] = {
     "job_user_metrics": _job_output("user_session_metrics", "stage"),
     "job_trending": _job_output("trending_products", "persist"),
     "job_funnel": _job_output("conversion_funnel_metrics", "stage"),
+    "job_batch_append": _batch_append,
+    "incremental_user_metrics": _incremental_output("user_session_metrics"),
+    "incremental_trending": _incremental_output("trending_products"),
+    "incremental_funnel": _incremental_output("conversion_funnel_metrics"),
 }
 
 

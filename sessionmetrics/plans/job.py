@@ -18,6 +18,7 @@ Plan for a large input:
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import os
 from collections.abc import Iterator, Mapping
@@ -25,11 +26,13 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N
 from ..session import build_session, remove_path, scratch_path
 from ..sources import read_raw_events, reused, write_table
+from ..sources.batches import commit_batch, committed_batches, read_batches, write_batch
 
 log = logging.getLogger(__name__)
 
@@ -82,6 +85,24 @@ def compute_outputs(clean: DataFrame, top_n: int = DEFAULT_TOP_N) -> dict[str, D
     }
 
 
+def names_of(targets: Mapping[str, str] | None) -> dict[str, str]:
+    """The name under which each output is stored."""
+    return {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
+
+
+def _batch_outputs(spark: SparkSession, output: str, names: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The outputs of all finished batches."""
+    batches = committed_batches(spark, output)
+    schemas = batches[-1].note["schemas"]
+    return {
+        table: read_batches(
+            spark, os.path.join(output, names[table]), StructType.fromJson(json.loads(schemas[table])),
+            [b.id for b in batches],
+        )
+        for table in OUTPUT_TABLES
+    }
+
+
 def run_job(
     spark: SparkSession,
     input_path: str | list[str],
@@ -96,6 +117,7 @@ def run_job(
     parallel_writes: bool = True,
     keep_clean: str | None = None,
     as_database: bool = False,
+    batch_id: str | None = None,
 ) -> dict[str, DataFrame | None]:
     """Run the job; returns the written tables read back (None for sinks that
     are no path).
@@ -115,10 +137,20 @@ def run_job(
     as concurrent Spark jobs, so one output's small final stages overlap the
     others' scans instead of leaving executors idle.  Every write is tried;
     all errors are raised together.
+
+    With ``batch_id`` the rows are appended under that id, once: a run that
+    was killed between its writes, or is started again, replaces its own rows
+    (parquet only), and a batch that was finished before is not run again.
+    The tables read back are then those of all finished batches.
     """
     if reuse not in REUSE_MODES:
         raise ValueError(f"reuse must be one of {REUSE_MODES}")
-    names = {**{t: t for t in OUTPUT_TABLES}, **dict(targets or {})}
+    if batch_id is not None and (fmt != "parquet" or as_database or mode != "append"):
+        raise ValueError("batch_id goes with appends of parquet to a path")
+    if batch_id is not None and batch_id in (b.id for b in committed_batches(spark, output)):
+        log.info("batch %s is there already", batch_id)
+        return _batch_outputs(spark, output, names_of(targets))
+    names = names_of(targets)
 
     def write(table: str, df: DataFrame) -> Exception | None:
         name = names[table]
@@ -126,6 +158,8 @@ def run_job(
             if as_database:
                 opts = {"database": output, "collection": name, **dict(options or {})}
                 write_table(df, None, fmt=fmt, mode=mode, options=opts)
+            elif batch_id is not None:
+                write_batch(df, os.path.join(output, name), batch_id)
             else:
                 write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
         except Exception as error:
@@ -143,6 +177,10 @@ def run_job(
         raise ExceptionGroup("writing the outputs failed", errors)
     if as_database:
         return {table: None for table in outputs}
+    if batch_id is not None:
+        schemas = {table: df.schema.json() for table, df in outputs.items()}
+        commit_batch(spark, output, batch_id, {"schemas": schemas})
+        return _batch_outputs(spark, output, names)
     # text formats keep no types: the schema is the one just written
     return {
         table: spark.read.format(fmt).schema(df.schema).options(**dict(options or {}))
@@ -171,6 +209,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
     p.add_argument("--keep-clean", default=None, help="path where the cleansed table is to stay")
     p.add_argument("--as-database", action="store_true", help="the sink takes database and collection, not paths")
+    p.add_argument("--batch-id", default=None, help="append under this id, once, also if the run is repeated")
     args = p.parse_args(argv)
     if args.input is None and args.clean_table is None:
         p.error("--input or --clean-table is required")
@@ -209,6 +248,7 @@ def main(argv=None, stop_session: bool = True) -> None:
             clean_table=args.clean_table,
             keep_clean=args.keep_clean,
             as_database=args.as_database,
+            batch_id=args.batch_id,
         )
     finally:
         if stop_session:

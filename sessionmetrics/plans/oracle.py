@@ -310,6 +310,11 @@ def oracle_sql() -> dict[str, str]:
     q["job_user_metrics"] = q["user_session_metrics"]
     q["job_trending"] = q["trending_products"]
     q["job_funnel"] = q["conversion_funnel"]
+    q["incremental_user_metrics"] = q["user_session_metrics"]
+    q["incremental_trending"] = q["trending_products"]
+    q["incremental_funnel"] = q["conversion_funnel"]
+    # two batches of the same events, each there once
+    q["job_batch_append"] = f"SELECT * FROM ({q['user_session_metrics']}) UNION ALL SELECT * FROM ({q['user_session_metrics']})"
     q["jsonl_roundtrip"] = q["raw_events"]
     q["sink_append_roundtrip"] = q["user_session_metrics"]
     q["stream_ingest_roundtrip"] = q["clean_events"]

@@ -104,11 +104,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _located(spark: SparkSession, path: str):
+    """The path as Spark's file systems know it, and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's own file systems."""
     _SCRATCH.pop(path, None)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, system = _located(spark, path)
+    system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _located(spark, path)
+    return system.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    target, system = _located(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target, system = _located(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, whole or not at all; raises if it is there already."""
+    target, system = _located(spark, path)
+    aside, _ = _located(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    # a rename onto a file that exists fails or returns false
+    if system.exists(target) or not system.rename(aside, target):
+        system.delete(aside, False)
+        raise FileExistsError(path)
 
 
 @atexit.register

@@ -1,16 +1,21 @@
 """Sources and sinks: JSON-lines events, metric tables, warehouse mapping."""
 
+from .batches import commit_batch, committed_batches, read_batches, write_batch
 from .jsonl import read_raw_events, write_jsonl
 from .tables import read_table, reused, write_table
 from .warehouse import load_table, raw_events, raw_events_from_tables
 
 __all__ = [
+    "commit_batch",
+    "committed_batches",
     "load_table",
     "raw_events",
     "raw_events_from_tables",
+    "read_batches",
     "read_raw_events",
     "read_table",
     "reused",
+    "write_batch",
     "write_jsonl",
     "write_table",
 ]

@@ -36,8 +36,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
-    """Map warehouse events (+ part for the category) to raw events.
+def raw_events_from_tables(events: DataFrame, part: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Map warehouse events (+ part for the category) to raw events; ``keep``
+    names of ``event_id`` and ``ts`` stay beside them.
 
     The part lookup is a plain left join on the pruned (p_partkey, p_type)
     side: the planner broadcasts it below the session's threshold, and
@@ -87,11 +88,12 @@ def raw_events_from_tables(events: DataFrame, part: DataFrame) -> DataFrame:
         F.col("category"),
         price.alias("price"),
         device.alias("device_type"),
+        *keep,
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_events(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw events (RAW_SCHEMA columns) from the tables in ``sf_dir``."""
     return raw_events_from_tables(
-        load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "part")
+        load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "part"), keep
     )
