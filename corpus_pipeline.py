@@ -8,13 +8,16 @@ what is read no more.
 1. language: documents without a letter, or whose language stays uncertain,
    go;
 2. near_duplicates: of documents whose SimHash fingerprints are linked, the
-   one with the smallest id stays (rows without an id cannot be compared and
-   go; of rows repeated with one id one stays);
+   one with the smallest id stays;
 3. repeated_passages: words of windows that an earlier document has are cut
    from the text; documents of which nothing is left go;
 4. mixture: each document is repeated as often as the source mix takes it;
 5. sequences: the pieces of all documents with their place in the sequences.
 
+A document is a row, not an id: rows that share an id, or have none, are
+compared, kept, cut and repeated each for itself.  Where ids decide, rows that
+share one are ordered by a hash of their text, and rows without one come last.
+
 Other columns pass through untouched, whatever their names; ``n_chars``,
 where present, follows the text.  An empty table gives empty results.
 """
@@ -58,6 +61,24 @@ def _columns(rows: DataFrame, names: list[str], text=None) -> DataFrame:
     return rows.select(*out)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``_as_row`` with a key of their own for all rows, ascending with the id.
+
+    Ids that are all there and all different are such keys.  Else the rows are
+    sorted by id and written with their places; those of one id are spread by
+    a hash of the text, equal ones by where they stood."""
+    rows = _as_row(docs)
+    held = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if held.where(F.col("doc_id").isNull() | (F.col("n") > 1)).isEmpty():
+        return rows.withColumn("_key", F.col("doc_id").cast("long"))
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
+    names = [f"_by{i}" for i in range(len(order))]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("*", *(c.alias(n) for c, n in zip(order, names)))
+    rows = rows.repartitionByRange(parts, *names).sortWithinPartitions(*names).drop(*names)
+    return scratch.written(rows.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs)
     found = language.identify(_as_row(docs), model, keep=("_row",))
@@ -69,29 +90,26 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("id") == F.col("component")).groupBy("id").agg(F.count(F.lit(1)).alias("_rows"))
-    kept = _as_row(docs).join(first, F.col("doc_id") == F.col("id"))
-    once = kept.where(F.col("_rows") == 1).select("_row")
-    # rows repeated with one id: the first by text, then by the other columns
-    fields = sorted(docs.columns, key=lambda c: c != "text")
-    again = kept.where(F.col("_rows") > 1).groupBy("doc_id").agg(
-        F.min(F.struct(*(F.col("_row")[c].alias(c) for c in fields))).alias("_row")
-    )
-    return _columns(once, docs.columns).unionByName(_columns(again, docs.columns))
+    rows = _keyed(docs)
+    found = simhash.near_duplicates(rows.select("_key", "text"), id_col="_key")
+    first = found.where(F.col("id") == F.col("component")).select("id")
+    return _columns(rows.join(first, F.col("_key") == F.col("id")), docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = difference_cover.remove_repeats(docs).where(F.col("n_removed") > 0)
+    keyed = _keyed(docs)
+    found = difference_cover.remove_repeats(keyed.select("_key", "text"), id_col="_key").where(F.col("n_removed") > 0)
     changed = found.select("id", F.col("kept").cast("string").alias("_kept"))
-    rows = _as_row(docs).join(changed, F.col("doc_id") == F.col("id"), "left")
+    rows = keyed.join(changed, F.col("_key") == F.col("id"), "left")
     text = F.coalesce(F.col("_kept"), F.col("_row.text"))
     return _columns(rows.where(F.col("_kept").isNull() | (F.col("_kept") != "")), docs.columns, text)
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(docs).where(F.col("copies") > 0).select("id", "copies")
-    rows = _as_row(docs).join(mixed, F.col("doc_id") == F.col("id"))
+    keyed = _keyed(docs)
+    mixed = mixing.mix_sources(keyed.select("_key", "text", F.col("_row.source").alias("source")), id_col="_key")
+    mixed = mixed.where(F.col("copies") > 0).select("id", "copies")
+    rows = keyed.join(mixed, F.col("_key") == F.col("id"))
     times = rows.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return _columns(times, docs.columns)
 
