@@ -54,6 +54,15 @@ def test_encoder_on_odd_white_space(tokenizer, text):
         assert got[i].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_stretches_that_polynomial_hashes_confuse(tokenizer):
+    """Thue-Morse words over two letters: equal hashes modulo 2**64 in any base."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(1 << 11))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), f" {word}", word]
+    with open(queries.vocabulary(), encoding="utf-8") as file:
+        got = dict(packing.Encoder(file.read()).encode([t.encode() for t in texts]))
+    assert [got[i].tolist() for i in range(4)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def _checked(rows, capacity):
     bins = defaultdict(list)
     for r in rows:

@@ -40,25 +40,34 @@ def test_language_rejects_texts_without_letters(stages):
     assert gone == Counter([1, 2, 4, 5, None])  # the null id with a null text
 
 
+def _in_order(rows):
+    """(place, row) by id, rows without one last."""
+    return list(enumerate(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, _hash(r[1])))))
+
+
+def _hash(text):
+    return _HASHES.setdefault(text, len(_HASHES))
+
+
+_HASHES: dict = {}
+
+
 def test_one_of_each_group_stays(stages):
     before, after = map(_rows, stages["near_duplicates"])
-    want = {d for d, _, c in _expected(before) if d == c}
-    assert Counter(r[0] for r in after) == Counter(want)
-    assert set(after) <= set(before)
+    placed = _in_order(before)
+    want = {place for place, _, first in _expected([(i, *r[1:]) for i, r in placed]) if place == first}
+    # of rows that share an id and a group any may stay
+    assert Counter(r[0] for r in after) == Counter(r[0] for i, r in placed if i in want)
+    assert not Counter(after) - Counter(before)
 
 
 def test_passages_are_cut(stages):
     before, after = map(_rows, stages["repeated_passages"])
-    removed = {r[0]: r[1:] for r in edge_rows.repeated_words(before)}
-    texts = {r[0]: r[1] for r in before}
-    got = {r[0]: r for r in after}
-    for doc, (n, cut, _) in removed.items():
-        if cut == 0:
-            assert got[doc][1] == texts[doc]
-        elif cut == n:
-            assert doc not in got
-        else:
-            assert len(got[doc][1].split(" ")) == n - cut and got[doc][4] == len(got[doc][1])
+    removed = edge_rows.repeated_words([(i, *r[1:]) for i, r in _in_order(before)])
+    row = dict(_in_order(before))
+    want = Counter((row[i][0], n - cut) for i, n, cut, _ in removed if cut < n)
+    assert Counter((r[0], len(r[1].encode().split())) for r in after) == want
+    assert all(r[4] == len(r[1]) for r in after)
 
 
 def test_mixture_repeats_documents(stages):
@@ -95,6 +104,28 @@ def test_without_languages_only_texts_without_letters_go(session):
     assert [r.doc_id for r in pipeline.STAGES[0][1](session, df, "").collect()] == [1]
 
 
+def _through(session, stage, rows, columns="doc_id, text"):
+    docs = session.createDataFrame([edge_rows.row(*r) for r in rows], edge_rows.SCHEMA)
+    out = dict(pipeline.STAGES)[stage](session, docs, "")
+    return sorted((tuple(r) for r in out.selectExpr(*columns.split(", ")).collect()), key=str)
+
+
+def test_rows_that_share_an_id_or_have_none(session):
+    """A document is a row: copies go, unlike ones stay, whatever their ids."""
+    a, b, c, d = (edge_rows.words(700 + i, 90, 3000) for i in range(4))
+    assert _through(session, "near_duplicates", [(1, b), (5, a), (5, b)]) == [(1, b), (5, a)]
+    assert len(_through(session, "near_duplicates", [(10, a), (10, b)])) == 2
+    got = _through(session, "near_duplicates", [(None, a), (None, b), (None, b), (7, c), (None, c)])
+    assert got == sorted([(7, c), (None, a), (None, b)], key=str)
+    w = edge_rows.words(800, 60, 3000)
+    got = _through(session, "repeated_passages", [(1, w), (5, f"{w} tail five"), (5, "short other text"), (None, f"{d} {w}")])
+    assert got == sorted([(1, w), (5, "tail five"), (5, "short other text"), (None, d)], key=str)
+    mixed = _through(session, "mixture", [(3, a), (3, b), (None, c), (None, d), (4, "x")])
+    # one source: one and a half times its words, no row more than twice
+    assert set(mixed) >= {(3, a), (3, b), (None, c), (None, d), (4, "x")} and max(Counter(mixed).values()) == 2
+    assert sum(len(t.split()) for _, t in mixed) == pytest.approx(1.5 * 361, abs=46)
+
+
 def test_run_leaves_only_its_result(session):
     import os
 
