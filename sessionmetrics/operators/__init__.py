@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators of the clickstream job and its reports."""
 
-from .cleanse import CLEAN_RULES, FieldRule, cleanse_events
+from .cleanse import CLEAN_RULES, FieldRule, cleanse_counted, cleanse_events, rejection_rows
 from .funnel import conversion_funnel, funnel, funnel_documented, session_slices, slice_flags
 from .ranking import (
     product_purchases,
@@ -34,6 +34,7 @@ from .sessions import (
 __all__ = [
     "CLEAN_RULES",
     "FieldRule",
+    "cleanse_counted",
     "cleanse_events",
     "conversion_funnel",
     "funnel",
@@ -44,6 +45,7 @@ __all__ = [
     "metrics_from_totals",
     "preview",
     "product_purchases",
+    "rejection_rows",
     "resolve_column",
     "resolve_select",
     "schema_contract",

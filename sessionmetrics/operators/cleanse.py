@@ -21,7 +21,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import norm, norm_lower, parse_timestamp
@@ -69,6 +69,35 @@ CLEAN_RULES: tuple[FieldRule, ...] = (
 )
 
 
+def _normalised(raw: DataFrame, rules: tuple[FieldRule, ...]) -> DataFrame:
+    return raw.select(*[r.normalise(F.col(r.source)).alias(r.name) for r in rules])
+
+
+def cleanse_counted(
+    raw: DataFrame, rules: tuple[FieldRule, ...] = CLEAN_RULES
+) -> tuple[DataFrame, Observation]:
+    """Clean events, and counts taken in the same pass.
+
+    Once the clean events have been computed (written, for instance), the
+    observation holds ``read`` and ``kept`` rows and, for each rule, how many
+    rows it rejects (``rejected_<name>``; a row can fail several) and how many
+    only it rejects (``only_<name>``).  All rows have to be looked at for
+    that, so nothing is dropped by the reader."""
+    seen = Observation()
+    passes = {r.name: F.coalesce(r.valid(F.col(r.name)), F.lit(False)) for r in rules}
+    fails = reduce(lambda a, b: a + b, [F.when(p, 0).otherwise(1) for p in passes.values()])
+    counts = [F.count(F.lit(1)).alias("read"), F.count_if(fails == 0).alias("kept")]
+    for name, passed in passes.items():
+        counts += [F.count_if(~passed).alias(f"rejected_{name}"), F.count_if(~passed & (fails == 1)).alias(f"only_{name}")]
+    watched = _normalised(raw, rules).observe(seen, *counts)
+    return watched.where(reduce(lambda a, b: a & b, [r.valid(F.col(r.name)) for r in rules])), seen
+
+
+def rejection_rows(counts: dict[str, int], rules: tuple[FieldRule, ...] = CLEAN_RULES) -> list[tuple[str, int, int]]:
+    """(rule, rows it rejects, rows only it rejects) from observed counts."""
+    return [(r.name, counts[f"rejected_{r.name}"], counts[f"only_{r.name}"]) for r in rules]
+
+
 def cleanse_events(raw: DataFrame, rules: tuple[FieldRule, ...] = CLEAN_RULES) -> DataFrame:
     """Raw events -> clean events (user_id, session_id, event_ts, action,
     product_id, category, price, device_type)."""
@@ -77,6 +106,5 @@ def cleanse_events(raw: DataFrame, rules: tuple[FieldRule, ...] = CLEAN_RULES) -
     # which the JSON and parquet readers apply while reading.
     present = [F.col(r.source).isNotNull() for r in rules if r.requires_raw]
     source = raw.where(reduce(lambda a, b: a & b, present)) if present else raw
-    normalised = source.select(*[r.normalise(F.col(r.source)).alias(r.name) for r in rules])
     keep = reduce(lambda a, b: a & b, [r.valid(F.col(r.name)) for r in rules])
-    return normalised.where(keep)
+    return _normalised(source, rules).where(keep)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,13 @@ from ..schema import ALIASES, FUNNEL_STAGES, PREVIEW_ROWS, REPORT_TOP_K
 from .ranking import top_k
 
 
+class Recorded(Protocol):
+    """What a table's writer noted: see ``sources.summary``."""
+
+    row_count: int
+    first: str | None
+
+
 # --------------------------------------------------------------------- R4
 def resolve_column(df: DataFrame, logical: str, aliases: Mapping = ALIASES) -> str | None:
     """First candidate of ``logical`` that ``df`` has, else None."""
@@ -110,18 +118,29 @@ def schema_contract(
     tables: Mapping[str, DataFrame],
     expected: Mapping[str, Sequence[str] | Sequence[Sequence[str]]],
     with_preview: bool = False,
+    recorded: Mapping[str, Recorded] | None = None,
 ) -> DataFrame:
     """Per table: expected columns that are missing, columns present, row
     count and emptiness.  Column lists come from the schemas; counts run
     on the data (one aggregate per table, unioned).  A table may have several
     naming schemes (a sequence of column lists); the one it meets best counts,
     the first among equals.  ``with_preview`` adds the first row, by all
-    columns in order, as JSON, taken inside the same aggregate."""
+    columns in order, as JSON, taken inside the same aggregate.  A table whose
+    writer recorded count and first row (``recorded``) is not scanned."""
     parts = []
+    recorded = recorded or {}
     for name, df in tables.items():
         schemes = expected.get(name, ())
         schemes = [schemes] if not schemes or isinstance(schemes[0], str) else schemes
         missing = min(([c for c in want if c not in df.columns] for want in schemes), key=len)
+        if name in recorded:
+            known = recorded[name]
+            row = [name, ",".join(missing), ",".join(df.columns), known.row_count, known.row_count == 0]
+            kinds = "table_name string, missing_columns string, present_columns string, row_count long, is_empty boolean"
+            if with_preview:
+                row, kinds = [*row, known.first], f"{kinds}, preview string"
+            parts.append(df.sparkSession.createDataFrame([row], kinds))
+            continue
         aggs = [F.count(F.lit(1)).alias("row_count")]
         if with_preview:
             # keep the row struct, serialise only the one that wins
@@ -140,10 +159,16 @@ def schema_contract(
 
 
 # -------------------------------------------------------------------- R10
-def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count) for each table."""
+def table_row_counts(
+    tables: Mapping[str, DataFrame], recorded: Mapping[str, Recorded] | None = None
+) -> DataFrame:
+    """(table_name, row_count) for each table; one whose writer recorded
+    its count is not scanned."""
+    recorded = recorded or {}
     parts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        df.sparkSession.createDataFrame([(name, recorded[name].row_count)], "table_name string, row_count long")
+        if name in recorded
+        else df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
         )
         for name, df in tables.items()

@@ -19,10 +19,20 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, FUNNEL_KEYS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path
-from ..sources import raw_events, read_raw_events, read_table, write_batch, write_jsonl, write_table
+from ..sources import (
+    Summary,
+    load_table,
+    raw_events,
+    read_raw_events,
+    read_table,
+    split_malformed,
+    write_batch,
+    write_jsonl,
+    write_table,
+)
 from ..streaming import ingest_available
 from .incremental import read_outputs, run_batch
-from .job import OUTPUT_INPUTS, run_job
+from .job import OUTPUT_INPUTS, run_job, summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,13 +66,14 @@ def _funnel(spark, sf_dir):
     return op.funnel(_slices(spark, sf_dir))
 
 
-def _stored(spark, sf_dir) -> dict[str, DataFrame]:
-    """The three metric tables as stored by the job: one scan of the raw
-    events, then everything reported is read from parquet."""
+def _stored(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, Summary]]:
+    """The three metric tables as stored by the job, and what it recorded of
+    them: one scan of the raw events, then everything reported is read from
+    parquet or from the record."""
     base = scratch_path(spark, "reported")
     clean = f"{base}/clean"
     write_table(_clean(spark, sf_dir).select(*OUTPUT_INPUTS), clean)
-    return run_job(spark, None, f"{base}/out", clean_table=clean)
+    return run_job(spark, None, f"{base}/out", clean_table=clean), summaries(spark, f"{base}/out")
 
 
 def _stored_table(spark, sf_dir, name) -> DataFrame:
@@ -74,11 +85,11 @@ def _stored_table(spark, sf_dir, name) -> DataFrame:
 
 
 def _schema_contract(spark, sf_dir):
-    tables = _stored(spark, sf_dir)
+    tables, recorded = _stored(spark, sf_dir)
     # the same funnel under its second naming scheme
     tables["funnel_documented"] = op.funnel_documented(tables["conversion_funnel_metrics"])
     expected = {**EXPECTED_COLUMNS, "funnel_documented": EXPECTED_COLUMNS["conversion_funnel_metrics"]}
-    return op.schema_contract(tables, expected, with_preview=True)
+    return op.schema_contract(tables, expected, with_preview=True, recorded=recorded)
 
 
 def _job_output(name: str, reuse: str) -> Query:
@@ -113,6 +124,29 @@ def _incremental_output(name: str) -> Query:
     return run
 
 
+def _rejections(spark, sf_dir):
+    """How many rows each rule rejects, counted by the pass that writes the
+    clean events."""
+    clean, seen = op.cleanse_counted(raw_events(spark, sf_dir))
+    write_table(clean, scratch_path(spark, "counted"))
+    return spark.createDataFrame(op.rejection_rows(seen.get), "rule string, rejected long, only_rule long")
+
+
+def _malformed_lines(spark, sf_dir):
+    """The text of lines that do not parse: some of the events end early, some
+    have a price that is no number."""
+    base = scratch_path(spark, "lines")
+    eid, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    good = F.to_json(F.struct(user.alias("user_id"), F.col("event_type").alias("action"), F.col("value").alias("price")))
+    line = (
+        F.when(F.col("event_id") % 89 == 0, F.concat(F.lit('{"user_id": "'), user, F.lit('", "action": "ends early '), eid))
+        .when(F.col("event_id") % 83 == 0, F.concat(F.lit('{"user_id": "'), user, F.lit('", "price": "dear '), eid, F.lit('"}')))
+        .otherwise(good)
+    )
+    load_table(spark, sf_dir, "events").select(line.alias("value")).write.text(f"{base}/in")
+    return split_malformed(spark, f"{base}/in", f"{base}/split")[1]
+
+
 def _batch_append(spark, sf_dir):
     """Two batches appended, the first one run twice and the second one after
     a try that ended between its writes."""
@@ -199,7 +233,7 @@ QUERIES: dict[str, Query] = {
     "metrics_preview": lambda s, d: op.preview(_stored_table(s, d, "user_session_metrics"), ["user_id"]),
     "funnel_preview": lambda s, d: op.preview(_stored_table(s, d, "conversion_funnel_metrics"), FUNNEL_KEYS),
     "trending_preview": lambda s, d: op.preview(_stored_table(s, d, "trending_products"), ["category", "rn"]),
-    "table_row_counts": lambda s, d: op.table_row_counts(_stored(s, d)),
+    "table_row_counts": lambda s, d: op.table_row_counts(*_stored(s, d)),
     "schema_contract": _schema_contract,
     "jsonl_roundtrip": _jsonl_roundtrip,
     "sink_append_roundtrip": _sink_roundtrip,
@@ -208,6 +242,8 @@ QUERIES: dict[str, Query] = {
     "job_user_metrics": _job_output("user_session_metrics", "stage"),
     "job_trending": _job_output("trending_products", "persist"),
     "job_funnel": _job_output("conversion_funnel_metrics", "stage"),
+    "cleanse_rejections": _rejections,
+    "malformed_lines": _malformed_lines,
     "job_batch_append": _batch_append,
     "incremental_user_metrics": _incremental_output("user_session_metrics"),
     "incremental_trending": _incremental_output("trending_products"),

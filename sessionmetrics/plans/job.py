@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 from .. import operators as op
 from ..schema import DEFAULT_TOP_N
 from ..session import build_session, remove_path, scratch_path
-from ..sources import read_raw_events, reused, write_table
+from ..sources import Summary, read_raw_events, read_summary, reused, split_malformed, write_summarised, write_table
 from ..sources.batches import commit_batch, committed_batches, read_batches, write_batch
 
 log = logging.getLogger(__name__)
@@ -47,19 +47,32 @@ OUTPUT_INPUTS = ("user_id", "session_id", "event_ts", "action", "product_id", "c
 @contextmanager
 def clean_events(
     spark: SparkSession, input_path: str | list[str] | None, reuse: str = "stage",
-    clean_table: str | None = None, keep_clean: str | None = None,
+    clean_table: str | None = None, keep_clean: str | None = None, rejections: str | None = None,
+    malformed: str | None = None,
 ) -> Iterator[DataFrame]:
     """Clean events for the actions of a block, shared as ``reuse`` says.
 
     ``keep_clean`` writes all their columns to a table that stays;
     otherwise a staged table holds what the outputs read and goes with the
-    block."""
+    block.  ``rejections`` names a path for the number of rows that each rule
+    rejects, counted while clean events are written; ``malformed`` one for
+    the text of lines that do not parse."""
     if clean_table is not None:
         yield spark.read.parquet(clean_table)
         return
-    clean = op.cleanse_events(read_raw_events(spark, input_path))
+    if rejections is not None and keep_clean is None and reuse != "stage":
+        raise ValueError("rejections are counted while clean events are written")
+    raw = read_raw_events(spark, input_path) if malformed is None else split_malformed(spark, input_path, malformed)[0]
+    clean, seen = op.cleanse_counted(raw) if rejections is not None else (op.cleanse_events(raw), None)
+
+    def count() -> None:
+        if rejections is not None:
+            rows = spark.createDataFrame(op.rejection_rows(seen.get), "rule string, rejected long, only_rule long")
+            write_table(rows.coalesce(1), rejections, mode="overwrite")
+
     if keep_clean is not None:
         write_table(clean, keep_clean, mode="overwrite")
+        count()
         yield spark.read.parquet(keep_clean)
     elif reuse == "persist":
         with reused(clean) as kept:
@@ -71,6 +84,7 @@ def clean_events(
         log.info("clean events staged at %s", staged)
         try:
             write_table(clean.select(*OUTPUT_INPUTS), staged)
+            count()
             yield spark.read.parquet(staged)
         finally:
             remove_path(spark, staged)
@@ -103,6 +117,14 @@ def _batch_outputs(spark: SparkSession, output: str, names: Mapping[str, str]) -
     }
 
 
+def summaries(
+    spark: SparkSession, output: str, targets: Mapping[str, str] | None = None
+) -> dict[str, Summary]:
+    """What the writers of the outputs recorded, where that still holds."""
+    found = {table: read_summary(spark, os.path.join(output, name)) for table, name in names_of(targets).items()}
+    return {table: summary for table, summary in found.items() if summary is not None}
+
+
 def run_job(
     spark: SparkSession,
     input_path: str | list[str],
@@ -118,6 +140,8 @@ def run_job(
     keep_clean: str | None = None,
     as_database: bool = False,
     batch_id: str | None = None,
+    rejections: str | None = None,
+    malformed: str | None = None,
 ) -> dict[str, DataFrame | None]:
     """Run the job; returns the written tables read back (None for sinks that
     are no path).
@@ -142,6 +166,8 @@ def run_job(
     was killed between its writes, or is started again, replaces its own rows
     (parquet only), and a batch that was finished before is not run again.
     The tables read back are then those of all finished batches.
+    ``rejections`` and ``malformed`` name paths for the counts and lines that
+    ``clean_events`` keeps; both replace what was there.
     """
     if reuse not in REUSE_MODES:
         raise ValueError(f"reuse must be one of {REUSE_MODES}")
@@ -161,12 +187,12 @@ def run_job(
             elif batch_id is not None:
                 write_batch(df, os.path.join(output, name), batch_id)
             else:
-                write_table(df, os.path.join(output, name), fmt=fmt, mode=mode, options=options)
+                write_summarised(df, os.path.join(output, name), fmt, mode, options)
         except Exception as error:
             return error
         return None
 
-    with clean_events(spark, input_path, reuse, clean_table, keep_clean) as clean:
+    with clean_events(spark, input_path, reuse, clean_table, keep_clean, rejections, malformed) as clean:
         outputs = compute_outputs(clean, top_n)
         workers = len(outputs) if parallel_writes else 1
         with ThreadPoolExecutor(max_workers=workers) as pool:
@@ -209,6 +235,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--clean-table", default=None, help="start from a cleansed parquet table")
     p.add_argument("--keep-clean", default=None, help="path where the cleansed table is to stay")
     p.add_argument("--as-database", action="store_true", help="the sink takes database and collection, not paths")
+    p.add_argument("--rejections", default=None, help="path for the number of rows each rule rejects")
+    p.add_argument("--malformed", default=None, help="path for events and the lines that do not parse")
     p.add_argument("--batch-id", default=None, help="append under this id, once, also if the run is repeated")
     args = p.parse_args(argv)
     if args.input is None and args.clean_table is None:
@@ -249,6 +277,8 @@ def main(argv=None, stop_session: bool = True) -> None:
             keep_clean=args.keep_clean,
             as_database=args.as_database,
             batch_id=args.batch_id,
+            rejections=args.rejections,
+            malformed=args.malformed,
         )
     finally:
         if stop_session:

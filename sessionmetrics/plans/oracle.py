@@ -315,6 +315,26 @@ def oracle_sql() -> dict[str, str]:
     q["incremental_funnel"] = q["conversion_funnel"]
     # two batches of the same events, each there once
     q["job_batch_append"] = f"SELECT * FROM ({q['user_session_metrics']}) UNION ALL SELECT * FROM ({q['user_session_metrics']})"
+    rules = {
+        "user_id": "user_id IS NULL", "session_id": "session_id IS NULL", "event_ts": "event_ts IS NULL",
+        "action": "action IS NULL OR action NOT IN ('view', 'add_to_cart', 'purchase')",
+        "product_id": "product_id IS NULL", "category": "category IS NULL", "price": "price IS NULL OR price < 0.01",
+        "device_type": "device_type IS NULL OR device_type NOT IN ('mobile', 'desktop', 'tablet')",
+    }
+    marked = ", ".join(f"CAST({bad} AS INTEGER) AS bad_{name}" for name, bad in rules.items())
+    total = " + ".join(f"bad_{name}" for name in rules)
+    q["cleanse_rejections"] = _with(
+        RAW, CLEAN, f"marks AS (SELECT {marked} FROM norm)", f"fails AS (SELECT *, {total} AS bad FROM marks)"
+    ) + " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) FILTER (bad_{name} = 1) AS rejected, "
+        f"count(*) FILTER (bad_{name} = 1 AND bad = 1) AS only_rule FROM fails"
+        for name in rules
+    )
+    q["malformed_lines"] = (
+        "SELECT CASE WHEN event_id % 89 = 0 THEN '{\"user_id\": \"' || user_id || '\", \"action\": \"ends early ' || event_id "
+        "ELSE '{\"user_id\": \"' || user_id || '\", \"price\": \"dear ' || event_id || '\"}' END AS line "
+        "FROM events WHERE event_id % 89 = 0 OR event_id % 83 = 0"
+    )
     q["jsonl_roundtrip"] = q["raw_events"]
     q["sink_append_roundtrip"] = q["user_session_metrics"]
     q["stream_ingest_roundtrip"] = q["clean_events"]

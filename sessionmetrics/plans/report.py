@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import operators as op
 from ..schema import EXPECTED_COLUMNS, PREVIEW_ROWS
 from ..session import build_session
-from ..sources import read_table, write_table
-from .job import OUTPUT_TABLES
+from ..sources import Summary, read_table, write_table
+from .job import OUTPUT_TABLES, summaries
 
 
 def load_outputs(
@@ -38,8 +38,11 @@ def load_outputs(
     return {t: read_table(spark, os.path.join(output, names[t]), fmt=fmt) for t in OUTPUT_TABLES}
 
 
-def build_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All report tables from the metric tables (lazy)."""
+def build_reports(
+    tables: Mapping[str, DataFrame], recorded: Mapping[str, Summary] | None = None
+) -> dict[str, DataFrame]:
+    """All report tables from the metric tables (lazy).  Counts and first rows
+    that the job recorded are taken from there."""
     users = tables["user_session_metrics"]
     funnel = tables["conversion_funnel_metrics"]
     trending = tables["trending_products"]
@@ -47,8 +50,8 @@ def build_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "kpi_summary": op.kpi_summary(users),
         "funnel_totals": op.funnel_totals(funnel),
         "trending_top10": op.trending_top10(trending),
-        "schema_contract": op.schema_contract(tables, EXPECTED_COLUMNS, with_preview=True),
-        "table_row_counts": op.table_row_counts(tables),
+        "schema_contract": op.schema_contract(tables, EXPECTED_COLUMNS, with_preview=True, recorded=recorded),
+        "table_row_counts": op.table_row_counts(tables, recorded),
         **{
             # ordered by every column: a total order, so the preview is stable
             f"preview_{name}": op.preview(df, df.columns, PREVIEW_ROWS)
@@ -71,13 +74,18 @@ def main(argv=None, stop_session: bool = True) -> dict[str, DataFrame]:
     args = parse_args(argv)
     spark = build_session("sessionmetrics-report")
     try:
-        tables = load_outputs(spark, args.output, args.format, dict(kv.split("=", 1) for kv in args.target))
-        empty = [name for name, df in tables.items() if op.is_empty(df)]
+        targets = dict(kv.split("=", 1) for kv in args.target)
+        tables = load_outputs(spark, args.output, args.format, targets)
+        recorded = summaries(spark, args.output, targets)
+        empty = [
+            name for name, df in tables.items()
+            if (recorded[name].row_count == 0 if name in recorded else op.is_empty(df))
+        ]
         if len(empty) == len(tables):
             print("all metric tables are empty: run the job first", file=sys.stderr)
         elif empty:
             print(f"empty metric tables: {', '.join(empty)}", file=sys.stderr)
-        reports = build_reports(tables)
+        reports = build_reports(tables, recorded)
         for name, df in reports.items():
             if args.write:
                 write_table(df, os.path.join(args.write, name), mode="overwrite")

@@ -128,6 +128,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and sizes of a table's data files; none if it is not there."""
+    target, system = _located(spark, path)
+    found = system.listStatus(target) if system.exists(target) else []
+    return {s.getPath().getName(): s.getLen() for s in found if s.getPath().getName()[0] not in "_."}
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text."""
     target, system = _located(spark, path)

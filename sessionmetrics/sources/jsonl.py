@@ -9,7 +9,8 @@ then drops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schema import RAW_SCHEMA
 
@@ -21,6 +22,29 @@ def read_raw_events(
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+_LINE = "_corrupt_record"
+
+
+def split_malformed(
+    spark: SparkSession, path: str | list[str], target: str, schema: StructType = RAW_SCHEMA
+) -> tuple[DataFrame, DataFrame]:
+    """S1 with a second output: (events, lines that do not fit the schema).
+
+    One pass over the text writes both parts to ``target``, so that neither is
+    parsed again.  ``line`` is the whole raw text of a line that is no JSON or
+    has a value of another type.  ``read_raw_events`` turns such a line into a
+    row with nulls, which the cleanse drops if it lacks anything it needs; here
+    it is no event, and its text is kept."""
+    lines = spark.read.schema(StructType([*schema.fields, StructField(_LINE, StringType())]))
+    lines = lines.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path)
+    marked = lines.withColumn("malformed", F.col(_LINE).isNotNull())
+    marked.write.mode("overwrite").partitionBy("malformed").parquet(target)
+    stored = StructType([*lines.schema.fields, StructField("malformed", StringType())])
+    both = spark.read.schema(stored).parquet(target)
+    events = both.where(F.col("malformed") == "false").select(*schema.names)
+    return events, both.where(F.col("malformed") == "true").select(F.col(_LINE).alias("line"))
+
+
 def write_jsonl(
     df: DataFrame,
     path: str,
