@@ -45,6 +45,9 @@ POPULATION = 4
 WELL_FILLED = 0.97
 #: Bytes tokenised at a time.
 _PART = 1 << 20
+#: Stretches whose ids a worker keeps, none longer than so many bytes.
+_KNOWN = 300_000
+_KNOWN_BYTES = 64
 #: White space and the word after it.
 _STRETCH = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 
@@ -82,6 +85,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         self.size[list(ranks.values())] = [len(k) for k in ranks]
+        self.known: dict[bytes, bytes] = {}
 
     def whole(self, text: bytes) -> np.ndarray:
         return np.array(self.exact.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
@@ -115,17 +119,21 @@ class Encoder:
     def part(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
         found = [_STRETCH.findall(t) for t in texts]
-        distinct = list({s for stretches in found for s in stretches})
-        if not distinct:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        size = np.fromiter(map(len, distinct), np.int64, len(distinct))
-        end = np.cumsum(size)
-        joined = np.fromiter((s[0] in SEPARATORS and s[-1] not in SEPARATORS for s in distinct), bool, len(distinct))
-        ids, count = self._stretches(b"".join(distinct), end - size, end, joined)
-        data, cut = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(count)).tolist()]
-        # stretches are told apart byte by byte
-        of = {s: data[a:b] for s, a, b in zip(distinct, cut, cut[1:])}
-        rows = [b"".join([of[s] for s in stretches]) for stretches in found]
+        if len(self.known) > _KNOWN:
+            self.known.clear()
+        new = list({s for stretches in found for s in stretches if s not in self.known})
+        if new:
+            size = np.fromiter(map(len, new), np.int64, len(new))
+            end = np.cumsum(size)
+            joined = np.fromiter((s[0] in SEPARATORS and s[-1] not in SEPARATORS for s in new), bool, len(new))
+            ids, count = self._stretches(b"".join(new), end - size, end, joined)
+            data, cut = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(count)).tolist()]
+            # stretches are told apart byte by byte
+            self.known.update(zip(new, [data[a:b] for a, b in zip(cut, cut[1:])]))
+        rows = [b"".join([self.known[s] for s in stretches]) for stretches in found]
+        for s in new:
+            if len(s) > _KNOWN_BYTES:
+                del self.known[s]
         return np.frombuffer(b"".join(rows), "<u4"), np.fromiter((len(r) // 4 for r in rows), np.int64, len(rows))
 
     def encode(self, texts: list[bytes | memoryview]) -> Iterator[tuple[int, np.ndarray]]:
