@@ -22,6 +22,13 @@ PLANNED_LIMIT = 1000
 _PARTS = 64
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def top_n_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -36,11 +43,12 @@ def top_n_per_group(
     if n > PLANNED_LIMIT:
         # Rank within parts of each group first: only the best n of a part go
         # on, so a group with most of the rows is cut by many tasks.
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(_PARTS))
-        inner = Window.partitionBy(*group, "_part").orderBy(*order)
+        # The helper columns get names that the table does not have.
+        part, rank = (_unused(df, name) for name in ("_part", "_rank"))
+        inner = Window.partitionBy(*group, part).orderBy(*order)
         df = (
-            df.withColumn("_part", part).withColumn(rank_col, F.row_number().over(inner))
-            .where(F.col(rank_col) <= F.lit(n)).drop("_part", rank_col)
+            df.withColumn(part, F.pmod(F.xxhash64(*df.columns), F.lit(_PARTS)))
+            .withColumn(rank, F.row_number().over(inner)).where(F.col(rank) <= F.lit(n)).drop(part, rank)
         )
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(n))

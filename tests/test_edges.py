@@ -60,3 +60,18 @@ def test_same_session_id_under_two_users_is_two_sessions(spark):
     assert sorted(r.is_bounce for r in sessions.collect()) == [0, 1]
     funnel = op.conversion_funnel(clean).first()
     assert (funnel.sessions_total, funnel.sessions_with_view, funnel.sessions_with_purchase) == (2, 1, 1)
+
+
+def test_top_n_keeps_columns_named_like_its_own(spark):
+    """Above the planned limit groups are ranked in parts; a caller's columns
+    of the same names stay."""
+    from pyspark.sql import functions as F
+
+    from sessionmetrics.operators import top_n_per_group
+
+    df = spark.range(3000).select(F.lit("g").alias("g"), "id", (F.col("id") * 2).alias("_part"), F.col("id").alias("_Rank"))
+    got = top_n_per_group(df, ["g"], [F.desc("id")], 1500)
+    assert got.columns == ["g", "id", "_part", "_Rank", "rn"]
+    rows = got.orderBy("rn").collect()
+    assert [r.id for r in rows] == list(range(2999, 1499, -1))
+    assert all(r["_part"] == 2 * r.id and r["_Rank"] == r.id for r in rows)
