@@ -5,9 +5,10 @@ followed by one space, so that one numpy pass finds the words of all of them
 and no word crosses a document.  Words are runs of bytes outside
 ``[\\x20\\x09-\\x0D]``.
 
-Hashes are polynomials modulo 2**64 over randomised symbols.  The hash of a
-stretch comes from two prefix sums, whatever its length; two independent
-families (``salt`` 0 and 1) give 128 bits where equality decides a result.
+Words are told apart by SipHash.  Hashes of other stretches are polynomials
+modulo 2**64 over randomised symbols: the hash of a stretch comes from two
+prefix sums, whatever its length.  Two independent families (``salt`` 0 and 1)
+give 128 bits where equality decides a result.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+from pandas.util import hash_array
 
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _IS_SEPARATOR = np.zeros(256, dtype=bool)
@@ -23,6 +25,7 @@ _IS_SEPARATOR[list(SEPARATORS)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
+_WORD_KEYS = ("words of a block", "the second key..")
 _BASES = (0x9E3779B97F4A7C15 | 3, 0xC2B2AE3D27D4EB4F | 3)
 U = np.uint64
 
@@ -99,8 +102,11 @@ class Words:
         return len(self.start)
 
     def hashes(self, salt: int, lower: bool = False) -> np.ndarray:
-        data = LOWER[self.data] if lower else self.data
-        return Rolling(byte_symbols(salt)[data], salt).of(self.start, self.end)
+        """SipHash of every word, with a key for each salt."""
+        data = self.data.tobytes()
+        words = np.empty(len(self), dtype=object)
+        words[:] = (data.lower() if lower else data).split()  # bytes split at SEPARATORS
+        return hash_array(words, hash_key=_WORD_KEYS[salt], categorize=False)
 
     def owner(self) -> np.ndarray:
         """The document index of every word."""

@@ -114,3 +114,29 @@ def test_indexes_of_some_anchors_at_a_time(monkeypatch):
     monkeypatch.setattr(run_length, "INDEX_BYTES", 64)
     assert run_length._edges_reply(payloads, 14) == whole
     assert any(len(r) > 8 for r in whole)
+
+
+def _thue_morse(order):
+    """Two different texts that collide under every polynomial hash modulo 2**64."""
+    one, two = "a", "b"
+    for _ in range(order):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_words_that_polynomial_hashes_confuse(session):
+    one, two = _thue_morse(11)
+    tail = " ".join(f"w{i}" for i in range(60))
+    rows = [edge_rows.row(1, f"{one} {tail}"), edge_rows.row(2, f"{two} {tail}"), edge_rows.row(3, f"{two} {tail}")]
+    df = session.createDataFrame(rows, edge_rows.SCHEMA)
+    want = edge_rows.repeated_words(rows)
+    assert [r[2] for r in want] == [0, 60, 61]
+    assert _got(difference_cover.remove_repeats(df), "n_words", "n_removed") == want
+
+
+def test_bytes_that_polynomial_hashes_confuse(session):
+    one, two = _thue_morse(11)
+    rows = [edge_rows.row(1, one), edge_rows.row(2, two), edge_rows.row(3, "x" + two)]
+    df = session.createDataFrame(rows, edge_rows.SCHEMA)
+    found = run_length.remove_repeats(df)
+    assert _got(found, "n_bytes", "n_removed", "n_spans") == edge_rows.repeated_bytes(rows)
