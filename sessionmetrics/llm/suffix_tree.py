@@ -21,8 +21,12 @@ all blocks send, apply the test and reply.  A word or pair that a third of
 all documents hold is one row per block.  What is gathered grows with the
 corpus; nothing of it goes to the driver but two totals.
 
-Words are told apart by 64-bit hashes, next words within a context by 32
-bits.  Words that occur less than ``min_next`` times in training have no
+Words are told apart by 64-bit hashes (SipHash).  A word's bucket gives it a
+number, and contexts and pairs are tuples of these numbers, without further
+hashing: sorted, as differences and compressed, they take a fraction of a
+hash's bytes, since frequent words have small numbers.  Replies hold retained
+contexts, and pairs of these or that may be contexts themselves.  Counts are
+64 bits wide everywhere.  Words that occur less than ``min_next`` times in training have no
 entry of their own in longer contexts.  Both thresholds are numbers of
 occurrences, the same at every size: the tree grows with the corpus, and the
 divergence test decides what is retained.  All pairs of one context meet in
@@ -52,7 +56,6 @@ MIN_GAIN = 16.0
 #: Larger blocks ask for fewer of the same words and pairs.
 BLOCK_BYTES = 4 << 20
 _END = U(0x656E645F6F665F74)
-_TOTALS = -1
 _FIXED = 2000.0  # log-probabilities travel in units of 1/2000 nat
 RESULT = (
     "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -74,53 +77,103 @@ class _Tokens:
         self.place = np.arange(len(hashed)) - np.repeat(self.first, self.size)
 
 
-def _words_reply(payloads: list[memoryview]) -> list[bytes]:
-    """Training occurrences of each word; the first reply also carries the
-    bucket's numbers of tokens and of words seen in training."""
-    parts = [B.unpack(p, "u8", "u4") for p in payloads]
-    word, n = (np.concatenate(x) for x in zip(*parts))
-    _, at = np.unique(word, return_inverse=True)
-    total = np.bincount(at, n)
-    cuts = np.cumsum([len(p[0]) for p in parts])
-    replies = [B.pack(c.astype(np.uint32)) for c in np.split(total[at], cuts[:-1])]
+def _words_reply(payloads: list[memoryview], named: int) -> list[bytes]:
+    """Training occurrences of each word, and a number from 1 up for each word
+    with ``named`` of them, frequent words first; the first reply also carries
+    the bucket's numbers of tokens and of words seen in training."""
+    parts = [B.unsqueeze(p) for p in payloads]
+    word = np.concatenate([np.cumsum(p[0]) for p in parts])
+    n = np.concatenate([p[1] for p in parts])
+    names, at = np.unique(word, return_inverse=True)
+    total = _sums_by(at, n, len(names))
+    number = np.zeros(len(names), np.int64)
+    number[np.lexsort((names, -total))] = np.arange(1, len(names) + 1)
+    number[total < named] = 0
+    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+    replies = [B.squeeze(t, i) for t, i in zip(np.split(total[at], cuts), np.split(number[at], cuts))]
     summary = np.array([total.sum(), (total > 0).sum()], np.int64).tobytes()
     return [summary + replies[0], *(bytes(16) + r for r in replies[1:])]
 
 
-def _pairs_reply(payloads: list[memoryview], min_gain: float) -> list[bytes]:
-    """For each context: what its entries leave for its suffix, NaN unless it
-    is retained; for each pair its training occurrences, 0 if not listed."""
+def _sums_by(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sums of whole numbers, exact beyond what a double holds."""
+    out = np.zeros(size, np.int64)
+    np.add.at(out, at, n.astype(np.int64))
+    return out
+
+
+def _differences(column: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Steps of an ascending column that starts anew at ``starts``."""
+    steps = np.diff(column, prepend=column[:1] * 0)
+    if starts is not None:
+        steps[starts] = column[starts]
+    return steps
+
+
+def _ascending(steps: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The column whose ``_differences`` are ``steps``, groups of ``many``."""
+    total = np.cumsum(steps.astype(np.int64))
+    starts = (np.cumsum(many) - many)[many > 0]
+    return total - np.repeat(total[starts] - steps[starts].astype(np.int64), many[many > 0])
+
+
+def _groups(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each distinct row of ``columns``, and a row of each."""
+    _, sample, at = np.unique(columns[0], return_index=True, return_inverse=True)
+    for column in columns[1:]:
+        _, value = np.unique(column, return_inverse=True)
+        _, sample, at = np.unique(at * np.int64(value.max(initial=0) + 1) + value, return_index=True, return_inverse=True)
+    return at, sample
+
+
+def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int | None) -> list[bytes]:
+    """What the entries of each retained context leave for its suffix, and the
+    training occurrences of each pair: 0 where the block has no use for them,
+    that is unless the context is retained or the pair, with ``min_longer``
+    occurrences, is a context itself."""
     parts = []
     for p in payloads:
-        context, count, many = B.unpack(p, "u8", "u4", "u4")
-        pairs = B.unpack(p[8 + 16 * len(context) :], "u4", "u4", "u2")
-        parts.append((context, count, np.repeat(context, many), *pairs))
-    context, count, of, following, n, log_p = (np.concatenate(x) for x in zip(*parts))
-    names, sample, at = np.unique(context, return_index=True, return_inverse=True)
+        many, count, first, *others, steps, n, log_p = B.unsqueeze(p)
+        many = many.astype(np.int64)
+        context = [np.cumsum(first.astype(np.int64)), *others]
+        parts.append((many, count, *context, _ascending(steps, many), n, log_p))
+    many, count, *context, following, n, log_p = (np.concatenate(x) for x in zip(*parts))
+    sizes = [(len(p[0]), len(p[-1])) for p in parts]
+    del parts
+    at, sample = _groups([c.astype(np.int64) for c in context])
     size = count[sample].astype(float)
-    own = np.searchsorted(names, of)
+    own = np.repeat(at, many)
     order = np.lexsort((following, own))
     new = np.ones(len(order), bool)
     new[1:] = (own[order][1:] != own[order][:-1]) | (following[order][1:] != following[order][:-1])
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
-    total = np.bincount(pair, n, minlength=int(new.sum()))
-    holder, below = own[order][new], np.exp(log_p[order][new] / -_FIXED)
+    total = _sums_by(pair, n, int(new.sum()))
+    holder = own[order][new]
+    first = np.flatnonzero(new)
+    # blocks that did not see a pair in training send no probability
+    below = np.maximum.reduceat(log_p[order], first).astype(float) if len(first) else np.zeros(0)
     listed = total >= LISTED
+    below = np.exp(below[listed] / -_FIXED)
     s = holder[listed]
-    kept = np.bincount(s, total[listed] - DISCOUNT, minlength=len(names))
-    seen = np.bincount(s, total[listed], minlength=len(names))
+    kept = np.bincount(s, total[listed] - DISCOUNT, minlength=len(size))
+    seen = np.bincount(s, total[listed], minlength=len(size))
     rest = 1 - kept / np.maximum(size, 1)
     # every occurrence judged by the estimate without it
-    without = np.maximum(total[listed] - 1 - DISCOUNT, 0) / np.maximum(size[s] - 1, 1) + rest[s] * below[listed]
-    gain = np.bincount(s, total[listed] * np.log(without / below[listed]), minlength=len(names))
+    without = np.maximum(total[listed] - 1 - DISCOUNT, 0) / np.maximum(size[s] - 1, 1) + rest[s] * below
+    gain = np.bincount(s, total[listed] * np.log(without / below), minlength=len(size))
     gain += (size - seen) * np.log(np.maximum(rest, 1e-9))
-    rest = np.where(gain >= min_gain, rest, np.nan).astype(np.float32)
-    shown = np.where(listed, total, 0).astype(np.uint32)[pair]
+    retained = gain >= min_gain
+    used = listed & retained[holder]
+    if min_longer is not None:
+        used |= listed & (total >= min_longer)
+    shown = np.where(used, total, 0)[pair]
     replies, c, k = [], 0, 0
-    for part in parts:
-        replies.append(B.pack(rest[at[c : c + len(part[0])]]) + B.pack(shown[k : k + len(part[2])]))
-        c, k = c + len(part[0]), k + len(part[2])
+    for n_contexts, n_pairs in sizes:
+        rows = at[c : c + n_contexts]
+        held = np.flatnonzero(retained[rows])
+        replies.append(B.squeeze(_differences(held), rest[rows[held]].view(np.uint64), shown[k : k + n_pairs]))
+        c, k = c + n_contexts, k + n_pairs
     return replies
 
 
@@ -131,32 +184,44 @@ class _Plan:
         # known after the first exchange
         self.tokens, self.vocabulary = 0, 0
 
-    def _cells(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows in order of their buckets, and each bucket's start in it."""
+    def _words(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words in order of their buckets, and each bucket's start in it."""
         bucket = B.to_buckets(mix(names), self.buckets)
         order = np.argsort(bucket, kind="stable")
         return order, np.searchsorted(bucket[order], np.arange(self.buckets + 1))
 
+    def _contexts(self, names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of contexts, ascending in each bucket."""
+        key = np.zeros(len(names[0]), U)
+        for column in names:
+            key = mix(key * U(0x9E3779B97F4A7C15) + column.astype(U))
+        bucket = B.to_buckets(key, self.buckets)
+        order = np.lexsort((*names[::-1], bucket))
+        return order, np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+
     def ask_words(self, block: B.Block) -> Iterator[tuple[int, bytes]]:
         t = _Tokens(block, self.held_out)
-        n = np.bincount(t.word[t.train], minlength=len(t.distinct)).astype(np.uint32)
-        return B.split(B.to_buckets(mix(t.distinct), self.buckets), t.distinct, n)
+        n = np.bincount(t.word[t.train], minlength=len(t.distinct))
+        order, starts = self._words(t.distinct)
+        for k in range(self.buckets):
+            rows = order[starts[k] : starts[k + 1]]
+            if len(rows):
+                yield k, B.squeeze(_differences(t.distinct[rows]), n[rows])
 
     def ask_pairs(self, block: B.Block, replies: dict[int, bytes], depth: int) -> Iterator[tuple[int, bytes]]:
         """Statistics of the contexts of ``depth`` words."""
         state = _State(self, block, replies, depth - 1, ask=True)
         names, many, count, following, n, log_p = state.asked
-        order, starts = self._cells(names)
+        order, starts = self._contexts(names)
         begin = np.cumsum(many) - many
         for k in range(self.buckets):
             rows = order[starts[k] : starts[k + 1]]
             if len(rows):
-                at = ranges(begin[rows], many[rows])
-                yield (
-                    k,
-                    B.pack(names[rows], count[rows].astype(np.uint32), many[rows].astype(np.uint32))
-                    + B.pack(following[at], n[at], log_p[at]),
-                )
+                m = many[rows]
+                at = ranges(begin[rows], m)
+                steps = _differences(following[at], (np.cumsum(m) - m)[m > 0])
+                first, *others = (c[rows] for c in names)
+                yield k, B.squeeze(m, count[rows], _differences(first), *others, steps, n[at], log_p[at])
 
     def finish(self, block: B.Block, replies: dict[int, bytes], depth: int) -> pa.RecordBatch:
         state = _State(self, block, replies, depth)
@@ -182,59 +247,66 @@ class _State:
 
     def __init__(self, plan: _Plan, block: B.Block, replies: dict[int, bytes], depth: int, ask: bool = False):
         self.tokens = t = _Tokens(block, plan.held_out)
-        n_words = np.zeros(len(t.distinct))
-        order, starts = plan._cells(t.distinct)
+        n_words = np.zeros(len(t.distinct), np.int64)
+        number = np.zeros(len(t.distinct), np.int64)
+        order, starts = plan._words(t.distinct)
         for k in range(plan.buckets):
-            if starts[k] < starts[k + 1]:
-                n_words[order[starts[k] : starts[k + 1]]] = B.unpack(replies[k][16:], "u4")[0]
+            rows = order[starts[k] : starts[k + 1]]
+            if len(rows):
+                n_words[rows], place = B.unsqueeze(replies[k][16:])
+                # one number for each word of the corpus, frequent words first
+                number[rows] = np.where(place > 0, (place.astype(np.int64) - 1) * plan.buckets + k + 1, 0)
         self.count = n_words[t.word]
-        self.root = np.log((self.count + 1) / (plan.tokens + plan.vocabulary + 1))
+        self.root = np.log((self.count + 1.0) / (plan.tokens + plan.vocabulary + 1))
         self.log_p = self.root.copy()
         self.level = np.zeros(len(self.count), np.int8)
-        following = (mix(t.distinct) >> U(32)).astype(np.uint32)
         entry = n_words >= plan.min_next
-        # the history of a token: a hash of the words before it, and how often
-        # that occurs in training
-        names, times = t.distinct, n_words
+        by_number = np.argsort(number, kind="stable")
+        place = np.empty(len(number), np.int64)
+        place[by_number] = np.arange(len(number))
+        # the history of a token: the words before it, and how often those
+        # occur in training
+        names, times = [number], n_words
         at = np.flatnonzero(t.place >= 1)
         before = t.word[at - 1]
         for d in range(1, depth + 1 + ask):
             ok = times[before] >= plan.min_context
             at, before = at[ok], before[ok]
             used, context = np.unique(before, return_inverse=True)
+            own = [column[used] for column in names]
             asks = entry[t.word[at]]
-            pair_key = context[asks] * np.int64(len(t.distinct)) + t.word[at[asks]]
+            pair_key = context[asks] * np.int64(len(t.distinct)) + place[t.word[at[asks]]]
             keys, sample, which = np.unique(pair_key, return_index=True, return_inverse=True)
             holder, word = np.divmod(keys, len(t.distinct))
+            word = by_number[word]
             many = np.bincount(holder, minlength=len(used)).astype(np.int64)
             if d > depth:
-                n = np.bincount(which[t.train[at[asks]]], minlength=len(keys)).astype(np.uint32)
-                log_p = np.minimum(np.round(-self.log_p[at[asks]][sample] * _FIXED), 65535).astype(np.uint16)
-                self.asked = (names[used], many, times[used], following[word], n, log_p)
+                n = np.bincount(which[t.train[at[asks]]], minlength=len(keys))
+                log_p = np.round(-self.log_p[at[asks]][sample] * _FIXED).astype(np.int64)
+                self.asked = (own, many, times[used], number[word], n, np.where(n > 0, log_p, 0))
                 return
-            rest, seen = self._replied(plan, replies, d, names[used], many)
+            rest, seen = self._replied(plan, replies, d, own, many)
             self._apply(t, at, context, asks, which, rest, seen, times[used], d)
             # contexts one word longer: this pair, if it is frequent
-            names = mix(names[used][holder] * U(0x9E3779B97F4A7C15) + t.distinct[word] + U(d))
-            times = seen.astype(float)
-            if not len(names):  # no context is frequent enough: nothing longer either
-                names, times = np.zeros(1, U), np.zeros(1)
+            names, times = [*(column[holder] for column in own), number[word]], seen
+            if not len(times):  # no context is frequent enough: nothing longer either
+                names, times = [np.zeros(1, np.int64)] * (d + 1), np.zeros(1, np.int64)
             longer = np.full(len(t.word) + 1, -1)
             longer[at[asks] + 1] = which
             at = np.flatnonzero((t.place >= d + 1) & (longer[:-1] >= 0))
             before = longer[at]
 
     @staticmethod
-    def _replied(plan: _Plan, replies: dict[int, bytes], d: int, names: np.ndarray, many: np.ndarray):
-        rest, seen = np.full(len(names), np.nan), np.zeros(int(many.sum()), np.uint32)
-        order, starts = plan._cells(names)
+    def _replied(plan: _Plan, replies: dict[int, bytes], d: int, names: list[np.ndarray], many: np.ndarray):
+        rest, seen = np.full(len(names[0]), np.nan), np.zeros(int(many.sum()), np.int64)
+        order, starts = plan._contexts(names)
         begin = np.cumsum(many) - many
         for k in range(plan.buckets):
             rows = order[starts[k] : starts[k + 1]]
             if len(rows):
-                payload = replies[d * plan.buckets + k]
-                rest[rows] = B.unpack(payload, "f4")[0]
-                seen[ranges(begin[rows], many[rows])] = B.unpack(payload[8 + 4 * len(rows) :], "u4")[0]
+                held, left, shown = B.unsqueeze(replies[d * plan.buckets + k])
+                rest[rows[np.cumsum(held).astype(np.int64)]] = left.view(np.float64)
+                seen[ranges(begin[rows], many[rows])] = shown
         return rest, seen
 
     def _apply(self, t, at, context, asks, which, rest, seen, size, d) -> None:
@@ -256,7 +328,9 @@ def score(
     stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
     plan = _Plan(stored.buckets, held_out, min_context, min_next)
     n = stored.buckets
-    words = B.kept_by_block(stored, B.answer(B.ask(stored, plan.ask_words), _words_reply))
+    named = min(min_context, min_next)
+    words = B.answer(B.ask(stored, plan.ask_words), lambda payloads: _words_reply(payloads, named))
+    words = B.kept_by_block(stored, words)
     # the two totals, added up from one summary per bucket
     summary = words.select(F.explode("replies").alias("r")).select(F.substring("r.payload", 1, 16).alias("summary"))
     summary = summary.mapInArrow(_sums, "tokens long, words long")
@@ -265,7 +339,8 @@ def score(
     known = [words]
     for d in range(1, depth + 1):
         asked = B.ask_joined(stored, known, lambda b, r, d=d: plan.ask_pairs(b, r, d))
-        replied = B.answer(asked, lambda payloads: _pairs_reply(payloads, min_gain))
+        longer = min_context if d < depth else None
+        replied = B.answer(asked, lambda p, longer=longer: _pairs_reply(p, min_gain, longer))
         known.append(B.kept_by_block(stored, replied.withColumn("bucket", F.col("bucket") + F.lit(d * n))))
     return B.joined(stored, known, lambda b, r: plan.finish(b, r, depth), RESULT)
 

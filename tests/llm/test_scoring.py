@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,25 @@ def test_thresholds_do_not_rise_with_the_corpus(session):
         assert r.train_tokens > 3_000_000
         assert r.n_states == 2  # beta after alpha, the end after beta
         assert r.score > r.base_score + 8
+
+
+def test_words_that_polynomial_hashes_confuse(session):
+    """Thue-Morse words of two letters are told apart."""
+    one, two = "a", "b"
+    for _ in range(11):
+        one, two = one + two, two + one
+    ids = [i for i in range(40) if not edge_rows.crc_is_two(i, 7)][:12]
+    held = next(i for i in range(40, 80) if edge_rows.crc_is_two(i, 7))
+    rows = [edge_rows.row(i, one) for i in ids] + [edge_rows.row(held, two)]
+    df = session.createDataFrame(rows, edge_rows.SCHEMA)
+    got = {r.id: r for r in suffix_tree.score(df, lambda ids: _remainder_is_two(ids, 7)).collect()}
+    assert (got[held].n_tokens, got[held].n_known) == (2, 1)  # the end is known, the word is not
+    assert (got[ids[0]].n_tokens, got[ids[0]].n_known) == (2, 2)
+
+
+def test_columns_survive_squeezing():
+    from sessionmetrics.llm.blocks import squeeze, unsqueeze
+
+    columns = [[], [0, 0], [255, 256, 1], [2**63 + 5, 0], [1 << 40] * 3]
+    back = unsqueeze(squeeze(*(np.array(c, np.uint64) for c in columns)))
+    assert [c.tolist() for c in back] == columns
