@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import scratch
@@ -29,6 +30,7 @@ from . import scratch
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 _STORED = "block long, ids binary, offsets binary, data binary"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PACKED = "block long, bucket int, payload binary"
 
 
@@ -257,12 +259,28 @@ def with_answers(
     )
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Actions in here remove their shuffle files when they end, not when the
+    driver happens to collect garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def kept_by_block(blocks: Blocks, answers: DataFrame) -> DataFrame:
     """Replies stored like the blocks, one row (block, replies) each, for
     exchanges that need them more than once.  A block has at most one reply
-    from each bucket."""
+    from each bucket.  Once they are stored, the exchange's shuffle files go."""
     rows = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("replies"))
-    return _by_block(rows, blocks.files)
+    with _shuffles_removed(answers.sparkSession):
+        return _by_block(rows, blocks.files)
 
 
 def joined(

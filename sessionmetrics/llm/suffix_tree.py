@@ -126,8 +126,13 @@ def _groups(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return at, sample
 
 
+def _rest(seen: np.ndarray, entries: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """What the entries of contexts, ``seen`` times in all, leave for their suffixes."""
+    return 1 - (seen - DISCOUNT * entries) / np.maximum(size, 1)
+
+
 def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int | None) -> list[bytes]:
-    """What the entries of each retained context leave for its suffix, and the
+    """Number and occurrences of the entries of each retained context, and the
     training occurrences of each pair: 0 where the block has no use for them,
     that is unless the context is retained or the pair, with ``min_longer``
     occurrences, is a context itself."""
@@ -156,9 +161,9 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int |
     listed = total >= LISTED
     below = np.exp(below[listed] / -_FIXED)
     s = holder[listed]
-    kept = np.bincount(s, total[listed] - DISCOUNT, minlength=len(size))
-    seen = np.bincount(s, total[listed], minlength=len(size))
-    rest = 1 - kept / np.maximum(size, 1)
+    entries = np.bincount(s, minlength=len(size))
+    seen = _sums_by(s, total[listed], len(size))
+    rest = _rest(seen, entries, size)
     # every occurrence judged by the estimate without it
     without = np.maximum(total[listed] - 1 - DISCOUNT, 0) / np.maximum(size[s] - 1, 1) + rest[s] * below
     gain = np.bincount(s, total[listed] * np.log(without / below), minlength=len(size))
@@ -172,7 +177,8 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int |
     for n_contexts, n_pairs in sizes:
         rows = at[c : c + n_contexts]
         held = np.flatnonzero(retained[rows])
-        replies.append(B.squeeze(_differences(held), rest[rows[held]].view(np.uint64), shown[k : k + n_pairs]))
+        own = rows[held]
+        replies.append(B.squeeze(_differences(held), seen[own], entries[own], shown[k : k + n_pairs]))
         c, k = c + n_contexts, k + n_pairs
     return replies
 
@@ -285,7 +291,7 @@ class _State:
                 log_p = np.round(-self.log_p[at[asks]][sample] * _FIXED).astype(np.int64)
                 self.asked = (own, many, times[used], number[word], n, np.where(n > 0, log_p, 0))
                 return
-            rest, seen = self._replied(plan, replies, d, own, many)
+            rest, seen = self._replied(plan, replies, d, own, many, times[used])
             self._apply(t, at, context, asks, which, rest, seen, times[used], d)
             # contexts one word longer: this pair, if it is frequent
             names, times = [*(column[holder] for column in own), number[word]], seen
@@ -297,15 +303,16 @@ class _State:
             before = longer[at]
 
     @staticmethod
-    def _replied(plan: _Plan, replies: dict[int, bytes], d: int, names: list[np.ndarray], many: np.ndarray):
+    def _replied(plan: _Plan, replies: dict[int, bytes], d: int, names: list[np.ndarray], many: np.ndarray, size: np.ndarray):
         rest, seen = np.full(len(names[0]), np.nan), np.zeros(int(many.sum()), np.int64)
         order, starts = plan._contexts(names)
         begin = np.cumsum(many) - many
         for k in range(plan.buckets):
             rows = order[starts[k] : starts[k + 1]]
             if len(rows):
-                held, left, shown = B.unsqueeze(replies[d * plan.buckets + k])
-                rest[rows[np.cumsum(held).astype(np.int64)]] = left.view(np.float64)
+                held, total, entries, shown = B.unsqueeze(replies[d * plan.buckets + k])
+                held = rows[np.cumsum(held).astype(np.int64)]
+                rest[held] = _rest(total.astype(float), entries.astype(float), size[held])
                 seen[ranges(begin[rows], many[rows])] = shown
         return rest, seen
 
