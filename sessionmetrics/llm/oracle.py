@@ -97,6 +97,22 @@ ORACLES: dict[str, str] = {
         SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
     """,
     # all pairs; hashing found every link of the given tables
+    # list_reduce adds up the products in order of the components
+    "op5_hilbert_search": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v),
+                lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)), lambda a, x: a + x) AS score
+            FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+                AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
     "op4_cross_polytope": """
         WITH RECURSIVE usable AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
