@@ -21,15 +21,18 @@ from ..schema import DEFAULT_TOP_N, EXPECTED_COLUMNS, FUNNEL_KEYS, PREVIEW_ROWS
 from ..session import pin_utc, scratch_path
 from ..sources import (
     Summary,
+    first_documents,
     load_table,
     raw_events,
     read_raw_events,
     read_table,
+    register_documents,
     split_malformed,
     write_batch,
     write_jsonl,
     write_table,
 )
+from ..sources.documents import FORMAT as DOCUMENT_FILES
 from ..streaming import ingest_available
 from .incremental import read_outputs, run_batch
 from .job import OUTPUT_INPUTS, run_job, summaries
@@ -168,6 +171,20 @@ def _store_readback(spark, sf_dir):
     return read_table(spark, path, order_by=["user_id"], limit=PREVIEW_ROWS)
 
 
+def _document_store(spark, sf_dir, make=_users, first=None):
+    """A metric table appended to a document store in small batches and read
+    back, or its first documents alone."""
+    register_documents(spark)
+    path = scratch_path(spark, "document-store")
+    options = {"batchSize": "64", "writeConcern.w": "majority"}
+    write_table(make(spark, sf_dir), path, fmt=DOCUMENT_FILES, options=options)
+    return read_table(spark, path, fmt=DOCUMENT_FILES) if first is None else first_documents(spark, path, first)
+
+
+def _sorted_trending(spark, sf_dir):
+    return op.sort_trending(_trending(spark, sf_dir))
+
+
 def _lenient_users(spark, sf_dir):
     """User metrics whose actions came back as text, some of it no number."""
     uid = F.col("user_id").cast("long")
@@ -238,6 +255,8 @@ QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": _jsonl_roundtrip,
     "sink_append_roundtrip": _sink_roundtrip,
     "store_readback": _store_readback,
+    "document_store_append": _document_store,
+    "document_store_first": lambda s, d: _document_store(s, d, _sorted_trending, PREVIEW_ROWS),
     "stream_ingest_roundtrip": _stream_ingest,
     "job_user_metrics": _job_output("user_session_metrics", "stage"),
     "job_trending": _job_output("trending_products", "persist"),

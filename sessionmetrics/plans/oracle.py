@@ -307,6 +307,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {_cols(TRENDING_COLUMNS)} FROM trending"
     )
     q["store_readback"] = q["metrics_preview"]
+    q["document_store_append"] = q["user_session_metrics"]
+    q["document_store_first"] = q["trending_preview"]
     q["job_user_metrics"] = q["user_session_metrics"]
     q["job_trending"] = q["trending_products"]
     q["job_funnel"] = q["conversion_funnel"]
