@@ -141,7 +141,10 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int |
         many, count, first, *others, steps, n, log_p = B.unsqueeze(p)
         many = many.astype(np.int64)
         context = [np.cumsum(first.astype(np.int64)), *others]
-        parts.append((many, count, *context, _ascending(steps, many), n, log_p))
+        following = _ascending(steps, many)
+        if not others:
+            log_p = log_p[np.unique(following, return_inverse=True)[1]]
+        parts.append((many, count, *context, following, n, log_p))
     many, count, *context, following, n, log_p = (np.concatenate(x) for x in zip(*parts))
     sizes = [(len(p[0]), len(p[-1])) for p in parts]
     del parts
@@ -227,7 +230,10 @@ class _Plan:
                 at = ranges(begin[rows], m)
                 steps = _differences(following[at], (np.cumsum(m) - m)[m > 0])
                 first, *others = (c[rows] for c in names)
-                yield k, B.squeeze(m, count[rows], _differences(first), *others, steps, n[at], log_p[at])
+                below = log_p[at]
+                if depth == 1:  # by the next word alone: once for each
+                    below = below[np.unique(following[at], return_index=True)[1]]
+                yield k, B.squeeze(m, count[rows], _differences(first), *others, steps, n[at], below)
 
     def finish(self, block: B.Block, replies: dict[int, bytes], depth: int) -> pa.RecordBatch:
         state = _State(self, block, replies, depth)
@@ -289,7 +295,8 @@ class _State:
             if d > depth:
                 n = np.bincount(which[t.train[at[asks]]], minlength=len(keys))
                 log_p = np.round(-self.log_p[at[asks]][sample] * _FIXED).astype(np.int64)
-                self.asked = (own, many, times[used], number[word], n, np.where(n > 0, log_p, 0))
+                # a pair's probability by a shorter context is known where it was seen
+                self.asked = (own, many, times[used], number[word], n, log_p if d == 1 else np.where(n > 0, log_p, 0))
                 return
             rest, seen = self._replied(plan, replies, d, own, many, times[used])
             self._apply(t, at, context, asks, which, rest, seen, times[used], d)
