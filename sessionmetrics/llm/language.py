@@ -11,7 +11,10 @@ Nulls and edges: a null text, or one without any letter, is ``und`` with
 score 0.0; rows with null text or language teach nothing; when nothing can be
 learned every document is ``und``.  Repeated rows count and are returned as
 often as they occur.  Ties go to the language that sorts first.  Texts of any
-length are scored whole, in pieces that overlap by n-1 characters.
+length are scored whole, in pieces that overlap by n-1 characters.  An empty
+table gives an empty result.  Only the text and the columns ``keep`` are read;
+other columns may have any names.  More languages than the matrix bound holds
+(2,048) are refused before anything is counted.
 """
 
 from __future__ import annotations
@@ -120,18 +123,21 @@ def fit(
         for lang, have in totals.items():
             at = np.flatnonzero(have)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at)), pa.array(at), pa.array(have[at])], names=["lang", "slot", "n"]
+                [pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(have[at])], names=["lang", "slot", "n"]
             )
 
     rows = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l")).dropna()
+    # no more than the bound allows are counted, and none come to the driver before that is known
+    many = MATRIX_BYTES // (slots * 8)
+    n_languages = rows.select("l").distinct().limit(many + 1).count()
+    if n_languages > many:
+        raise ValueError(f"more than {many} languages x {slots} slots exceed the matrix bound")
     # at most (slots + 1) rows per language, whatever the size of the corpus
     counts = (
         rows.mapInArrow(count, "lang string, slot long, n long")
         .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = sorted(counts["lang"].unique())
-    if len(languages) * slots * 8 > MATRIX_BYTES:
-        raise ValueError(f"{len(languages)} languages x {slots} slots exceed the matrix bound")
     table = np.zeros((len(languages), slots + 1))
     table[[languages.index(x) for x in counts["lang"]], counts["slot"].to_numpy(np.int64)] = counts["n"]
     taught = table[:, slots] > 0

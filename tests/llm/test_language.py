@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import os
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +26,48 @@ def test_held_out_accuracy(session):
     assert got[1] > 100 and got[0] >= 0.98
 
 
+def _slot(gram: str) -> int:
+    """The slot of one n-gram, character by character."""
+    hashed = 0
+    for c in gram:
+        hashed = (hashed * 0x100000001B3 + ord(c) + 1) % 2**64
+    mixed = language.mix(np.array([(hashed + len(gram) - 1) % 2**64], np.uint64))
+    return int(mixed[0]) // 2**32 % language.SLOTS
+
+
+def _grams(text: str) -> Counter:
+    padded = "  " + text.lower() + "  "
+    return Counter(_slot(padded[i : i + k]) for i in range(len(text) + 2) for k in (1, 2, 3))
+
+
+def test_naive_bayes_in_plain_python(session):
+    taught = [
+        ("the cat sat on the mat", "en"), ("The dog and the cat", "en"), ("le chat est sur la table", "fr"),
+        ("la table et le chien", "fr"), ("el gato y el perro", "es"), ("no letters taught: 123", None), (None, "es"),
+        ("12 34", "de"), ("the cat sat on the mat", "en"),
+    ]
+    asked = ["the table", "le gato", "dog", "perro y perro", "x", "La Table 99", "the cat sat on the mat"]
+    model = language.fit(session.createDataFrame(taught, "text string, lang string").repartition(3))
+    found = language.identify(session.createDataFrame([(t,) for t in asked], "text string"), model, keep=("text",))
+    counts: dict = {}
+    n_docs: Counter = Counter()
+    for text, lang in taught:
+        if text is not None and lang is not None and any(c.isalpha() for c in text):
+            counts.setdefault(lang, Counter()).update(_grams(text))
+            n_docs[lang] += 1
+    assert model.languages == sorted(counts) == ["en", "es", "fr"]
+    for row in found.collect():
+        logs = {}
+        for lang, seen in counts.items():
+            total = sum(seen.values()) + 0.5 * language.SLOTS
+            logs[lang] = math.log(n_docs[lang] / sum(n_docs.values())) + sum(
+                n * math.log((seen[g] + 0.5) / total) for g, n in _grams(row.text).items()
+            )
+        best = max(sorted(logs), key=logs.get)
+        assert row.lang_pred == best
+        assert abs(row.score - 1 / sum(math.exp(v - logs[best]) for v in logs.values())) < 1e-9
+
+
 def test_edges(edge_docs):
     model = language.fit(edge_docs)
     got = {
