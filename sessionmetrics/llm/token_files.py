@@ -38,12 +38,13 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -67,8 +68,9 @@ TRAINING_BYTES = 16 << 10
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
-#: Bytes of ids that the reader passes on together.
-_TOGETHER = 8 << 20
+#: Bytes of ids that the reader passes on together, and of texts that a writer gets.
+_TOGETHER = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "?"), ("end", "<u8"), ("n", "<u8")])
 
 
@@ -269,14 +271,29 @@ class TokenFiles(DataSource):
         return _Writer(self.options["path"], int(self.options["id_bytes"]), int(self.options["end_id"]), overwrite)
 
 
-def train(rows: DataFrame, vocabulary: str, width: int, end_id: int = END_ID) -> bytes:
+def _short() -> Column:
+    return F.octet_length("text").between(1, TRAINING_BYTES)
+
+
+def _least(rows: DataFrame, n_short: int) -> DataFrame:
+    """The (doc_id, text) rows of moderate length whose hash is least.  There
+    are ``n_short`` to choose from; few of them have a hash so small that they
+    come into question, and only those are sorted."""
+    some = rows.where(_short()).withColumn("h", F.xxhash64("doc_id", "text"))
+    share = 4 * TRAINING_DOCUMENTS / max(1, n_short)
+    below = some.where(F.col("h") < int(share * 2**64) - 2**63) if share < 1 else some
+    found = below.orderBy("h", "doc_id").limit(TRAINING_DOCUMENTS).select("text")
+    if share < 1 and found.count() < TRAINING_DOCUMENTS:  # many equal rows
+        found = some.orderBy("h", "doc_id").limit(TRAINING_DOCUMENTS).select("text")
+    return found
+
+
+def train(rows: DataFrame, vocabulary: str, width: int, end_id: int = END_ID, n_short: int = 0) -> bytes:
     """A dictionary from the (doc_id, text) rows of moderate length whose hash
     is least; empty if they are too few."""
     import zstandard
 
-    short = F.octet_length("text").between(1, TRAINING_BYTES)
-    some = rows.where(short).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(TRAINING_DOCUMENTS)
-    texts = column_bytes(some.select("text").toArrow().column("text"))
+    texts = column_bytes(_least(rows, n_short).toArrow().column("text"))
     samples = [
         np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(f"<u{width}").tobytes()
         for ids in encoder(vocabulary).encode(texts)
@@ -287,6 +304,21 @@ def train(rows: DataFrame, vocabulary: str, width: int, end_id: int = END_ID) ->
         return b""
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tasks started in here get texts by so many bytes, not by 10,000 rows
+    whatever their size."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(_TOGETHER))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def write(
     docs: DataFrame, path: str, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
     end_id: int = END_ID, part_bytes: int = PART_BYTES,
@@ -303,17 +335,18 @@ def write(
     width = 2 if max(encoder(vocabulary).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_bytes, n_short = rows.agg(F.sum(F.octet_length("text")), F.count_if(_short())).first()
     _write(path, "vocabulary.json", vocabulary.encode())
-    _write(path, "dictionary", train(rows, vocabulary, width, end_id))
+    _write(path, "dictionary", train(rows, vocabulary, width, end_id, n_short))
     # rows that share an id are spread by their text, equal rows by their place
     keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("place"))
     keys = ["doc_id", "h", "place"]
-    parts = max(1, -(-n_bytes // part_bytes))
+    parts = max(1, -(-(n_bytes or 0) // part_bytes))
     ordered = keyed.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select("doc_id", "text")
     spark.dataSource.register(TokenFiles)
     options = {"id_bytes": width, "end_id": end_id}
-    ordered.write.format("token_files").options(**options).mode("overwrite").save(path)
+    with _small_batches(spark):
+        ordered.write.format("token_files").options(**options).mode("overwrite").save(path)
     return read(spark, path)
 
 

@@ -122,3 +122,38 @@ def test_edges(session, tokenizer, edge_docs, no_docs, scratch):
     check(found, expected(tokenizer, edge_rows.documents()))
     empty = token_files.write(no_docs, os.path.join(scratch, "empty"), vocabulary())
     assert empty.count() == 0 and empty.columns == ["doc_id", "start", "n_tokens", "ids"]
+
+
+def test_encoding_takes_little_more_room_than_the_text(tokenizer):
+    import tracemalloc
+
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(1 << 16)}" for _ in range(1_200_000)).encode()
+    encoder = token_ids.Encoder(tokenizer.to_str())
+    tracemalloc.start()
+    try:
+        [found] = encoder.encode([text])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10 * len(text)
+    assert np.frombuffer(found, "<u4").tolist() == whole(tokenizer, text.decode())
+
+
+def test_texts_that_are_no_utf8(tokenizer):
+    texts = [b"\xff\xfe a\xc3 b\xff", b"\xc3", b"plain", b"\xed\xb3\xbf x", b"\xe4\xb8"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in token_ids.Encoder(tokenizer.to_str()).encode(texts)]
+    assert got == [whole(tokenizer, t.decode("utf-8", "replace")) for t in texts]
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_training_rows_are_those_of_least_hash(session, equal):
+    from pyspark.sql import functions as F
+
+    n = 3 * 4 * token_files.TRAINING_DOCUMENTS
+    key = F.lit(1) if equal else F.col("id")
+    rows = session.range(0, n, 1, 7).select(key.alias("doc_id"), F.concat(F.lit("text "), key).alias("text"))
+    found = [r.text for r in token_files._least(rows, n).collect()]
+    hashed = rows.select("text", F.xxhash64("doc_id", "text").alias("h"), "doc_id").collect()
+    least = sorted(hashed, key=lambda r: (r.h, r.doc_id))[: token_files.TRAINING_DOCUMENTS]
+    assert sorted(found) == sorted(r.text for r in least)
