@@ -20,10 +20,7 @@ no rows give no sequences.  A text of any length is tokenised whole.
 from __future__ import annotations
 
 import bisect
-import json
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import scratch
+from . import scratch, token_ids
 from .blocks import column_bytes
-from .text import SEPARATORS
 
 SEQUENCE = 2048
 END_ID = 0
@@ -43,139 +39,18 @@ EPOCHS = 2
 GENERATIONS = 8
 POPULATION = 4
 WELL_FILLED = 0.97
-#: Bytes tokenised at a time.
-_PART = 1 << 20
-#: Stretches whose ids a worker keeps, none longer than so many bytes.
-_KNOWN = 300_000
-_KNOWN_BYTES = 64
-#: White space and the word after it.
-_STRETCH = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-
-# Fixed value: the split of byte-level BPE with 50k ids.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# UTF-8 of the white space that is not ASCII.  A text with any
-# of it is tokenised in one go, as runs of white space cannot be told apart
-# by ASCII bytes alone.
-WIDE_SPACE = [
-    chr(c).encode()
-    for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-]
 
 
 class Encoder:
-    """Ids of many texts at once, each distinct word encoded only once.
-
-    A stretch of ASCII white space with the word after it is split the same
-    way wherever it stands, so a part of the corpus needs its distinct
-    stretches encoded, and its texts are put together from them.
-    """
+    """Ids of many texts at once (see ``token_ids``)."""
 
     def __init__(self, vocabulary: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_str(vocabulary)
-        spec = json.loads(vocabulary)
-        specials = {x["content"] for x in spec.get("added_tokens", [])}
-        self.special = [x.encode() for x in specials]
-        byte = _byte_of_letter()
-        ranks = {
-            bytes(byte[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in specials
-        }
-        self.fast = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
-        self.size[list(ranks.values())] = [len(k) for k in ranks]
-        self.known: dict[bytes, bytes] = {}
-
-    def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.exact.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-
-    def _apart(self, word: bytes) -> list[int]:
-        return self.fast.encode_ordinary(word.decode("utf-8", "replace"))
-
-    def _stretches(self, data: bytes, start: np.ndarray, end: np.ndarray, joined: np.ndarray):
-        """Ids of the stretches, and how many each has."""
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(start)
-        many = np.flatnonzero(joined)
-        if len(many):
-            text = b"".join([data[s:e] for s, e in zip(start[many], end[many])])
-            try:
-                ids = np.array(self.fast.encode_ordinary(text.decode()), np.uint32)
-                ends = np.cumsum(self.size[ids])
-                cut = np.searchsorted(ends, np.cumsum(end[many] - start[many]))
-                fits = cut[-1] == len(ids) - 1 and (ends[cut] == np.cumsum(end[many] - start[many])).all()
-            except UnicodeDecodeError:
-                fits = False
-            if fits:
-                for i, a, b in zip(many.tolist(), np.concatenate([[0], cut[:-1] + 1]).tolist(), (cut + 1).tolist()):
-                    out[i] = ids[a:b]
-            else:
-                joined = np.zeros(len(start), bool)
-        for i in np.flatnonzero(~joined):
-            out[i] = np.array(self._apart(data[start[i] : end[i]]), np.uint32)
-        count = np.fromiter(map(len, out), np.int64, len(out))
-        return np.concatenate(out), count
-
-    def part(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, and how many each has."""
-        found = [_STRETCH.findall(t) for t in texts]
-        if len(self.known) > _KNOWN:
-            self.known.clear()
-        new = list({s for stretches in found for s in stretches if s not in self.known})
-        if new:
-            size = np.fromiter(map(len, new), np.int64, len(new))
-            end = np.cumsum(size)
-            joined = np.fromiter((s[0] in SEPARATORS and s[-1] not in SEPARATORS for s in new), bool, len(new))
-            ids, count = self._stretches(b"".join(new), end - size, end, joined)
-            data, cut = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(count)).tolist()]
-            # stretches are told apart byte by byte
-            self.known.update(zip(new, [data[a:b] for a, b in zip(cut, cut[1:])]))
-        rows = [b"".join([self.known[s] for s in stretches]) for stretches in found]
-        for s in new:
-            if len(s) > _KNOWN_BYTES:
-                del self.known[s]
-        return np.frombuffer(b"".join(rows), "<u4"), np.fromiter((len(r) // 4 for r in rows), np.int64, len(rows))
+        self.texts = token_ids.encoder(vocabulary)
 
     def encode(self, texts: list[bytes | memoryview]) -> Iterator[tuple[int, np.ndarray]]:
-        """(row, ids) for every text, parts of about ``_PART`` bytes at a time."""
-        rows: list[int] = []
-        part: list[bytes] = []
-        size = 0
-        for row, view in enumerate(texts):
-            text = bytes(view)
-            odd = not text.isascii() and any(x in text for x in WIDE_SPACE)
-            if odd or any(x in text for x in self.special):
-                yield row, self.whole(text)
-                continue
-            rows.append(row)
-            part.append(text)
-            size += len(text)
-            if size >= _PART or len(rows) >= 1 << 16:
-                yield from self._rows(rows, part)
-                rows, part, size = [], [], 0
-        yield from self._rows(rows, part)
-
-    def _rows(self, rows: list[int], texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        ids, total = self.part(texts)
-        ends = np.cumsum(total)
-        for row, a, b in zip(rows, (ends - total).tolist(), ends.tolist()):
-            yield row, ids[a:b]
-
-
-@lru_cache(maxsize=1)
-def _encoder(vocabulary: str) -> Encoder:
-    """The encoder a worker keeps for its tasks."""
-    return Encoder(vocabulary)
-
-
-def _byte_of_letter() -> dict[str, int]:
-    """Byte-level vocabularies write each byte as one printable letter: itself
-    if it is printable in Latin-1, else the next letter from U+0100 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters = {chr(b): b for b in printable}
-    for n, b in enumerate(b for b in range(256) if b not in set(printable)):
-        letters[chr(0x100 + n)] = b
-    return letters
+        """(row, ids) for every text."""
+        for row, ids in enumerate(self.texts.encode(texts)):
+            yield row, np.frombuffer(ids, "<u4")
 
 
 def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE) -> DataFrame:
@@ -187,7 +62,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent.value)
+        encoder = Encoder(sent.value)
         for batch in batches:
             ids = batch.column(0)
             rows: list[tuple[int, int, int, int, bytes]] = []

@@ -112,3 +112,11 @@ def test_whole_table_is_near_the_least_number(session):
     used = _checked(rows, packing.SEQUENCE)
     least = -(-sum(r.length for r in rows) // packing.SEQUENCE)
     assert used <= 1.01 * least + 1
+
+
+def test_very_long_runs_of_white_space(tokenizer):
+    with open(queries.vocabulary(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    texts = ["a" + " " * 2_000_000 + "word", "\n" * 1_500_000, "b c"]
+    got = dict(encoder.encode([t.encode() for t in texts]))
+    assert [got[i].tolist() for i in range(3)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
