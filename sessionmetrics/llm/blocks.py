@@ -311,3 +311,12 @@ def ask_joined(
 ) -> DataFrame:
     """Like ``ask``, for blocks that look at stored replies first."""
     return joined(blocks, kept, lambda b, r: _send(b.block, fn(b, r)), _PACKED)
+
+
+def rewritten(
+    blocks: Blocks, kept: list[DataFrame], fn: Callable[[Block, dict[int, bytes]], pa.RecordBatch]
+) -> Blocks:
+    """Blocks stored anew, with what ``fn(block, replies by bucket)`` makes of
+    their contents; those of before are not read again."""
+    made = joined(blocks, kept, fn, _STORED)
+    return Blocks(_by_block(made, blocks.files), blocks.n_bytes, blocks.tasks, blocks.files)

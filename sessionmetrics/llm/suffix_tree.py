@@ -22,8 +22,9 @@ all documents hold is one row per block.  What is gathered grows with the
 corpus; nothing of it goes to the driver but two totals.
 
 Words are told apart by 64-bit hashes (SipHash).  A word's bucket gives it a
-number, and contexts and pairs are tuples of these numbers, without further
-hashing: sorted, as differences and compressed, they take a fraction of a
+number; then the blocks are stored once more as these numbers, and the texts
+and the words' replies, which nothing reads any longer, are removed.  Contexts
+and pairs are tuples of numbers, without further hashing: sorted, as differences and compressed, they take a fraction of a
 hash's bytes, since frequent words have small numbers.  Replies hold retained
 contexts, and pairs of these or that may be contexts themselves.  Counts are
 64 bits wide everywhere.  Words that occur less than ``min_next`` times in training have no
@@ -47,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
+from . import scratch
 from .text import U, Words, mix, ranges
 
 DEPTH = 2
@@ -74,7 +76,22 @@ class _Tokens:
         self.held_out = held_out(block.ids)
         self.train = np.repeat(~self.held_out, self.size)
         self.distinct, self.word = np.unique(hashed, return_inverse=True)
-        self.place = np.arange(len(hashed)) - np.repeat(self.first, self.size)
+
+
+class _Numbered:
+    """A block's tokens as ``_Plan.numbered`` stores them: places in the list of
+    its distinct words, whose numbers ascend (0, after those, for words
+    without one), and how often these occur in training."""
+
+    def __init__(self, block: B.Block, held_out: Callable[[np.ndarray], np.ndarray]):
+        self.first, self.size = block.offsets[:-1], np.diff(block.offsets)
+        self.held_out = held_out(block.ids)
+        self.train = np.repeat(~self.held_out, self.size)
+        steps, n_words, word = (column.astype(np.int64) for column in B.unsqueeze(block.data))
+        self.n_words, self.word = n_words, word
+        self.number = np.zeros(len(n_words), np.int64)
+        self.number[: len(steps)] = np.cumsum(steps)
+        self.place = np.arange(len(word)) - np.repeat(self.first, self.size)
 
 
 def _words_reply(payloads: list[memoryview], named: int) -> list[bytes]:
@@ -217,6 +234,32 @@ class _Plan:
             if len(rows):
                 yield k, B.squeeze(_differences(t.distinct[rows]), n[rows])
 
+    def numbered(self, block: B.Block, replies: dict[int, bytes]) -> pa.RecordBatch:
+        """The block with its words' numbers in place of its texts."""
+        t = _Tokens(block, self.held_out)
+        n_words = np.zeros(len(t.distinct), np.int64)
+        number = np.zeros(len(t.distinct), np.int64)
+        order, starts = self._words(t.distinct)
+        for k in range(self.buckets):
+            rows = order[starts[k] : starts[k + 1]]
+            if len(rows):
+                n_words[rows], place = B.unsqueeze(replies[k][16:])
+                # one number for each word of the corpus, frequent words first
+                number[rows] = np.where(place > 0, (place.astype(np.int64) - 1) * self.buckets + k + 1, 0)
+        order = np.lexsort((number, number == 0))
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        ascending = number[order][: np.count_nonzero(number)]
+        data = B.squeeze(_differences(ascending), n_words[order], at[t.word])
+        offsets = np.append(t.first, len(t.word)).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block.block], pa.int64()), pa.array([block.ids.tobytes()], pa.binary()),
+                pa.array([offsets.tobytes()], pa.binary()), pa.array([data], pa.binary()),
+            ],
+            names=["block", "ids", "offsets", "data"],
+        )
+
     def ask_pairs(self, block: B.Block, replies: dict[int, bytes], depth: int) -> Iterator[tuple[int, bytes]]:
         """Statistics of the contexts of ``depth`` words."""
         state = _State(self, block, replies, depth - 1, ask=True)
@@ -258,16 +301,8 @@ class _State:
     what to ask for contexts one word longer."""
 
     def __init__(self, plan: _Plan, block: B.Block, replies: dict[int, bytes], depth: int, ask: bool = False):
-        self.tokens = t = _Tokens(block, plan.held_out)
-        n_words = np.zeros(len(t.distinct), np.int64)
-        number = np.zeros(len(t.distinct), np.int64)
-        order, starts = plan._words(t.distinct)
-        for k in range(plan.buckets):
-            rows = order[starts[k] : starts[k + 1]]
-            if len(rows):
-                n_words[rows], place = B.unsqueeze(replies[k][16:])
-                # one number for each word of the corpus, frequent words first
-                number[rows] = np.where(place > 0, (place.astype(np.int64) - 1) * plan.buckets + k + 1, 0)
+        self.tokens = t = _Numbered(block, plan.held_out)
+        number, n_words = t.number, t.n_words
         self.count = n_words[t.word]
         self.root = np.log((self.count + 1.0) / (plan.tokens + plan.vocabulary + 1))
         self.log_p = self.root.copy()
@@ -287,9 +322,9 @@ class _State:
             used, context = np.unique(before, return_inverse=True)
             own = [column[used] for column in names]
             asks = entry[t.word[at]]
-            pair_key = context[asks] * np.int64(len(t.distinct)) + place[t.word[at[asks]]]
+            pair_key = context[asks] * np.int64(len(number)) + place[t.word[at[asks]]]
             keys, sample, which = np.unique(pair_key, return_index=True, return_inverse=True)
-            holder, word = np.divmod(keys, len(t.distinct))
+            holder, word = np.divmod(keys, len(number))
             word = by_number[word]
             many = np.bincount(holder, minlength=len(used)).astype(np.int64)
             if d > depth:
@@ -339,18 +374,20 @@ def score(
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score (root state alone), score, n_states (tokens scored by a longer
     state).  ``held_out(ids)`` marks the documents not to learn from."""
-    stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
-    plan = _Plan(stored.buckets, held_out, min_context, min_next)
-    n = stored.buckets
-    named = min(min_context, min_next)
-    words = B.answer(B.ask(stored, plan.ask_words), lambda payloads: _words_reply(payloads, named))
-    words = B.kept_by_block(stored, words)
+    with scratch.owned() as texts:
+        stored = B.store(docs, id_col, text_col, BLOCK_BYTES)
+        plan = _Plan(stored.buckets, held_out, min_context, min_next)
+        named = min(min_context, min_next)
+        words = B.answer(B.ask(stored, plan.ask_words), lambda payloads: _words_reply(payloads, named))
+        words = B.kept_by_block(stored, words)
     # the two totals, added up from one summary per bucket
     summary = words.select(F.explode("replies").alias("r")).select(F.substring("r.payload", 1, 16).alias("summary"))
     summary = summary.mapInArrow(_sums, "tokens long, words long")
     totals = summary.agg(F.sum("tokens"), F.sum("words")).first()
     plan.tokens, plan.vocabulary = int(totals[0] or 0), int(totals[1] or 0)
-    known = [words]
+    stored = B.rewritten(stored, [words], plan.numbered)
+    texts.remove(docs.sparkSession)
+    n, known = stored.buckets, []
     for d in range(1, depth + 1):
         asked = B.ask_joined(stored, known, lambda b, r, d=d: plan.ask_pairs(b, r, d))
         longer = min_context if d < depth else None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import edge_rows
-from sessionmetrics.llm import suffix_tree
+from sessionmetrics.llm import scratch, suffix_tree
 from sessionmetrics.llm.queries import _remainder_is_two
 
 END = "<end>"
@@ -148,3 +149,16 @@ def test_columns_survive_squeezing():
     columns = [[], [0, 0], [255, 256, 1], [2**63 + 5, 0], [1 << 40] * 3]
     back = unsqueeze(squeeze(*(np.array(c, np.uint64) for c in columns)))
     assert [c.tolist() for c in back] == columns
+
+
+def test_texts_do_not_stay_beside_their_numbers(session):
+    """Once words have numbers, neither texts nor the words' replies take disk."""
+    docs = session.createDataFrame([(i, edge_rows.words(i, 400, 3000)) for i in range(300)], "doc_id long, text string")
+    with scratch.owned() as made:
+        scored = suffix_tree.score(docs, lambda ids: _remainder_is_two(ids, 7))
+    paths = [p.removeprefix("file:").replace("//", "/") for p in made.paths]
+    there = [p for p in paths if any(files for _, _, files in os.walk(p))]
+    # numbered blocks and a table of replies for each depth
+    assert len(there) == 1 + suffix_tree.DEPTH
+    assert scored.count() == 300
+    made.remove(session)
