@@ -75,3 +75,16 @@ def test_top_n_keeps_columns_named_like_its_own(spark):
     rows = got.orderBy("rn").collect()
     assert [r.id for r in rows] == list(range(2999, 1499, -1))
     assert all(r["_part"] == 2 * r.id and r["_Rank"] == r.id for r in rows)
+
+
+def test_top_n_orders_by_a_column_named_like_the_rank(spark):
+    """The parts' own rank does not take the place of the caller's column."""
+    from pyspark.sql import functions as F
+
+    from sessionmetrics.operators import top_n_per_group
+
+    df = spark.range(3000).select(F.lit("g").alias("g"), "id", (-F.col("id")).alias("rn"))
+    for rank_col in ("rn", "RN"):
+        got = top_n_per_group(df, ["g"], [F.asc("rn")], 1500, rank_col).orderBy(rank_col).collect()
+        assert [r.id for r in got] == list(range(2999, 1499, -1))
+        assert [r[rank_col] for r in got] == list(range(1, 1501))
