@@ -69,7 +69,7 @@ def squeeze(*columns: np.ndarray) -> bytes:
         column = np.ascontiguousarray(column, dtype="<u8")
         width = (int(column.max()).bit_length() + 7) // 8 if len(column) else 0
         parts.append(np.array([len(column), width], "<i8").tobytes())
-        parts.append(column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+        parts += [(column >> np.uint64(8 * weight)).astype(np.uint8).tobytes() for weight in range(width)]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
@@ -80,9 +80,11 @@ def unsqueeze(payload: bytes) -> list[np.ndarray]:
     at, out = 0, []
     while at < len(raw):
         n, width = np.frombuffer(raw, "<i8", 2, at).tolist()
-        column = np.zeros((n, 8), np.uint8)
-        column[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 16).reshape(width, n).T
-        out.append(column.view("<u8").reshape(-1))
+        column = np.zeros(n, np.uint64)
+        for weight in range(width):
+            some = np.frombuffer(raw, np.uint8, n, at + 16 + n * weight).astype(np.uint64)
+            column |= some << np.uint64(8 * weight)
+        out.append(column)
         at += 16 + n * width
     return out
 

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from . import blocks as B
 from . import scratch
-from .text import U, Words, mix, ranges
+from .text import U, Words, distinct, mix, order_by, ranges
 
 DEPTH = 2
 MIN_CONTEXT, MIN_NEXT, LISTED = 8, 2, 2
@@ -70,12 +70,13 @@ class _Tokens:
 
     def __init__(self, block: B.Block, held_out: Callable[[np.ndarray], np.ndarray]):
         words = Words(block.data, block.offsets)
-        hashed = np.insert(words.hashes(0, lower=True), words.doc[1:], _END)
+        hashed, word = words.distinct(0, lower=True)
         self.first = words.doc[:-1] + np.arange(len(block))
         self.size = np.diff(words.doc) + 1
         self.held_out = held_out(block.ids)
         self.train = np.repeat(~self.held_out, self.size)
-        self.distinct, self.word = np.unique(hashed, return_inverse=True)
+        self.distinct, place = np.unique(np.append(hashed, _END), return_inverse=True)
+        self.word = place[np.insert(word, words.doc[1:], len(hashed))]
 
 
 class _Numbered:
@@ -87,7 +88,7 @@ class _Numbered:
         self.first, self.size = block.offsets[:-1], np.diff(block.offsets)
         self.held_out = held_out(block.ids)
         self.train = np.repeat(~self.held_out, self.size)
-        steps, n_words, word = (column.astype(np.int64) for column in B.unsqueeze(block.data))
+        steps, n_words, word = (column.view(np.int64) for column in B.unsqueeze(block.data))
         self.n_words, self.word = n_words, word
         self.number = np.zeros(len(n_words), np.int64)
         self.number[: len(steps)] = np.cumsum(steps)
@@ -136,11 +137,15 @@ def _ascending(steps: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 def _groups(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """A number for each distinct row of ``columns``, and a row of each."""
-    _, sample, at = np.unique(columns[0], return_index=True, return_inverse=True)
-    for column in columns[1:]:
-        _, value = np.unique(column, return_inverse=True)
-        _, sample, at = np.unique(at * np.int64(value.max(initial=0) + 1) + value, return_index=True, return_inverse=True)
-    return at, sample
+    order = order_by(*columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns:
+        there = column[order]
+        new[1:] |= there[1:] != there[:-1]
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return at, order[new]
 
 
 def _rest(seen: np.ndarray, entries: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -160,7 +165,7 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int |
         context = [np.cumsum(first.astype(np.int64)), *others]
         following = _ascending(steps, many)
         if not others:
-            log_p = log_p[np.unique(following, return_inverse=True)[1]]
+            log_p = log_p[distinct(following)[2]]
         parts.append((many, count, *context, following, n, log_p))
     many, count, *context, following, n, log_p = (np.concatenate(x) for x in zip(*parts))
     sizes = [(len(p[0]), len(p[-1])) for p in parts]
@@ -168,16 +173,19 @@ def _pairs_reply(payloads: list[memoryview], min_gain: float, min_longer: int |
     at, sample = _groups([c.astype(np.int64) for c in context])
     size = count[sample].astype(float)
     own = np.repeat(at, many)
-    order = np.lexsort((following, own))
+    order = order_by(following, own)
+    own, following = own[order], following[order]
     new = np.ones(len(order), bool)
-    new[1:] = (own[order][1:] != own[order][:-1]) | (following[order][1:] != following[order][:-1])
+    new[1:] = (own[1:] != own[:-1]) | (following[1:] != following[:-1])
     pair = np.empty(len(order), np.int64)
     pair[order] = np.cumsum(new) - 1
-    total = _sums_by(pair, n, int(new.sum()))
-    holder = own[order][new]
+    holder = own[new]
     first = np.flatnonzero(new)
-    # blocks that did not see a pair in training send no probability
-    below = np.maximum.reduceat(log_p[order], first).astype(float) if len(first) else np.zeros(0)
+    total, below = np.zeros(0, np.int64), np.zeros(0)
+    if len(first):
+        total = np.add.reduceat(n[order].astype(np.int64), first)
+        # blocks that did not see a pair in training send no probability
+        below = np.maximum.reduceat(log_p[order], first).astype(float)
     listed = total >= LISTED
     below = np.exp(below[listed] / -_FIXED)
     s = holder[listed]
@@ -213,16 +221,16 @@ class _Plan:
     def _words(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Words in order of their buckets, and each bucket's start in it."""
         bucket = B.to_buckets(mix(names), self.buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = order_by(bucket)
         return order, np.searchsorted(bucket[order], np.arange(self.buckets + 1))
 
     def _contexts(self, names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The same of contexts, ascending in each bucket."""
+        """The same of contexts, which ascend and do so in each bucket."""
         key = np.zeros(len(names[0]), U)
         for column in names:
             key = mix(key * U(0x9E3779B97F4A7C15) + column.astype(U))
         bucket = B.to_buckets(key, self.buckets)
-        order = np.lexsort((*names[::-1], bucket))
+        order = order_by(bucket)
         return order, np.searchsorted(bucket[order], np.arange(self.buckets + 1))
 
     def ask_words(self, block: B.Block) -> Iterator[tuple[int, bytes]]:
@@ -246,7 +254,7 @@ class _Plan:
                 n_words[rows], place = B.unsqueeze(replies[k][16:])
                 # one number for each word of the corpus, frequent words first
                 number[rows] = np.where(place > 0, (place.astype(np.int64) - 1) * self.buckets + k + 1, 0)
-        order = np.lexsort((number, number == 0))
+        order = order_by(number, number == 0)
         at = np.empty(len(order), np.int64)
         at[order] = np.arange(len(order))
         ascending = number[order][: np.count_nonzero(number)]
@@ -304,13 +312,10 @@ class _State:
         self.tokens = t = _Numbered(block, plan.held_out)
         number, n_words = t.number, t.n_words
         self.count = n_words[t.word]
-        self.root = np.log((self.count + 1.0) / (plan.tokens + plan.vocabulary + 1))
+        self.root = np.log((n_words + 1.0) / (plan.tokens + plan.vocabulary + 1))[t.word]
         self.log_p = self.root.copy()
         self.level = np.zeros(len(self.count), np.int8)
         entry = n_words >= plan.min_next
-        by_number = np.argsort(number, kind="stable")
-        place = np.empty(len(number), np.int64)
-        place[by_number] = np.arange(len(number))
         # the history of a token: the words before it, and how often those
         # occur in training
         names, times = [number], n_words
@@ -319,17 +324,20 @@ class _State:
         for d in range(1, depth + 1 + ask):
             ok = times[before] >= plan.min_context
             at, before = at[ok], before[ok]
-            used, context = np.unique(before, return_inverse=True)
+            there = np.zeros(len(times), bool)
+            there[before] = True
+            used, context = np.flatnonzero(there), (np.cumsum(there) - 1)[before]
             own = [column[used] for column in names]
-            asks = entry[t.word[at]]
-            pair_key = context[asks] * np.int64(len(number)) + place[t.word[at[asks]]]
-            keys, sample, which = np.unique(pair_key, return_index=True, return_inverse=True)
-            holder, word = np.divmod(keys, len(number))
-            word = by_number[word]
+            following = t.word[at]
+            asks = np.flatnonzero(entry[following])
+            asked, following, holder = at[asks], following[asks], context[asks]
+            # words with an entry have numbers, which ascend as their places do
+            _, sample, which = distinct(holder * np.int64(len(number)) + following)
+            holder, word = holder[sample], following[sample]
             many = np.bincount(holder, minlength=len(used)).astype(np.int64)
             if d > depth:
-                n = np.bincount(which[t.train[at[asks]]], minlength=len(keys))
-                log_p = np.round(-self.log_p[at[asks]][sample] * _FIXED).astype(np.int64)
+                n = np.bincount(which[t.train[asked]], minlength=len(sample))
+                log_p = np.round(-self.log_p[asked[sample]] * _FIXED).astype(np.int64)
                 # a pair's probability by a shorter context is known where it was seen
                 self.asked = (own, many, times[used], number[word], n, log_p if d == 1 else np.where(n > 0, log_p, 0))
                 return
@@ -340,7 +348,7 @@ class _State:
             if not len(times):  # no context is frequent enough: nothing longer either
                 names, times = [np.zeros(1, np.int64)] * (d + 1), np.zeros(1, np.int64)
             longer = np.full(len(t.word) + 1, -1)
-            longer[at[asks] + 1] = which
+            longer[asked + 1] = which
             at = np.flatnonzero((t.place >= d + 1) & (longer[:-1] >= 0))
             before = longer[at]
 
@@ -359,12 +367,13 @@ class _State:
         return rest, seen
 
     def _apply(self, t, at, context, asks, which, rest, seen, size, d) -> None:
-        held = ~np.isnan(rest[context])
         n = np.zeros(len(at))
         n[asks] = seen[which]
+        held = np.flatnonzero(~np.isnan(rest)[context])
+        at, context, n = at[held], context[held], n[held]
         p = np.maximum(n - DISCOUNT, 0) * (n >= LISTED) / size[context] + rest[context] * np.exp(self.log_p[at])
-        self.log_p[at[held]] = np.log(p[held])
-        self.level[at[held]] = d
+        self.log_p[at] = np.log(p)
+        self.level[at] = d
 
 
 def score(

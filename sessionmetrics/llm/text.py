@@ -16,11 +16,10 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pandas.util import hash_array
 
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-_IS_SEPARATOR = np.zeros(256, dtype=bool)
-_IS_SEPARATOR[list(SEPARATORS)] = True
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -88,7 +87,7 @@ class Words:
     """The words of a block: byte bounds, and the word range of each document."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        separator = _IS_SEPARATOR[data]
+        separator = (data == 0x20) | (data - np.uint8(0x09) < 5)  # SEPARATORS
         before = np.empty(len(data), dtype=bool)
         if len(data):
             before[0] = True
@@ -108,6 +107,16 @@ class Words:
         words[:] = (data.lower() if lower else data).split()  # bytes split at SEPARATORS
         return hash_array(words, hash_key=_WORD_KEYS[salt], categorize=False)
 
+    def distinct(self, salt: int, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The same with every distinct word hashed once: hashes, and the place
+        among them of every word."""
+        letters = self.data.tobytes().translate(LOWER.tobytes() if lower else None, bytes(SEPARATORS))
+        offsets = np.concatenate([[0], np.cumsum(self.end - self.start)]).astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+        every = pa.Array.from_buffers(pa.large_binary(), len(self), buffers).dictionary_encode()
+        words = every.dictionary.to_numpy(zero_copy_only=False)
+        return hash_array(words, hash_key=_WORD_KEYS[salt], categorize=False), every.indices.to_numpy()
+
     def owner(self) -> np.ndarray:
         """The document index of every word."""
         return np.repeat(np.arange(len(self.doc) - 1), np.diff(self.doc))
@@ -120,3 +129,38 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     first = np.cumsum(counts) - counts
     return np.arange(total) + np.repeat(starts - first, counts)
+
+
+def order_by(*columns: np.ndarray) -> np.ndarray:
+    """``np.lexsort`` of columns of whole numbers from 0 up: with the place in
+    the order so far, as many columns as fit are one 64-bit number to sort."""
+    n = len(columns[0])
+    low = n.bit_length()
+    order, key, used = None, np.arange(n), low
+
+    def ordered() -> np.ndarray:
+        place = np.sort(key) & ((1 << low) - 1)
+        return place if order is None else order[place]
+
+    for column in columns:
+        width = int(column.max(initial=0)).bit_length()
+        if used + width > 63:
+            if low + width > 63:
+                return np.lexsort(columns)
+            order, key, used = ordered(), np.arange(n), low
+        column = column.astype(np.int64)
+        key |= (column if order is None else column[order]) << used
+        used += width
+    return ordered()
+
+
+def distinct(column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of a column of whole numbers from 0 up, ascending; a
+    row of each; and the place among them of every row."""
+    order = order_by(column)
+    there = column[order]
+    new = np.ones(len(column), bool)
+    new[1:] = there[1:] != there[:-1]
+    which = np.empty(len(column), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return there[new], order[new], which

@@ -162,3 +162,67 @@ def test_texts_do_not_stay_beside_their_numbers(session):
     assert len(there) == 1 + suffix_tree.DEPTH
     assert scored.count() == 300
     made.remove(session)
+
+
+def _block(texts):
+    from sessionmetrics.llm.blocks import Block
+
+    data = b"".join(t + b" " for t in texts)
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return Block(0, np.arange(len(texts)), offsets, np.frombuffer(data, np.uint8))
+
+
+def test_every_distinct_word_is_hashed_once(monkeypatch):
+    from sessionmetrics.llm import text
+
+    block = _block([b"a B\tb a\x0ba", b"", b" \r\n", b"\xc3\x84 A c\x00", b"a"])
+    words = text.Words(block.data, block.offsets)
+    want = [words.hashes(0, lower).tolist() for lower in (False, True)]
+    hashed = []
+    hash_array = text.hash_array
+    monkeypatch.setattr(text, "hash_array", lambda w, **how: hashed.append(len(w)) or hash_array(w, **how))
+    tokens = suffix_tree._Tokens(block, lambda ids: ids == 1)
+    assert hashed == [4]  # a, b, \xc3\x84, c\x00
+    there = tokens.distinct[tokens.word]
+    ends = tokens.first + tokens.size - 1
+    assert (there[ends] == suffix_tree._END).all()
+    assert np.delete(there, ends).tolist() == want[1]
+    for lower in (False, True):
+        values, at = words.distinct(0, lower)
+        assert values[at].tolist() == want[lower]
+
+
+@pytest.mark.parametrize("wide", [(3, 5, 2), (1 << 30, 1 << 30, 1 << 30), (1 << 62, 3, 1 << 40), (1 << 55, 7, 2)])
+def test_packed_orders_are_those_of_lexsort(wide):
+    from sessionmetrics.llm.text import distinct, order_by
+
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2000):
+        columns = [rng.choice(rng.integers(0, w, 20), n) for w in wide]
+        columns[2] = columns[2] == columns[2].max(initial=0)
+        assert order_by(*columns).tolist() == np.lexsort(columns).tolist()
+        values, row, which = distinct(columns[0])
+        assert values.tolist() == np.unique(columns[0]).tolist()
+        assert columns[0][row].tolist() == values.tolist() and values[which].tolist() == columns[0].tolist()
+
+
+def test_contexts_ascend_in_each_bucket():
+    """So their differences stay small, without a sort by their numbers."""
+    texts = [edge_rows.words(i, 400, 60).encode() for i in range(40)]
+    block, known = _block(texts), {}
+    plan = suffix_tree._Plan(3, lambda ids: ids % 7 == 2, 4, 2)
+    replies = {}
+    for k, payload in plan.ask_words(block):
+        [replies[k]] = suffix_tree._words_reply([memoryview(payload)], 2)
+    plan.tokens, plan.vocabulary = 10_000, 60
+    batch = plan.numbered(block, replies)
+    [block] = suffix_tree.B._loaded(batch)
+    for depth in (1, 2):
+        names = suffix_tree._State(plan, block, known, depth - 1, ask=True).asked[0]
+        order, starts = plan._contexts(names)
+        assert len(names) == depth and len(order) > 20
+        for a, b in zip(starts, starts[1:]):
+            rows = list(zip(*(c[order[a:b]].tolist() for c in names)))
+            assert rows == sorted(set(rows)) and all(min(r) > 0 for r in rows)
+        for k, payload in plan.ask_pairs(block, known, depth):
+            [known[depth * 3 + k]] = suffix_tree._pairs_reply([memoryview(payload)], 1.0, 4)
