@@ -1,13 +1,15 @@
 """Token ids of whole texts, put together from stretches encoded once.
 
-A stretch is a run of ASCII white space with the word after it.  Byte-level
-BPE splits a text before any white space, and inside a stretch by nothing
+A stretch is a run of ASCII white space with the word after it, as far as that
+word's first ASCII punctuation mark after a letter or digit; there the next
+one begins.  Byte-level BPE splits a text before any white space and between a
+letter or digit and such a mark, and inside a stretch by nothing
 outside it, so the ids of a text are those of its stretches, one after the
 other.  A worker keeps the ids of the stretches it has met (compared byte by
 byte, as keys of a dictionary); new ones are split as the vocabulary's own
-splitter does and handed to the BPE model of the ``tokenizers`` library, many
-pieces in one call: between them stands a byte that no merge holds, so none
-reaches across.  A text with a special token, or with white space outside
+splitter does (one space and letters are one piece) and handed to the BPE model
+of the ``tokenizers`` library, many pieces in one call: between them stands a
+byte that no merge holds, so none reaches across.  A text with a special token, or with white space outside
 ASCII (whose runs a cut could divide), is encoded by the library in one go,
 and so is every text if the vocabulary is of another kind.
 """
@@ -20,6 +22,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +35,17 @@ WIDE_SPACE = [
     chr(c).encode()
     for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 ]
+# How those of them begin that differ in the last byte alone, each once.
+_WIDE_STARTS = sorted({x if x[0] != 0xE2 else x[:2] for x in WIDE_SPACE})
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
+_DIGIT = np.array([0x30 <= b <= 0x39 for b in range(256)])
+_PUNCTUATION = np.array([0x21 <= b <= 0x7E for b in range(256)]) & ~_LETTER & ~_DIGIT
 # Fixed value: the split of byte-level BPE.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 # A long text is taken in parts that end before white space that follows a word.
 _CUT = re.compile(rb"(?<=[^\x20\x09-\x0D])[\x20\x09-\x0D]")
+_ID = attrgetter("id")
 #: Stretches a worker keeps, none longer than so many bytes.
 _KEPT = 400_000
 _KEPT_BYTES = 64
@@ -61,6 +70,13 @@ def _mark(model: dict) -> int | None:
     return next((b for b in free if letters[b] in model["vocab"]), None)
 
 
+def _ends_letter(raw: np.ndarray) -> np.ndarray:
+    """Bytes of UTF-8 that end a letter, of ASCII or U+00C0 to U+00FF."""
+    found = _LETTER[raw]
+    found[1:] |= (raw[:-1] == 0xC3) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)  # not the signs of times and division
+    return found
+
+
 def _lengths(words: pa.BinaryArray) -> np.ndarray:
     return pc.binary_length(words).to_numpy().astype(np.int64)
 
@@ -84,13 +100,22 @@ class _Stretches:
         ends = np.cumsum(_lengths(words))
         data = b"".join(words.buffers()[2:])[: ends[-1]]
         raw = np.frombuffer(data, np.uint8)
+        begin = np.append(0, ends[:-1])
+        # a space, or none, and letters are one piece
+        other = ~_ends_letter(raw) & (raw != 0xC3)
+        other[begin] &= raw[begin] != 0x20
+        simple = np.add.reduceat(other, begin, dtype=np.int64) == 0
         # those from white space to the end of a word are split together
-        plain = _SPACE[raw[np.append(0, ends[:-1])]] & ~_SPACE[raw[ends - 1]]
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        pieces = self.split(b"".join(words.filter(pa.array(plain)).buffers()[2:]).decode())
-        for word in words.filter(pa.array(~plain)).to_pylist():
+        plain = _SPACE[raw[begin]] & ~_SPACE[raw[ends - 1]] & ~simple
+        rest = ~plain & ~simple
+        order = np.concatenate([np.flatnonzero(some) for some in (simple, plain, rest)])
+        together = words.filter(pa.array(plain)).to_numpy(zero_copy_only=False)
+        pieces = self.split(b"".join(together).decode())
+        for word in words.filter(pa.array(rest)).to_pylist():
             pieces += self.split(word.decode())
-        joined = self.between.join([*pieces, ""]).encode("utf-8", "surrogateescape")
+        one_each = words.filter(pa.array(simple)).to_numpy(zero_copy_only=False)
+        joined = bytes([self.mark]).join([*one_each, b""])
+        joined += self.between.join([*pieces, ""]).encode("utf-8", "surrogateescape")
         marks = np.flatnonzero(np.frombuffer(joined, np.uint8) == self.mark)
         ends = np.cumsum(_lengths(words)[order])
         ends_of_pieces = marks - np.arange(len(marks))
@@ -101,7 +126,7 @@ class _Stretches:
         ids: list[int] = []
         cuts = [0, *(marks[_PIECES - 1 : -1 : _PIECES] + 1).tolist(), len(letters)]
         for a, b in zip(cuts, cuts[1:]):
-            ids += [t.id for t in self.tokenize(letters[a:b])]
+            ids += map(_ID, self.tokenize(letters[a:b]))
         every = np.fromiter(ids, np.uint32, len(ids))
         # as many marks stand before a piece's mark as there are pieces before it
         end = np.flatnonzero(every == self.mark_id)[last] - last
@@ -112,7 +137,10 @@ class _Stretches:
 
     def _of(self, distinct: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Begin and number of the ids of distinct stretches, and ids."""
-        at = pc.index_in(distinct, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        # the smaller of the two is the one to look in
+        found = pc.index_in(self.words, value_set=distinct)
+        at = np.full(len(distinct), -1)
+        at[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
         new = distinct.filter(pa.array(at < 0))
         begin, many, flat = self._encoded(new)
         words = pa.concat_arrays([self.words, new])
@@ -132,10 +160,13 @@ class _Stretches:
         joined = b"".join(texts)
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         end = np.cumsum(size)
-        # a stretch begins with a text, and with white space after a word
-        space = _SPACE[np.frombuffer(joined, np.uint8)]
+        # a stretch begins with a text, with white space after a word, and with
+        # punctuation after a letter or digit
+        raw = np.frombuffer(joined, np.uint8)
+        space = _SPACE[raw]
         first = space.copy()
         first[1:] &= ~space[:-1]
+        first[1:] |= _PUNCTUATION[raw[1:]] & (_DIGIT[raw] | _ends_letter(raw))[:-1]
         first[(end - size)[size > 0]] = True
         start = np.flatnonzero(first)
         offsets = np.append(start, len(joined)).astype(np.int32)
@@ -189,7 +220,9 @@ class Encoder:
     def _in_one_go(self, text: bytes) -> bool:
         if not self.by_stretch or any(x in text for x in self.special):
             return True
-        return not text.isascii() and any(x in text for x in WIDE_SPACE)
+        if text.isascii() or not any(x in text for x in _WIDE_STARTS):
+            return False
+        return any(x in text for x in WIDE_SPACE)
 
     def _long(self, text: bytes) -> bytes:
         out, at = [], 0

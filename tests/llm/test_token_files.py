@@ -157,3 +157,29 @@ def test_training_rows_are_those_of_least_hash(session, equal):
     hashed = rows.select("text", F.xxhash64("doc_id", "text").alias("h"), "doc_id").collect()
     least = sorted(hashed, key=lambda r: (r.h, r.doc_id))[: token_files.TRAINING_DOCUMENTS]
     assert sorted(found) == sorted(r.text for r in least)
+
+
+def test_words_are_encoded_once_whatever_follows_them(tokenizer, monkeypatch):
+    """A word before a comma, full stop or nothing is one stretch, and takes no split."""
+    encoder = token_ids.Encoder(tokenizer.to_str())
+    encoded, split = [], []
+    inner, findall = encoder.stretches._encoded, encoder.stretches.split
+    monkeypatch.setattr(encoder.stretches, "_encoded", lambda words: encoded.extend(words.to_pylist()) or inner(words))
+    monkeypatch.setattr(encoder.stretches, "split", lambda text: split.append(text) or findall(text))
+    texts = ["a thonre, été. thonre été; thonre?", "a: thonre's 12.5 a"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
+    assert got == [whole(tokenizer, t) for t in texts]
+    assert sorted(w.decode() for w in encoded) == sorted(
+        ["a", " thonre", ",", " été", ".", ";", "?", ":", "'s", " 12", ".5", " a"]
+    )
+    assert not any("thonre" in text or "été" in text for text in split)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_cuts_at_punctuation_give_the_ids_of_whole_texts(tokenizer, seed):
+    rng = random.Random(seed)
+    parts = [*"aZ9 .,'\"-_~!\n\t\x00\x1c\x7f", "é", "×", "÷", "À", "ÿ", "Ā", "́", "²", "½", "…", "’", "–", "'re", "'S", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    encoder = token_ids.Encoder(tokenizer.to_str())
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode([t.encode() for t in texts])]
+    assert got == [whole(tokenizer, t) for t in texts]
